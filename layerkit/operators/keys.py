@@ -4,6 +4,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import workspace
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -16,14 +18,22 @@ def add_surrogate_key(df: DataFrame, order_by: list[str], name: str,
     2. ``monotonically_increasing_id`` then holds (partition, position) exactly;
     3. rows per partition (one small row each) give prefix offsets, broadcast back.
     Every stage is parallel; only ``num_partitions`` offsets reach one task.
+
+    The tagged rows are checkpointed to the shared checkpoint folder before they
+    are used twice: range boundaries come from sampling, and a recomputation
+    (a second branch, or a lost executor) over input in another order could
+    sample other boundaries and hand out different keys.
     """
+    workspace(df.sparkSession)  # makes sure a checkpoint folder is set
     n = int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) for c in order_by]
     tagged = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn("__mid", F.monotonically_increasing_id())
                 .withColumn("__pid", F.shiftright("__mid", 33))
-                .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit(_LOW33))))
+                .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit(_LOW33)))
+                .drop("__mid")
+                .checkpoint(eager=True))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     prior = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(prior), F.lit(0)).alias("__off"))

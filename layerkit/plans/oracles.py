@@ -169,6 +169,210 @@ RETAIL = {
 }
 
 
+
+_ODS_ROWS = """
+    SELECT o.o_orderkey AS OrderID,
+           CAST(CAST(SUM({amount}) AS DECIMAL(18,2)) AS DOUBLE) AS OrderTotal,
+           o.o_custkey AS CustomerID, CAST(o.o_orderdate AS DATE) AS OrderDate
+    FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+    WHERE o.o_orderdate >= TIMESTAMP '{lo}' AND o.o_orderdate < TIMESTAMP '{hi}'
+    GROUP BY o.o_orderkey, o.o_custkey, o.o_orderdate"""
+_NO_TAX = "CAST(l.l_extendedprice AS DECIMAL(18,2))"
+_TAX = "CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l.l_tax AS DECIMAL(18,3)))"
+
+INCREMENTAL = {
+    "q21_load_date": _ODS_ROWS.format(amount=_NO_TAX, lo="1995-01-01", hi="1995-01-06"),
+    "q23_load_week": _ODS_ROWS.format(amount=_NO_TAX, lo="1995-01-03", hi="1995-01-11"),
+    "q23_with_tax": _ODS_ROWS.format(amount=_TAX, lo="1995-01-06", hi="1995-01-14"),
+    "q22_shred_json": """
+        SELECT event_id, ts, user_id, event_type, value, json_extract_string(props, '$.k') AS k
+        FROM events""",
+    "q24_scalar_or_array": r"""
+        WITH mx AS (SELECT max(p_partkey) AS m FROM part),
+        r AS (
+            SELECT p_partkey, p_name, p_brand, p_retailprice,
+                   unnest(CASE WHEN p_size % 2 = 0 THEN [p_size, p_size + 1] ELSE [p_size] END) AS pkg,
+                   CASE WHEN p_partkey % 50 = 0 THEN NULL
+                        ELSE CAST(DATE '2018-01-01' + CAST(p_partkey % 28 AS INTEGER) AS DATE) END AS OrderDate
+            FROM part),
+        n AS (SELECT *, row_number() OVER (ORDER BY p_partkey, pkg) AS rn FROM r)
+        SELECT CAST(mx.m + n.rn AS BIGINT) AS StockItemID,
+               n.p_name || '(' || CAST(n.rn AS VARCHAR) || ')' AS StockItemName,
+               CAST(regexp_extract(n.p_brand, '(\d+)', 1) AS INTEGER) AS SupplierID,
+               CAST(1 AS INTEGER) AS UnitPackageID, CAST(n.pkg AS INTEGER) AS OuterPackageID,
+               n.p_brand AS Brand, CAST(CAST(n.p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS UnitPrice,
+               n.OrderDate, false AS IsChillerStock
+        FROM n, mx""",
+    "i_watermark_increment": """
+        SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+        WHERE o_orderdate > TIMESTAMP '2001-01-01'
+          AND o_orderdate <= (SELECT max(o_orderdate) FROM orders)""",
+    "i_upsert": """
+        SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1999-07-01'
+        UNION ALL
+        SELECT o_orderkey, 'U' AS o_orderstatus, o_orderdate FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1999-07-01' AND o_orderdate < TIMESTAMP '2000-07-01'""",
+    "i_insert_missing": """
+        SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'""",
+    "i_delete_matched": """
+        WITH nb AS (SELECT user_id, ts FROM events ORDER BY ts, event_id LIMIT 30)
+        SELECT e.event_id, e.user_id, e.ts, e.event_type FROM events e
+        WHERE NOT EXISTS (SELECT 1 FROM nb WHERE nb.user_id = e.user_id AND nb.ts = e.ts)""",
+    "x_topn": "SELECT event_id, user_id, ts FROM events ORDER BY ts, event_id LIMIT 30",
+}
+
+_MOVIES = """
+    SELECT p_partkey AS Id, p_name AS Title, p_retailprice AS Price,
+           (['en', 'fr', 'de', 'es'])[p_partkey % 4 + 1] AS OriginalLanguage,
+           CASE WHEN p_partkey % 23 = 0 THEN NULL
+                ELSE CAST(DATE '1990-01-01' + CAST(p_partkey % 9000 AS INTEGER) AS TIMESTAMP) END AS ReleaseDate,
+           CAST(CASE WHEN p_partkey % 29 = 0 THEN NULL WHEN p_partkey % 31 = 0 THEN 0
+                     WHEN p_partkey % 17 = 0 THEN -p_size ELSE p_size END AS BIGINT) AS RunTime
+    FROM part"""
+_BRONZE_ROWS = f"SELECT * FROM ({_MOVIES}) UNION ALL SELECT * FROM ({_MOVIES}) WHERE Id % 10 = 0"
+_RULE = "(Id IS NOT NULL AND ReleaseDate IS NOT NULL AND RunTime >= 0)"
+_SILVER_COLS = ("Id, Title, OriginalLanguage, Price, ReleaseDate, RunTime, "
+                "CAST(year(ReleaseDate) AS INTEGER) AS p_ReleaseYear")
+_WORDS = """
+    SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part"""
+
+MEDALLION = {
+    "m_bronze": f"SELECT Id, Title, 'New' AS Status, DATE '2024-01-15' AS p_Ingestdate FROM ({_BRONZE_ROWS})",
+    "m_silver_clean": f"SELECT {_SILVER_COLS} FROM ({_MOVIES}) WHERE {_RULE}",
+    "m_quarantine": f"SELECT {_SILVER_COLS} FROM ({_MOVIES}) WHERE NOT coalesce({_RULE}, false)",
+    "m_genres": f"""
+        SELECT CAST(ascii(w) * 1000 + ascii(substr(w, 2, 1)) AS INTEGER) AS Genre_Id, min(w) AS Genre_Name
+        FROM ({_WORDS}) GROUP BY 1""",
+    "m_junction": f"""
+        SELECT DISTINCT p_partkey AS Movie_Id,
+               CAST(ascii(w) * 1000 + ascii(substr(w, 2, 1)) AS INTEGER) AS Genre_Id FROM ({_WORDS})""",
+    "m_languages": f"SELECT DISTINCT OriginalLanguage AS Language_Code, 'English' AS Language_Name FROM ({_MOVIES})",
+    "m_bronze_status": f"""
+        SELECT Id, CASE WHEN coalesce({_RULE}, false) THEN 'Loaded' ELSE 'Quarantined' END AS Status
+        FROM ({_BRONZE_ROWS})""",
+    "m_repaired": f"""
+        SELECT Id, Title, OriginalLanguage, Price, ReleaseDate, abs(RunTime) AS RunTime,
+               CAST(year(ReleaseDate) AS INTEGER) AS p_ReleaseYear
+        FROM ({_MOVIES}) WHERE Id IS NOT NULL AND ReleaseDate IS NOT NULL AND RunTime IS NOT NULL""",
+    "m_repaired_status": f"""
+        SELECT Id, CASE WHEN Id IS NOT NULL AND ReleaseDate IS NOT NULL AND RunTime IS NOT NULL
+                        THEN 'Loaded' ELSE 'Quarantined' END AS Status
+        FROM ({_BRONZE_ROWS})""",
+    "x_null_profile": """
+        WITH m AS (SELECT * FROM (""" + _MOVIES + """) UNION ALL SELECT * FROM (""" + _MOVIES + """) WHERE Id % 10 = 0)
+        SELECT column_name, null_count, (SELECT count(*) FROM m) AS row_count FROM (
+            SELECT 'Id' AS column_name, count(*) - count(Id) AS null_count FROM m
+            UNION ALL SELECT 'Title', count(*) - count(Title) FROM m
+            UNION ALL SELECT 'Overview', 0
+            UNION ALL SELECT 'OriginalLanguage', count(*) - count(OriginalLanguage) FROM m
+            UNION ALL SELECT 'Price', count(*) - count(Price) FROM m
+            UNION ALL SELECT 'ReleaseDate', count(*) - count(ReleaseDate) FROM m
+            UNION ALL SELECT 'Budget', 0
+            UNION ALL SELECT 'Revenue', count(*) FROM m
+            UNION ALL SELECT 'RunTime', count(*) - count(RunTime) FROM m
+            UNION ALL SELECT 'Tagline', 0
+            UNION ALL SELECT 'CreatedBy', count(*) FROM m
+            UNION ALL SELECT 'CreatedDate', count(*) FROM m
+            UNION ALL SELECT 'UpdatedBy', count(*) FROM m
+            UNION ALL SELECT 'UpdatedDate', count(*) FROM m
+            UNION ALL SELECT 'ImdbUrl', 0
+            UNION ALL SELECT 'TmdbUrl', 0
+            UNION ALL SELECT 'PosterUrl', count(*) FROM m
+            UNION ALL SELECT 'BackdropUrl', count(*) FROM m)""",
+}
+
+WAREHOUSE = {
+    "w_customer_dim": """
+        WITH contact AS (
+            SELECT s.s_nationkey, s.s_name FROM supplier s
+            JOIN (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) m
+              ON s.s_suppkey = m.k),
+        head AS (SELECT c_nationkey, c_mktsegment, min(c_custkey) AS bill_to FROM customer GROUP BY 1, 2)
+        SELECT c.c_custkey AS WWICustomerID, c.c_name AS Customer, b.c_custkey AS BillToCustomerID,
+               b.c_name AS BillToCustomer, c.c_mktsegment AS CustomerCategory,
+               c.c_nationkey AS BuyingGroupID, ct.s_name AS PrimaryContact
+        FROM customer c
+        JOIN contact ct ON c.c_nationkey = ct.s_nationkey
+        JOIN head h ON h.c_nationkey = c.c_nationkey AND h.c_mktsegment = c.c_mktsegment
+        JOIN customer b ON b.c_custkey = h.bill_to""",
+    "w_employee_dim": """
+        SELECT s_suppkey AS WWIEmployeeID, s_name AS Employee, split_part(s_name, '#', 2) AS PreferredName,
+               s_acctbal > 5000 AS IsSalesperson
+        FROM supplier WHERE s_acctbal >= 0""",
+    "w_stockitem_dim": """
+        SELECT p_partkey AS WWIStockItemID, p_name AS StockItem, p_brand AS Brand,
+               CAST(p_size AS VARCHAR) AS Size, p_type AS StockGroup,
+               CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS UnitPrice FROM part""",
+    "w_order_fact": """
+        SELECT o.o_orderkey AS WWIOrderID, l.l_linenumber AS WWIOrderLineID, o.o_custkey AS CustomerKey,
+               l.l_partkey AS StockItemKey, l.l_suppkey AS SalespersonKey,
+               CAST(o.o_orderdate AS DATE) AS OrderDate, CAST(l.l_shipdate AS DATE) AS PickedDate,
+               CAST(l.l_quantity AS BIGINT) AS Quantity,
+               CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS TotalExcludingTax,
+               l.l_tax AS TaxRate
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
+    "w_sales": """
+        SELECT o_orderkey AS WWIInvoiceID, o_custkey AS CustomerKey, CAST(o_orderdate AS DATE) AS InvoiceDate,
+               o_orderstatus AS InvoiceStatus, o_orderpriority AS Priority, o_totalprice AS TotalIncludingTax
+        FROM orders""",
+}
+
+_PEOPLE = r"""
+    SELECT
+      CASE WHEN c_custkey % 4 = 0 THEN '  ' WHEN c_custkey % 4 = 1 THEN chr(9) ELSE '' END AS pad,
+      c_custkey, c_mktsegment AS seg, n_name, c_nationkey, n_regionkey
+    FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+_DIRTY = f"""
+    SELECT pad || (CASE WHEN c_custkey % 3 = 0 THEN lower(seg) WHEN c_custkey % 3 = 1 THEN seg
+                        ELSE lower(substr(seg, 1, 2)) || substr(seg, 3, 100) END) || pad AS FirstName,
+           (CASE WHEN c_custkey % 2 = 0 THEN lower(n_name) ELSE n_name END) || pad AS LastName,
+           CASE WHEN c_custkey % 11 = 0 THEN NULL
+                ELSE pad || '555-' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '-'
+                         || lpad(CAST(n_regionkey AS VARCHAR), 2, '0') END AS Phone,
+           'No.' || CAST(c_nationkey AS VARCHAR) || ' #' || CAST(n_regionkey AS VARCHAR) || ' Rd ' AS Address
+    FROM ({_PEOPLE})"""
+
+
+def _strip(c):
+    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _cap(c):
+    return f"upper(substr({c}, 1, 1)) || lower(substr({c}, 2))"
+
+
+MISC = {
+    "m_split_chunks": """
+        WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders),
+        per AS (SELECT count(*) // 8 AS k FROM orders)
+        SELECT CAST(pos // k AS INTEGER) AS chunk, count(*) AS n_rows,
+               min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+        FROM n, per WHERE k > 0 AND pos // k < 8 GROUP BY 1""",
+    "c_clean_text": f"""
+        SELECT DISTINCT {_cap(_strip('FirstName'))} AS FirstName, {_cap(_strip('LastName'))} AS LastName,
+               replace({_strip('Phone')}, '-', '') AS Phone,
+               replace(replace({_strip('Address')}, 'No.', ''), '#', '') AS Address
+        FROM ({_DIRTY})""",
+    "k_surrogate_key": """
+        SELECT row_number() OVER (ORDER BY p_name, p_partkey) AS sk, p_partkey, p_name FROM part""",
+    "x_union_by_name": """
+        SELECT c_name AS name, c_custkey AS id, 'customer' AS kind, c_mktsegment AS segment FROM customer
+        UNION ALL SELECT s_name, s_suppkey, 'supplier', NULL FROM supplier""",
+    "x_pk_check": """
+        SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+        GROUP BY 1, 2 HAVING count(*) > 1""",
+}
+
+STREAMING = {
+    "s_new_only": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "s_drip_feed": "SELECT event_id, event_type, value FROM events",
+}
+
+
 def all_sql() -> dict[str, str]:
-    out = dict(RETAIL)
+    out = {}
+    for group in (RETAIL, INCREMENTAL, MEDALLION, WAREHOUSE, MISC, STREAMING):
+        out.update(group)
     return out

@@ -7,12 +7,20 @@ from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType, Lon
                                StructField, StructType, TimestampType)
 
 
-def conform(df: DataFrame, schema: StructType, allow_missing: bool = True) -> DataFrame:
+def parse_ddl(spark, schema: StructType | str) -> StructType:
+    """A StructType from a DDL string such as ``"a INT, b STRING"``."""
+    if isinstance(schema, StructType):
+        return schema
+    return spark.createDataFrame([], schema).schema
+
+
+def conform(df: DataFrame, schema: StructType | str, allow_missing: bool = True) -> DataFrame:
     """Select the declared columns in order, cast to the declared types.
 
     Missing columns become typed nulls when ``allow_missing`` (schema drift);
     extra columns are dropped.
     """
+    schema = parse_ddl(df.sparkSession, schema)
     present = {c.lower(): c for c in df.columns}
     cols = []
     for f in schema.fields:
