@@ -57,7 +57,10 @@ def stream_new_records(spark: SparkSession, src_path: str, schema: str, sink_tab
               .trigger(availableNow=True))
     if name:
         writer = writer.queryName(name)
-    return run_available_now(writer.start())
+    query = run_available_now(writer.start())
+    # micro-batches wrote through the stream's session; drop this session's cached listing
+    spark.catalog.refreshTable(sink_table)
+    return query
 
 
 def _land_events(events: DataFrame, path: str, lo: dt.datetime, hi: dt.datetime) -> None:
