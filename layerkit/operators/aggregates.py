@@ -1,9 +1,7 @@
 """Aggregations written so Spark can combine map-side before any shuffle."""
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,27 +21,19 @@ def pivot_sum(df: DataFrame, rows: list[str], pivot_col: str, values: list,
 
 def top_per_group(df: DataFrame, group: list[str], order: str, ties: bool = True,
                   descending: bool = True, tiebreak: list[str] | None = None) -> DataFrame:
-    """Rows ranked first within each group (``DENSE_RANK() ... = 1`` when ``ties``).
+    """Rows ranked first within each group: ``DENSE_RANK() ... = 1`` when ``ties``,
+    else ``ROW_NUMBER() ... = 1`` ordered by (order, tiebreak...).
 
-    Done as an aggregate of the best value per group (partial max/min, one row per
-    group crosses the shuffle) joined back on (group, value): no window has to hold
-    a whole group in one task, so a group with a third of all rows is no problem.
-    Without ties the first row by (order, tiebreak...) is picked by a struct max/min.
+    The rank filter lets Catalyst insert a partial ``WindowGroupLimit`` before the
+    shuffle: every map task keeps only its local rank-1 rows per group, so the
+    exchange and the final window see a handful of rows per group even when one
+    group holds a third of the input, and the input is read once.
     """
-    pick = F.max if descending else F.min
-    if ties:
-        best = df.groupBy(*group).agg(pick(order).alias("__best"))
-        cond = reduce(lambda a, b: a & b,
-                      [df[g].eqNullSafe(best[g]) for g in group],
-                      df[order] == best["__best"])
-        return df.join(best, cond, "left_semi")
-    rest = [c for c in df.columns if c not in group]
-    key_cols = [order] + list(tiebreak or [])
-    packed = F.struct(*[F.col(c) for c in key_cols],
-                      *[F.col(c).alias(f"__v_{c}") for c in rest])
-    top = df.groupBy(*group).agg(pick(packed).alias("__top"))
-    return top.select(*group, *[F.col(f"__top.__v_{c}").alias(c) for c in rest]) \
-              .select(*df.columns)
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    extra = [F.col(c).asc() for c in (tiebreak or [])]
+    w = Window.partitionBy(*group).orderBy(o, *extra)
+    rank = F.dense_rank() if ties else F.row_number()
+    return df.withColumn("__rank", rank.over(w)).filter(F.col("__rank") == 1).drop("__rank")
 
 
 def dedup_keep_first(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

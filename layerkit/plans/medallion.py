@@ -9,6 +9,7 @@ words of the name. Rows whose Id ends in 0 are delivered twice.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ LANGUAGE_NAME = "English"
 NEW, LOADED, QUARANTINED = "New", "Loaded", "Quarantined"
 
 RUN_TS = dt.datetime(2024, 1, 15, 8, 30, 0)
-MOVIES_PER_DOCUMENT = 10_000
+MOVIES_PER_DOCUMENT = 2_000
 BRONZE_DDL = "Movies STRING, record_key STRING, Ingesttime TIMESTAMP, Status STRING, p_Ingestdate DATE"
 SILVER_COLUMNS = ["Id", "Title", "Overview", "OriginalLanguage", "Price", "ReleaseDate", "Budget",
                   "Revenue", "RunTime", "Tagline", "CreatedBy", "CreatedDate", "UpdatedBy",
@@ -134,11 +135,15 @@ def language_table(parsed: DataFrame) -> DataFrame:
                   .withColumn("Language_Name", F.lit(LANGUAGE_NAME)))
 
 
-def update_status(spark: SparkSession, table: str, keys: DataFrame, status: str) -> None:
+def update_status(spark: SparkSession, table: str, updates: list[tuple[DataFrame, str]]) -> None:
     """MERGE bronze USING keys ON record_key WHEN MATCHED UPDATE SET Status.
 
-    Only the ingest-date partitions holding a matched key are read and rewritten."""
-    src = keys.select("record_key").distinct().withColumn("Status", F.lit(status))
+    ``updates`` pairs frames of record keys with the status they receive; all are
+    applied in one merge. Only the ingest-date partitions holding a matched key are
+    read and rewritten."""
+    src = reduce(DataFrame.unionByName,
+                 [k.select("record_key").withColumn("Status", F.lit(st)) for k, st in updates])
+    src = src.dropDuplicates(["record_key"])
     bronze = spark.table(table)
     touched = bronze.join(src.select("record_key"), "record_key", "left_semi") \
                     .select("p_Ingestdate").distinct()
@@ -182,8 +187,8 @@ class MedallionRun:
         movie_genre_table(parsed).write.saveAsTable(f"{self.db}.movie_genres")
         language_table(parsed).write.saveAsTable(f"{self.db}.languages")
         # statuses are set only after every sink has been written
-        update_status(self.spark, self.bronze, self.spark.table(self.silver), LOADED)
-        update_status(self.spark, self.bronze, self.spark.table(self.quarantine), QUARANTINED)
+        update_status(self.spark, self.bronze, [(self.spark.table(self.silver), LOADED),
+                                                (self.spark.table(self.quarantine), QUARANTINED)])
         return self
 
     def repair(self) -> "MedallionRun":
@@ -191,7 +196,7 @@ class MedallionRun:
         fixed, _still_bad = clean_and_quarantine(repair_negative(bad))
         cols = self.spark.table(self.silver).columns
         fixed.select(*cols).write.insertInto(self.silver)
-        update_status(self.spark, self.bronze, fixed, LOADED)
+        update_status(self.spark, self.bronze, [(fixed, LOADED)])
         return self
 
 

@@ -131,34 +131,36 @@ def q08_by_month(spark, sf):
 
 # Q9: two CTE aggregates joined and compared --------------------------------------------
 def q09_bought_gt_sold(spark, sf):
+    """Purchased ('R' lines x pack size) vs sold ('N' lines) per item in one year.
+
+    Both CTEs read the same lines of the same year, so they are computed in one
+    pass with conditional sums; an item needs both sides for the comparison to
+    hold, exactly as the left join followed by ``purchased > sold`` requires."""
     p = _t(spark, sf, "part")
-    l = _t(spark, sf, "lineitem")
+    l = _t(spark, sf, "lineitem").filter(F.col("l_returnflag").isin("N", "R"))
     o = _t(spark, sf, "orders").filter(year_range("o_orderdate", STOCK_YEAR))
-    sold = (p.join(l.filter(F.col("l_returnflag") == "N"), l.l_partkey == p.p_partkey, "left")
-             .join(o, o.o_orderkey == l.l_orderkey, "left")
-             .filter(F.col("o_orderkey").isNotNull())
-             .groupBy("p_partkey").agg(F.sum(qty()).alias("quantity_sold")))
-    bought = (p.join(l.filter(F.col("l_returnflag") == "R"), l.l_partkey == p.p_partkey, "left")
-               .join(o, o.o_orderkey == l.l_orderkey, "left")
-               .filter(F.col("o_orderkey").isNotNull())
-               .groupBy("p_partkey", "p_name")
-               .agg(F.sum(qty() * F.col("p_size")).alias("quantity_purchased")))
-    j = bought.join(sold.withColumnRenamed("p_partkey", "s_partkey"),
-                    F.col("p_partkey") == F.col("s_partkey"), "left")
-    return (j.filter(F.col("quantity_purchased") > F.col("quantity_sold"))
-             .select("p_partkey", "p_name", "quantity_purchased", "quantity_sold"))
+    j = l.join(o, o.o_orderkey == l.l_orderkey).join(p, l.l_partkey == p.p_partkey)
+    flag = F.col("l_returnflag")
+    agg = j.groupBy("p_partkey", "p_name").agg(
+        F.sum(F.when(flag == "R", qty() * F.col("p_size"))).alias("quantity_purchased"),
+        F.sum(F.when(flag == "N", qty())).alias("quantity_sold"))
+    return (agg.filter(F.col("quantity_purchased") > F.col("quantity_sold"))
+               .select("p_partkey", "p_name", "quantity_purchased", "quantity_sold"))
 
 
 # Q10: two-level aggregate with HAVING, case-insensitive LIKE -------------------------------
 def q10_having_like(spark, sf):
-    o = _t(spark, sf, "orders")
+    """Customers with at most LIKE_MAX_UNITS units of matching items in the year.
+
+    The per-order sums of the original are summed again per customer; a sum of
+    sums is one sum, so a single aggregation (one shuffle) gives the same HAVING."""
+    o = _t(spark, sf, "orders").filter(year_range("o_orderdate", LIKE_YEAR))
     l = _t(spark, sf, "lineitem")
     p = _t(spark, sf, "part").filter(F.col("p_name").ilike(LIKE_PATTERN))
-    per_order = (o.join(l, (o.o_orderkey == l.l_orderkey) & year_range(o.o_orderdate, LIKE_YEAR))
-                  .join(p, l.l_partkey == p.p_partkey)
-                  .groupBy("o_custkey", "o_orderkey").agg(F.sum(qty()).alias("sold_num")))
-    cte = (per_order.groupBy("o_custkey").agg(F.sum("sold_num").alias("total"))
-                    .filter(F.col("total") <= LIKE_MAX_UNITS))
+    cte = (o.join(l, o.o_orderkey == l.l_orderkey)
+            .join(p, l.l_partkey == p.p_partkey)
+            .groupBy("o_custkey").agg(F.sum(qty()).alias("total"))
+            .filter(F.col("total") <= LIKE_MAX_UNITS))
     c = _t(spark, sf, "customer")
     n = _t(spark, sf, "nation")
     return (cte.join(c, cte.o_custkey == c.c_custkey, "left")
@@ -193,18 +195,20 @@ def q12_wide_join(spark, sf, day: dt.datetime = DETAIL_DATE):
 
 # Q13: purchased vs sold per group, difference ---------------------------------------------
 def q13_group_balance(spark, sf):
-    l = _t(spark, sf, "lineitem")
-    p = _t(spark, sf, "part")
+    """Per group: purchased ('R' lines), ordered ('N' lines) and what remains.
 
-    def by_type(flag, name):
-        return (l.filter(F.col("l_returnflag") == flag)
-                 .join(p, l.l_partkey == p.p_partkey, "left")
-                 .groupBy("p_type").agg(F.sum(qty()).alias(name)))
-    bought = by_type("R", "quantity_purchased")
-    sold = by_type("N", "quantity_ordered").withColumnRenamed("p_type", "s_type")
-    j = bought.join(sold, bought.p_type.eqNullSafe(sold.s_type), "left")
-    return j.select("p_type", "quantity_purchased", "quantity_ordered",
-                    (F.col("quantity_purchased") - F.col("quantity_ordered")).alias("quantity_remaining"))
+    One scan with conditional sums replaces the two CTE aggregates; groups
+    without purchases are dropped as the purchased-side left join does."""
+    l = _t(spark, sf, "lineitem").filter(F.col("l_returnflag").isin("N", "R"))
+    p = _t(spark, sf, "part")
+    flag = F.col("l_returnflag")
+    agg = (l.join(p, l.l_partkey == p.p_partkey, "left").groupBy("p_type").agg(
+        F.sum(F.when(flag == "R", qty())).alias("quantity_purchased"),
+        F.sum(F.when(flag == "N", qty())).alias("quantity_ordered"),
+        F.count(F.when(flag == "R", 1)).alias("n_purchases")))
+    return (agg.filter(F.col("n_purchases") > 0)
+               .select("p_type", "quantity_purchased", "quantity_ordered",
+                       (F.col("quantity_purchased") - F.col("quantity_ordered")).alias("quantity_remaining")))
 
 
 # Q14: most delivered item per nation (ties kept), right join, 'No Sale' -------------------------

@@ -24,9 +24,12 @@ def test_column_pruning(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string>" in plan
 
 
-def test_top_item_uses_no_whole_group_window(spark):
-    plan = plan_text(retail.q14_top_item_by_city(spark, SF_SMALL))
-    assert "Window " not in plan and "NestedLoop" not in plan
+def test_top_item_limits_groups_before_the_shuffle(spark):
+    plan = plan_text(retail.q14_top_item_by_city(spark, SF_SMALL), "simple")
+    # the limit runs on both sides of the exchange, and every table is read once
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.count("FileScan parquet") == 5
+    assert "NestedLoop" not in plan
 
 
 def test_pivot_with_values_has_no_extra_distinct_job(spark):
