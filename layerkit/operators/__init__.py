@@ -4,6 +4,7 @@ from .joins import anti_join_not_in, or_join, repair_by_lookup
 from .keys import add_surrogate_key, continue_key
 from .merge import (apply_merge, delete_where, drop_partitions_where, merge_delete,
                     merge_insert, merge_update, merge_upsert, overwrite_partitions)
+from .projection import map_columns, mark_rows
 from .split import split_chunks, split_rows
 
 __all__ = [
@@ -11,5 +12,6 @@ __all__ = [
     "top_per_group", "anti_join_not_in", "or_join", "repair_by_lookup",
     "add_surrogate_key", "continue_key", "apply_merge", "delete_where",
     "drop_partitions_where", "merge_delete", "merge_insert", "merge_update",
-    "merge_upsert", "overwrite_partitions", "split_chunks", "split_rows",
+    "merge_upsert", "overwrite_partitions", "split_chunks", "split_rows", "map_columns",
+    "mark_rows",
 ]

@@ -72,6 +72,11 @@ def create_partitioned_table(spark: SparkSession, table: str, schema_ddl: str,
               f"PARTITIONED BY ({partition_col})")
 
 
+def truncate_table(spark: SparkSession, table: str) -> None:
+    """DELETE FROM a whole table (all rows, schema kept)."""
+    spark.sql(f"TRUNCATE TABLE {table}")
+
+
 def partition_values(spark: SparkSession, table: str, partition_col: str) -> DataFrame:
     """Partition values of a table as a one-column DataFrame (catalog metadata)."""
     return (spark.sql(f"SHOW PARTITIONS {table}")
@@ -92,10 +97,21 @@ def drop_partitions_where(spark: SparkSession, table: str, partition_col: str,
 
 
 def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
-    cols = df.sparkSession.table(table).columns
-    (df.select(*cols).write.option("partitionOverwriteMode", "dynamic")
-       .insertInto(table, overwrite=True))
+    """Replace exactly the partitions present in ``df`` (dynamic overwrite).
+
+    ``insertInto`` does not read the per-writer ``partitionOverwriteMode`` option,
+    so the session setting is switched to dynamic for this insert and restored
+    afterwards; in static mode the insert would replace the whole table.
+    """
+    spark = df.sparkSession
+    cols = spark.table(table).columns
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*cols).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def append_rows(df: DataFrame, table: str) -> None:

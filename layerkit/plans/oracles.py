@@ -365,6 +365,26 @@ MISC = {
         GROUP BY 1, 2 HAVING count(*) > 1""",
 }
 
+PIPELINES = {
+    "g07_config_loop": """
+        SELECT 'orders' AS TABLE_NAME, count(*) AS n_rows FROM orders
+        WHERE o_orderdate > TIMESTAMP '2000-06-30'
+        UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-01-31'
+        UNION ALL SELECT 'events', count(*) FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'""",
+    "g08_ods_to_parquet": """
+        SELECT 'orders' AS table_name, count(*) AS n_rows,
+               CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS money_total FROM orders
+        UNION ALL SELECT 'customer', count(*), CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) FROM customer
+        UNION ALL SELECT 'part', count(*), CAST(SUM(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) FROM part""",
+    "g14_gdpr_delete": """
+        SELECT o_orderkey, o_custkey FROM orders
+        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+    "a13_activity_parts": """
+        SELECT user_id AS name, ts AS time, event_id, CAST(day(ts) AS INTEGER) AS day,
+               CAST(month(ts) AS INTEGER) AS month, CAST(hour(ts) AS INTEGER) AS hour
+        FROM events""",
+}
+
 STREAMING = {
     "s_new_only": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "s_drip_feed": "SELECT event_id, event_type, value FROM events",
@@ -373,6 +393,6 @@ STREAMING = {
 
 def all_sql() -> dict[str, str]:
     out = {}
-    for group in (RETAIL, INCREMENTAL, MEDALLION, WAREHOUSE, MISC, STREAMING):
+    for group in (RETAIL, INCREMENTAL, MEDALLION, WAREHOUSE, MISC, PIPELINES, STREAMING):
         out.update(group)
     return out

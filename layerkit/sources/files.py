@@ -64,6 +64,9 @@ CONFIG_SCHEMA = StructType([StructField(c, StringType(), True) for c in (
     "StoredProcedureNameForMergeOperation", "parameterName", "SinkTableName")])
 
 
-def read_config(spark: SparkSession, path: str) -> DataFrame:
-    """List of tables to ingest (a handful of rows iterated on the driver)."""
-    return spark.read.option("multiline", True).schema(CONFIG_SCHEMA).json(path)
+def read_config(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """List of tables to ingest (a handful of rows iterated on the driver).
+
+    JSON Lines by default; ``multiline=True`` for one file holding a JSON array
+    (each array element becomes a row)."""
+    return spark.read.option("multiline", multiline).schema(CONFIG_SCHEMA).json(path)

@@ -90,3 +90,19 @@ def test_stream_processes_only_new_files(spark):
     spark.range(10, 15).write.parquet(f"{src}/b")
     stream_new_records(spark, f"{src}/*", ddl, sink, f"{root}/ckpt")
     assert sorted(r.id for r in spark.table(sink).collect()) == list(range(15))
+
+
+def test_status_merge_keeps_other_partitions(spark):
+    run = med.MedallionRun(spark, SF_SMALL).ingest()
+    raw_rows = spark.table(run.bronze).count()
+    later = dt.datetime(2024, 2, 1, 9, 0, 0)
+    med.raw_to_bronze(spark, run.raw_path, run.bronze, later)
+    # a third partition that no merge touches
+    stale = spark.table(run.bronze).limit(5).withColumn("p_Ingestdate", F.lit(dt.date(2023, 1, 1))) \
+                 .withColumn("Status", F.lit("Loaded")).withColumn("record_key", F.lit("none"))
+    stale.select(*spark.table(run.bronze).columns).write.insertInto(run.bronze)
+    run.to_silver()
+    b = spark.table(run.bronze)
+    assert b.count() == 2 * raw_rows + 5
+    assert b.filter(F.col("p_Ingestdate") == F.lit(dt.date(2023, 1, 1))).count() == 5
+    assert b.filter(F.col("Status") == "New").count() == 0
