@@ -7,10 +7,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def ts_lit(value: dt.datetime | dt.date) -> Column:
+    """Zone-free literal: TIMESTAMP_NTZ for a datetime, DATE for a date.
+
+    Built from text, so neither the Python process zone nor the session zone moves
+    it, and comparing it with an NTZ column needs no cast on the column (pushdown).
+    """
+    if isinstance(value, dt.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value.isoformat()).cast("date")
+
+
 def year_range(c, year: int) -> Column:
     """``YEAR(c) = year`` written as a range so parquet min/max statistics prune."""
     c = F.col(c) if isinstance(c, str) else c
-    return (c >= F.lit(dt.datetime(year, 1, 1))) & (c < F.lit(dt.datetime(year + 1, 1, 1)))
+    return (c >= ts_lit(dt.datetime(year, 1, 1))) & (c < ts_lit(dt.datetime(year + 1, 1, 1)))
 
 
 def days_between(start, end) -> Column:

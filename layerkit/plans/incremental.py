@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import ts_lit
 from ..functions.json import json_value
 from ..operators.merge import (append_rows, create_partitioned_table, drop_partitions_where,
                                merge_delete, merge_insert, merge_upsert)
@@ -64,7 +65,7 @@ def ods_order_rows(orders: DataFrame, lineitem: DataFrame, day_filter: Column,
 
 def _day_range(start: dt.date, end_exclusive: dt.date) -> Column:
     c = F.col("o_orderdate")
-    return (c >= F.lit(_ts(start))) & (c < F.lit(_ts(end_exclusive)))
+    return (c >= ts_lit(_ts(start))) & (c < ts_lit(_ts(end_exclusive)))
 
 
 def load_orders_for_date(spark: SparkSession, table: str, orders: DataFrame,
@@ -74,7 +75,7 @@ def load_orders_for_date(spark: SparkSession, table: str, orders: DataFrame,
     The guard reads at most one row of one partition. The append lands as a new
     partition committed at job end, so a failed run leaves nothing behind.
     """
-    if spark.table(table).filter(F.col("OrderDate") == F.lit(day)).limit(1).count() > 0:
+    if spark.table(table).filter(F.col("OrderDate") == ts_lit(day)).limit(1).count() > 0:
         raise DateAlreadyLoaded(f"date {day} already loaded into {table}")
     rows = ods_order_rows(orders, lineitem, _day_range(day, day + dt.timedelta(days=1)))
     append_rows(rows, table)
@@ -97,7 +98,7 @@ def load_orders_window(spark: SparkSession, table: str, orders: DataFrame, linei
     rows = ods_order_rows(orders, lineitem, _day_range(first, last + dt.timedelta(days=1)), with_tax)
     # An order keeps its date, so a key can only collide inside the window's partitions.
     present = spark.table(table).filter(
-        (F.col("OrderDate") >= F.lit(first)) & (F.col("OrderDate") <= F.lit(last)))
+        (F.col("OrderDate") >= ts_lit(first)) & (F.col("OrderDate") <= ts_lit(last)))
     if on_conflict == "error":
         clash = rows.join(present.select("OrderID"), "OrderID", "left_semi").limit(1).count()
         if clash:
@@ -158,6 +159,10 @@ WATERMARK_DDL = "TableName STRING, WatermarkValue TIMESTAMP_NTZ"
 INITIAL_MARK = dt.datetime(2001, 1, 1)
 
 
+def _mark_lit(v):
+    return ts_lit(v) if isinstance(v, (dt.datetime, dt.date)) else F.lit(v)
+
+
 def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm_col: str,
                      control_path: str, sink_path: str) -> int:
     """Copy rows with ``old_mark < wm <= new_mark`` and then store the new mark.
@@ -172,9 +177,9 @@ def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm
     new = source.agg(F.max(wm_col)).first()[0]
     if new is None or (old is not None and new <= old):
         return 0
-    cond = F.col(wm_col) <= F.lit(new)
+    cond = F.col(wm_col) <= _mark_lit(new)
     if old is not None:
-        cond = cond & (F.col(wm_col) > F.lit(old))
+        cond = cond & (F.col(wm_col) > _mark_lit(old))
     source.filter(cond).write.mode("append").parquet(sink_path)
     marks = (control.filter(F.col("TableName") != table_name)
              .unionByName(spark.createDataFrame([(table_name, new)], WATERMARK_DDL)))
@@ -197,7 +202,7 @@ def i_watermark_increment(spark, sf):
 # Key-based merges on order snapshots (G-2, G-3, G-4) ----------------------------------------------
 def _orders_between(spark, sf, lo, hi):
     o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return o.filter((F.col("o_orderdate") >= F.lit(lo)) & (F.col("o_orderdate") < F.lit(hi)))
+    return o.filter((F.col("o_orderdate") >= ts_lit(lo)) & (F.col("o_orderdate") < ts_lit(hi)))
 
 
 def i_upsert(spark, sf):

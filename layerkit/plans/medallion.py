@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import ts_lit
 from ..operators.aggregates import dedup_keep_first
 from ..operators.merge import apply_merge, create_partitioned_table, merge_update
 from ..operators.split import split_rows
@@ -44,7 +45,7 @@ def movie_records(spark: SparkSession, sf: str) -> DataFrame:
     genres = F.transform(words, lambda w: F.struct(
         (F.ascii(w) * 1000 + F.ascii(F.substring(w, 2, 1))).cast("int").alias("id"), w.alias("name")))
     release = F.when(k % 23 == 0, F.lit(None).cast("string")).otherwise(
-        F.concat(F.date_format(F.date_add(F.lit(dt.date(1990, 1, 1)), (k % 9000).cast("int")), "yyyy-MM-dd"),
+        F.concat(F.date_format(F.date_add(ts_lit(dt.date(1990, 1, 1)), (k % 9000).cast("int")), "yyyy-MM-dd"),
                  F.lit("T00:00:00")))
     runtime = (F.when(k % 29 == 0, F.lit(None).cast("long"))
                 .when(k % 31 == 0, F.lit(0).cast("long"))
@@ -84,7 +85,7 @@ def stamp_ingest(raw: DataFrame, run_ts: dt.datetime = RUN_TS) -> DataFrame:
     return raw.select(
         "Movies", F.sha2("Movies", 256).alias("record_key"),
         F.lit(run_ts).cast("timestamp").alias("Ingesttime"), F.lit(NEW).alias("Status"),
-        F.lit(run_ts.date()).alias("p_Ingestdate"))
+        ts_lit(run_ts.date()).alias("p_Ingestdate"))
 
 
 def create_bronze(spark: SparkSession, db: str) -> str:
@@ -201,7 +202,9 @@ class MedallionRun:
 
 
 def _silver_view(df: DataFrame) -> DataFrame:
-    return df.select("Id", "Title", "OriginalLanguage", "Price", "ReleaseDate", "RunTime",
+    # release time as wall-clock NTZ: the text carried no zone
+    return df.select("Id", "Title", "OriginalLanguage", "Price",
+                     F.col("ReleaseDate").cast("timestamp_ntz").alias("ReleaseDate"), "RunTime",
                      F.col("p_ReleaseYear").cast("int").alias("p_ReleaseYear"))
 
 

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import avg_int, days_between, year_range
+from ..functions.dates import avg_int, days_between, ts_lit, year_range
 from ..functions.json import json_value, nested_json
 from ..operators.aggregates import pivot_sum, top_per_group
 from ..operators.joins import anti_join_not_in, or_join
@@ -72,8 +72,8 @@ def q02_join_residual(spark, sf):
 # Q3: NOT IN subquery ------------------------------------------------------------
 def q03_lapsed_customers(spark, sf):
     o = _t(spark, sf, "orders")
-    old = o.filter(F.col("o_orderdate") < F.lit(LAPSED_CUTOFF)).select("o_custkey")
-    recent = o.filter(F.col("o_orderdate") >= F.lit(LAPSED_CUTOFF)).select("o_custkey")
+    old = o.filter(F.col("o_orderdate") < ts_lit(LAPSED_CUTOFF)).select("o_custkey")
+    recent = o.filter(F.col("o_orderdate") >= ts_lit(LAPSED_CUTOFF)).select("o_custkey")
     return anti_join_not_in(old, recent, "o_custkey")
 
 
@@ -171,7 +171,7 @@ def q10_having_like(spark, sf):
 # Q11: BETWEEN with an as-of upper bound -------------------------------------------------
 def q11_between(spark, sf, as_of: dt.datetime = BETWEEN_AS_OF):
     o = _t(spark, sf, "orders")
-    return (o.filter(F.col("o_orderdate").between(F.lit(BETWEEN_FROM), F.lit(as_of)))
+    return (o.filter(F.col("o_orderdate").between(ts_lit(BETWEEN_FROM), ts_lit(as_of)))
              .select("o_orderkey", "o_orderdate"))
 
 
@@ -188,7 +188,7 @@ def q12_wide_join(spark, sf, day: dt.datetime = DETAIL_DATE):
           .join(p, p.p_partkey == l.l_partkey, "left")
           .join(n, n.n_nationkey == c.c_nationkey, "left")
           .join(r, r.r_regionkey == n.n_regionkey, "left"))
-    return (j.filter(F.col("o_orderdate") == F.lit(day))
+    return (j.filter(F.col("o_orderdate") == ts_lit(day))
              .select("l_orderkey", "l_linenumber", "p_name", "c_name", "c_mktsegment",
                      "n_name", "r_name", qty().alias("quantity")))
 
@@ -261,8 +261,8 @@ def q17_json_group(spark, sf):
 def sales_by_type_year(spark, sf) -> DataFrame:
     l = _t(spark, sf, "lineitem")
     o = _t(spark, sf, "orders").filter(
-        (F.col("o_orderdate") >= F.lit(dt.datetime(PIVOT_YEARS[0], 1, 1)))
-        & (F.col("o_orderdate") < F.lit(dt.datetime(PIVOT_YEARS[-1] + 1, 1, 1))))
+        (F.col("o_orderdate") >= ts_lit(dt.datetime(PIVOT_YEARS[0], 1, 1)))
+        & (F.col("o_orderdate") < ts_lit(dt.datetime(PIVOT_YEARS[-1] + 1, 1, 1))))
     p = _t(spark, sf, "part")
     return (l.join(o, l.l_orderkey == o.o_orderkey, "left")
              .join(p, l.l_partkey == p.p_partkey, "left")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.dates import ts_lit
 from ..session import new_run_dir
 from ..sources.tables import load
 
@@ -65,7 +66,7 @@ def stream_new_records(spark: SparkSession, src_path: str, schema: str, sink_tab
 
 def _land_events(events: DataFrame, path: str, lo: dt.datetime, hi: dt.datetime) -> None:
     """Land one slice of events as files (one folder per day) in the source folder."""
-    part = events.filter((F.col("ts") >= F.lit(lo)) & (F.col("ts") < F.lit(hi)))
+    part = events.filter((F.col("ts") >= ts_lit(lo)) & (F.col("ts") < ts_lit(hi)))
     part = part.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     part.repartition("day").write.mode("append").partitionBy("day").parquet(path)
 
