@@ -9,6 +9,7 @@ words of the name. Rows whose Id ends in 0 are delivered twice.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,7 +98,8 @@ def create_bronze(spark: SparkSession, db: str) -> str:
 def raw_to_bronze(spark: SparkSession, raw_path: str, table: str, run_ts: dt.datetime = RUN_TS) -> None:
     bronze = stamp_ingest(read_json_array(spark, raw_path, "movie", "STRING", "Movies"), run_ts)
     cols = spark.table(table).columns
-    bronze.select(*cols).repartition("p_Ingestdate").write.insertInto(table)
+    # no shuffle on the ingest date: a whole run shares one value
+    bronze.select(*cols).write.insertInto(table)
 
 
 # ------------------------------------------------------------------ silver
@@ -181,12 +183,18 @@ class MedallionRun:
         parsed = self.parsed_new().checkpoint(eager=True)  # five sinks share one parse
         clean, bad = clean_and_quarantine(parsed)
         cols = SILVER_COLUMNS + ["p_ReleaseYear"]
-        clean.select("record_key", *cols).repartition("p_ReleaseYear").write \
-             .partitionBy("p_ReleaseYear").saveAsTable(self.silver)
-        bad.select("record_key", *cols).write.saveAsTable(self.quarantine)
-        genre_table(parsed).write.saveAsTable(f"{self.db}.genres")
-        movie_genre_table(parsed).write.saveAsTable(f"{self.db}.movie_genres")
-        language_table(parsed).write.saveAsTable(f"{self.db}.languages")
+        sinks = [
+            lambda: clean.select("record_key", *cols).write.partitionBy("p_ReleaseYear")
+                         .saveAsTable(self.silver),
+            lambda: bad.select("record_key", *cols).write.saveAsTable(self.quarantine),
+            lambda: genre_table(parsed).write.saveAsTable(f"{self.db}.genres"),
+            lambda: movie_genre_table(parsed).write.saveAsTable(f"{self.db}.movie_genres"),
+            lambda: language_table(parsed).write.saveAsTable(f"{self.db}.languages"),
+        ]
+        # independent sinks run as concurrent Spark jobs; any failure is raised here
+        with ThreadPoolExecutor(max_workers=len(sinks)) as pool:
+            for f in [pool.submit(s) for s in sinks]:
+                f.result()
         # statuses are set only after every sink has been written
         update_status(self.spark, self.bronze, [(self.spark.table(self.silver), LOADED),
                                                 (self.spark.table(self.quarantine), QUARANTINED)])

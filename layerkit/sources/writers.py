@@ -6,15 +6,20 @@ from pyspark.sql import functions as F
 
 
 def batch_writer(df: DataFrame, partition_column: str | None, exclude_columns=(),
-                 mode: str = "append", fmt: str = "parquet") -> DataFrameWriter:
+                 mode: str = "append", fmt: str = "parquet",
+                 files_per_partition: int | None = None) -> DataFrameWriter:
     """An un-saved writer: drop excluded columns, partition by one column.
 
-    Rows are first clustered by the partition column so every task writes few
-    files per folder (no small-file explosion at scale).
+    No shuffle by default: every task writes its rows into the folders of the
+    values it holds. A low-cardinality partition column (an ingest date shared by
+    a whole run) must not become a shuffle key, or one task would write it all.
+    ``files_per_partition=k`` spreads each value over ``k`` tasks (hash of the row)
+    when many small input tasks would otherwise leave too many small files.
     """
     out = df.drop(*exclude_columns)
-    if partition_column:
-        out = out.repartition(F.col(partition_column))
+    if partition_column and files_per_partition:
+        salt = F.pmod(F.hash(*[F.col(c) for c in out.columns]), F.lit(files_per_partition))
+        out = out.repartition(F.col(partition_column), salt)
     writer = out.write.format(fmt).mode(mode)
     if partition_column:
         writer = writer.partitionBy(partition_column)

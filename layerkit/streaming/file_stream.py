@@ -68,7 +68,7 @@ def _land_events(events: DataFrame, path: str, lo: dt.datetime, hi: dt.datetime)
     """Land one slice of events as files (one folder per day) in the source folder."""
     part = events.filter((F.col("ts") >= ts_lit(lo)) & (F.col("ts") < ts_lit(hi)))
     part = part.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    part.repartition("day").write.mode("append").partitionBy("day").parquet(path)
+    part.write.mode("append").partitionBy("day").parquet(path)
 
 
 def _stream_setup(spark: SparkSession, tag: str):
