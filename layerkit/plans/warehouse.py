@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.projection import map_columns
 from ..schemas import conform
 from ..sources.tables import load
 
@@ -30,63 +31,69 @@ SALE_FACT = (
     "Priority STRING, TotalIncludingTax DOUBLE")
 
 
+# Column maps (target = source), qualified by the alias of the stream they come from.
+CUSTOMER_MAP = [
+    ("WWICustomerID", "cust.c_custkey"), ("Customer", "cust.c_name"),
+    ("BillToCustomerID", "billto.c_custkey"), ("BillToCustomer", "billto.c_name"),
+    ("CustomerCategory", "cust.c_mktsegment"), ("BuyingGroupID", "cust.c_nationkey"),
+    ("PrimaryContact", "contact.s_name"),
+]
+def _employee_map() -> list:
+    return [
+        ("WWIEmployeeID", "s_suppkey"), ("Employee", "s_name"),
+        ("PreferredName", F.split("s_name", "#")[1]), ("IsSalesperson", F.col("s_acctbal") > 5000),
+    ]
+def _stockitem_map() -> list:
+    return [
+        ("WWIStockItemID", "p_partkey"), ("StockItem", "p_name"), ("Brand", "p_brand"),
+        ("Size", F.col("p_size").cast("string")), ("StockGroup", "p_type"),
+        ("UnitPrice", F.col("p_retailprice").cast("decimal(18,2)").cast("double")),
+    ]
+def _order_fact_map() -> list:
+    return [
+        ("WWIOrderID", "o.o_orderkey"), ("WWIOrderLineID", "l.l_linenumber"),
+        ("CustomerKey", "o.o_custkey"), ("StockItemKey", "l.l_partkey"),
+        ("SalespersonKey", "l.l_suppkey"), ("OrderDate", F.col("o.o_orderdate").cast("date")),
+        ("PickedDate", F.col("l.l_shipdate").cast("date")),
+        ("Quantity", F.col("l.l_quantity").cast("long")),
+        ("TotalExcludingTax", F.col("l.l_extendedprice").cast("decimal(18,2)").cast("double")),
+        ("TaxRate", "l.l_tax"),
+    ]
+def _sale_map() -> list:
+    return [
+        ("WWIInvoiceID", "o_orderkey"), ("CustomerKey", "o_custkey"),
+        ("InvoiceDate", F.col("o_orderdate").cast("date")), ("InvoiceStatus", "o_orderstatus"),
+        ("Priority", "o_orderpriority"), ("TotalIncludingTax", "o_totalprice"),
+    ]
+
+
 def build_customer_dim(customer: DataFrame, people: DataFrame) -> DataFrame:
-    contact = people.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("contact_id")) \
-                    .join(people.select("s_suppkey", "s_name"), F.col("contact_id") == F.col("s_suppkey"))
+    first = people.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("contact_id"))
+    contact = people.join(first.select("contact_id"), F.col("s_suppkey") == F.col("contact_id"))
     head = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.min("c_custkey").alias("bill_to_id"))
-    c = (customer.join(contact, customer.c_nationkey == contact.s_nationkey)
-                 .join(head, ["c_nationkey", "c_mktsegment"]))
-    b = customer.select(F.col("c_custkey").alias("b_custkey"), F.col("c_name").alias("b_name"))
-    j = c.join(b, F.col("bill_to_id") == F.col("b_custkey"))
-    mapped = j.select(
-        F.col("c_custkey").alias("WWICustomerID"), F.col("c_name").alias("Customer"),
-        F.col("b_custkey").alias("BillToCustomerID"), F.col("b_name").alias("BillToCustomer"),
-        F.col("c_mktsegment").alias("CustomerCategory"), F.col("c_nationkey").alias("BuyingGroupID"),
-        F.col("s_name").alias("PrimaryContact"))
-    return conform(mapped, CUSTOMER_DIM)
+    c = customer.alias("cust")
+    j = (c.join(contact.alias("contact"), F.col("cust.c_nationkey") == F.col("contact.s_nationkey"))
+          .join(head.alias("head"), (F.col("cust.c_nationkey") == F.col("head.c_nationkey"))
+                & (F.col("cust.c_mktsegment") == F.col("head.c_mktsegment")))
+          .join(customer.alias("billto"), F.col("head.bill_to_id") == F.col("billto.c_custkey")))
+    return conform(map_columns(j, CUSTOMER_MAP), CUSTOMER_DIM)
 
 
 def build_employee_dim(people: DataFrame) -> DataFrame:
-    emp = people.filter(F.col("s_acctbal") >= 0)
-    mapped = emp.select(
-        F.col("s_suppkey").alias("WWIEmployeeID"), F.col("s_name").alias("Employee"),
-        F.split("s_name", "#")[1].alias("PreferredName"),
-        (F.col("s_acctbal") > 5000).alias("IsSalesperson"))
-    return conform(mapped, EMPLOYEE_DIM)
+    return conform(map_columns(people.filter(F.col("s_acctbal") >= 0), _employee_map()), EMPLOYEE_DIM)
 
 
 def build_stockitem_dim(part: DataFrame) -> DataFrame:
-    mapped = part.select(
-        F.col("p_partkey").alias("WWIStockItemID"), F.col("p_name").alias("StockItem"),
-        F.col("p_brand").alias("Brand"), F.col("p_size").cast("string").alias("Size"),
-        F.col("p_type").alias("StockGroup"),
-        F.col("p_retailprice").cast("decimal(18,2)").cast("double").alias("UnitPrice"))
-    return conform(mapped, STOCKITEM_DIM)
+    return conform(map_columns(part, _stockitem_map()), STOCKITEM_DIM)
 
 
 def build_order_fact(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    l = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                        "l_extendedprice", "l_tax", "l_shipdate")
-    o = orders.select(F.col("o_orderkey").alias("order_id"), "o_custkey", "o_orderdate")
-    j = l.join(o, F.col("l_orderkey") == F.col("order_id"))
-    mapped = j.select(
-        F.col("order_id").alias("WWIOrderID"), F.col("l_linenumber").alias("WWIOrderLineID"),
-        F.col("o_custkey").alias("CustomerKey"), F.col("l_partkey").alias("StockItemKey"),
-        F.col("l_suppkey").alias("SalespersonKey"), F.col("o_orderdate").cast("date").alias("OrderDate"),
-        F.col("l_shipdate").cast("date").alias("PickedDate"),
-        F.col("l_quantity").cast("long").alias("Quantity"),
-        F.col("l_extendedprice").cast("decimal(18,2)").cast("double").alias("TotalExcludingTax"),
-        F.col("l_tax").alias("TaxRate"))
-    return conform(mapped, ORDER_FACT)
+    j = lineitem.alias("l").join(orders.alias("o"), F.col("l.l_orderkey") == F.col("o.o_orderkey"))
+    return conform(map_columns(j, _order_fact_map()), ORDER_FACT)
 
 
 def build_sales(orders: DataFrame) -> DataFrame:
-    mapped = orders.select(
-        F.col("o_orderkey").alias("WWIInvoiceID"), F.col("o_custkey").alias("CustomerKey"),
-        F.col("o_orderdate").cast("date").alias("InvoiceDate"),
-        F.col("o_orderstatus").alias("InvoiceStatus"), F.col("o_orderpriority").alias("Priority"),
-        F.col("o_totalprice").alias("TotalIncludingTax"))
-    return conform(mapped, SALE_FACT)
+    return conform(map_columns(orders, _sale_map()), SALE_FACT)
 
 
 def w_customer_dim(spark: SparkSession, sf: str):
