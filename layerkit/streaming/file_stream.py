@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import ts_lit
+from ..operators.merge import overwrite_partitions
 from ..session import new_run_dir
 from ..sources.tables import load
 
@@ -35,14 +36,34 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame(rows, "batch_id BIGINT, num_input_rows BIGINT")
 
 
+BATCH_COL = "_batch_id"
+
+
+def write_batch_idempotent(batch: DataFrame, batch_id: int, sink_table: str) -> None:
+    """Store one micro-batch as the ``_batch_id = batch_id`` partition of the sink.
+
+    ``foreachBatch`` is at-least-once: after a failure the same batch id is
+    replayed. Overwriting that batch's own partition (dynamic overwrite) makes a
+    replay replace what the failed attempt may have written instead of adding it
+    twice, so the table holds every batch exactly once.
+    """
+    spark = batch.sparkSession
+    out = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+    if spark.catalog.tableExists(sink_table):
+        overwrite_partitions(out, sink_table)
+    else:
+        out.write.partitionBy(BATCH_COL).saveAsTable(sink_table)
+
+
 def stream_new_records(spark: SparkSession, src_path: str, schema: str, sink_table: str,
                        checkpoint: str, fmt: str = "parquet", max_files: int | None = None,
                        transform=None, name: str | None = None) -> StreamingQuery:
-    """Process the files not seen yet (per the checkpoint) and append them to a table.
+    """Process the files not seen yet (per the checkpoint) into a table.
 
-    ``foreachBatch`` appends each micro-batch; on restart after a failure the
-    same batch id is replayed and the checkpoint makes the source resume where it
-    stopped. ``max_files`` drip-feeds the backlog a few files per micro-batch.
+    The checkpoint makes the source resume after the last committed batch, and
+    each batch lands idempotently (``write_batch_idempotent``), so every file is
+    stored once however often the job is restarted. ``max_files`` drip-feeds the
+    backlog a few files per micro-batch. Readers drop the ``_batch_id`` column.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files:
@@ -52,7 +73,7 @@ def stream_new_records(spark: SparkSession, src_path: str, schema: str, sink_tab
         stream = transform(stream)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").saveAsTable(sink_table)
+        write_batch_idempotent(batch, batch_id, sink_table)
 
     writer = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
               .trigger(availableNow=True))
@@ -60,7 +81,8 @@ def stream_new_records(spark: SparkSession, src_path: str, schema: str, sink_tab
         writer = writer.queryName(name)
     query = run_available_now(writer.start())
     # micro-batches wrote through the stream's session; drop this session's cached listing
-    spark.catalog.refreshTable(sink_table)
+    if spark.catalog.tableExists(sink_table):
+        spark.catalog.refreshTable(sink_table)
     return query
 
 
@@ -89,7 +111,7 @@ def s_new_only(spark: SparkSession, sf: str) -> DataFrame:
     stream_new_records(spark, src, EVENTS_DDL + ", day STRING", sink, f"{root}/checkpoint")
     _land_events(events, src, mid, bounds[1] + dt.timedelta(seconds=1))
     stream_new_records(spark, src, EVENTS_DDL + ", day STRING", sink, f"{root}/checkpoint")
-    return spark.table(sink).drop("day")
+    return spark.table(sink).drop("day", BATCH_COL)
 
 
 def s_drip_feed(spark: SparkSession, sf: str) -> DataFrame:
@@ -104,4 +126,4 @@ def s_drip_feed(spark: SparkSession, sf: str) -> DataFrame:
     progress = progress_frame(spark, q)
     if progress.agg(F.sum("num_input_rows")).first()[0] != spark.table(sink).count():
         raise AssertionError("progress and sink disagree")
-    return spark.table(sink)
+    return spark.table(sink).drop(BATCH_COL)

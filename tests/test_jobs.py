@@ -106,3 +106,16 @@ def test_status_merge_keeps_other_partitions(spark):
     assert b.count() == 2 * raw_rows + 5
     assert b.filter(F.col("p_Ingestdate") == F.lit(dt.date(2023, 1, 1))).count() == 5
     assert b.filter(F.col("Status") == "New").count() == 0
+
+
+def test_replayed_batch_is_stored_once(spark):
+    from layerkit.streaming.file_stream import BATCH_COL, write_batch_idempotent
+    db = new_database(spark, "t_replay")
+    sink = f"{db}.sink"
+    b0 = spark.range(0, 5)
+    write_batch_idempotent(b0, 0, sink)
+    write_batch_idempotent(spark.range(5, 8), 1, sink)
+    write_batch_idempotent(spark.range(5, 8), 1, sink)  # replay after a failure
+    got = spark.table(sink)
+    assert sorted(r.id for r in got.collect()) == list(range(8))
+    assert sorted(r[0] for r in got.select(BATCH_COL).distinct().collect()) == [0, 1]
