@@ -290,7 +290,7 @@ WAREHOUSE = {
             JOIN (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) m
               ON s.s_suppkey = m.k),
         head AS (SELECT c_nationkey, c_mktsegment, min(c_custkey) AS bill_to FROM customer GROUP BY 1, 2)
-        SELECT c.c_custkey AS WWICustomerID, c.c_name AS Customer, b.c_custkey AS BillToCustomerID,
+        SELECT c.c_custkey AS SourceCustomerID, c.c_name AS Customer, b.c_custkey AS BillToCustomerID,
                b.c_name AS BillToCustomer, c.c_mktsegment AS CustomerCategory,
                c.c_nationkey AS BuyingGroupID, ct.s_name AS PrimaryContact
         FROM customer c
@@ -298,15 +298,15 @@ WAREHOUSE = {
         JOIN head h ON h.c_nationkey = c.c_nationkey AND h.c_mktsegment = c.c_mktsegment
         JOIN customer b ON b.c_custkey = h.bill_to""",
     "w_employee_dim": """
-        SELECT s_suppkey AS WWIEmployeeID, s_name AS Employee, split_part(s_name, '#', 2) AS PreferredName,
+        SELECT s_suppkey AS SourceEmployeeID, s_name AS Employee, split_part(s_name, '#', 2) AS PreferredName,
                s_acctbal > 5000 AS IsSalesperson
         FROM supplier WHERE s_acctbal >= 0""",
     "w_stockitem_dim": """
-        SELECT p_partkey AS WWIStockItemID, p_name AS StockItem, p_brand AS Brand,
+        SELECT p_partkey AS SourceStockItemID, p_name AS StockItem, p_brand AS Brand,
                CAST(p_size AS VARCHAR) AS Size, p_type AS StockGroup,
                CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS UnitPrice FROM part""",
     "w_order_fact": """
-        SELECT o.o_orderkey AS WWIOrderID, l.l_linenumber AS WWIOrderLineID, o.o_custkey AS CustomerKey,
+        SELECT o.o_orderkey AS SourceOrderID, l.l_linenumber AS SourceOrderLineID, o.o_custkey AS CustomerKey,
                l.l_partkey AS StockItemKey, l.l_suppkey AS SalespersonKey,
                CAST(o.o_orderdate AS DATE) AS OrderDate, CAST(l.l_shipdate AS DATE) AS PickedDate,
                CAST(l.l_quantity AS BIGINT) AS Quantity,
@@ -314,7 +314,7 @@ WAREHOUSE = {
                l.l_tax AS TaxRate
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "w_sales": """
-        SELECT o_orderkey AS WWIInvoiceID, o_custkey AS CustomerKey, CAST(o_orderdate AS DATE) AS InvoiceDate,
+        SELECT o_orderkey AS SourceInvoiceID, o_custkey AS CustomerKey, CAST(o_orderdate AS DATE) AS InvoiceDate,
                o_orderstatus AS InvoiceStatus, o_orderpriority AS Priority, o_totalprice AS TotalIncludingTax
         FROM orders""",
 }

@@ -15,43 +15,43 @@ from ..schemas import conform
 from ..sources.tables import load
 
 CUSTOMER_DIM = (
-    "WWICustomerID BIGINT, Customer STRING, BillToCustomerID BIGINT, BillToCustomer STRING, "
+    "SourceCustomerID BIGINT, Customer STRING, BillToCustomerID BIGINT, BillToCustomer STRING, "
     "CustomerCategory STRING, BuyingGroupID INT, PrimaryContact STRING")
 EMPLOYEE_DIM = (
-    "WWIEmployeeID BIGINT, Employee STRING, PreferredName STRING, IsSalesperson BOOLEAN")
+    "SourceEmployeeID BIGINT, Employee STRING, PreferredName STRING, IsSalesperson BOOLEAN")
 STOCKITEM_DIM = (
-    "WWIStockItemID BIGINT, StockItem STRING, Brand STRING, Size STRING, "
+    "SourceStockItemID BIGINT, StockItem STRING, Brand STRING, Size STRING, "
     "StockGroup STRING, UnitPrice DOUBLE")
 ORDER_FACT = (
-    "WWIOrderID BIGINT, WWIOrderLineID INT, CustomerKey BIGINT, StockItemKey BIGINT, "
+    "SourceOrderID BIGINT, SourceOrderLineID INT, CustomerKey BIGINT, StockItemKey BIGINT, "
     "SalespersonKey BIGINT, OrderDate DATE, PickedDate DATE, Quantity BIGINT, "
     "TotalExcludingTax DOUBLE, TaxRate DOUBLE")
 SALE_FACT = (
-    "WWIInvoiceID BIGINT, CustomerKey BIGINT, InvoiceDate DATE, InvoiceStatus STRING, "
+    "SourceInvoiceID BIGINT, CustomerKey BIGINT, InvoiceDate DATE, InvoiceStatus STRING, "
     "Priority STRING, TotalIncludingTax DOUBLE")
 
 
 # Column maps (target = source), qualified by the alias of the stream they come from.
 CUSTOMER_MAP = [
-    ("WWICustomerID", "cust.c_custkey"), ("Customer", "cust.c_name"),
+    ("SourceCustomerID", "cust.c_custkey"), ("Customer", "cust.c_name"),
     ("BillToCustomerID", "billto.c_custkey"), ("BillToCustomer", "billto.c_name"),
     ("CustomerCategory", "cust.c_mktsegment"), ("BuyingGroupID", "cust.c_nationkey"),
     ("PrimaryContact", "contact.s_name"),
 ]
 def _employee_map() -> list:
     return [
-        ("WWIEmployeeID", "s_suppkey"), ("Employee", "s_name"),
+        ("SourceEmployeeID", "s_suppkey"), ("Employee", "s_name"),
         ("PreferredName", F.split("s_name", "#")[1]), ("IsSalesperson", F.col("s_acctbal") > 5000),
     ]
 def _stockitem_map() -> list:
     return [
-        ("WWIStockItemID", "p_partkey"), ("StockItem", "p_name"), ("Brand", "p_brand"),
+        ("SourceStockItemID", "p_partkey"), ("StockItem", "p_name"), ("Brand", "p_brand"),
         ("Size", F.col("p_size").cast("string")), ("StockGroup", "p_type"),
         ("UnitPrice", F.col("p_retailprice").cast("decimal(18,2)").cast("double")),
     ]
 def _order_fact_map() -> list:
     return [
-        ("WWIOrderID", "o.o_orderkey"), ("WWIOrderLineID", "l.l_linenumber"),
+        ("SourceOrderID", "o.o_orderkey"), ("SourceOrderLineID", "l.l_linenumber"),
         ("CustomerKey", "o.o_custkey"), ("StockItemKey", "l.l_partkey"),
         ("SalespersonKey", "l.l_suppkey"), ("OrderDate", F.col("o.o_orderdate").cast("date")),
         ("PickedDate", F.col("l.l_shipdate").cast("date")),
@@ -61,7 +61,7 @@ def _order_fact_map() -> list:
     ]
 def _sale_map() -> list:
     return [
-        ("WWIInvoiceID", "o_orderkey"), ("CustomerKey", "o_custkey"),
+        ("SourceInvoiceID", "o_orderkey"), ("CustomerKey", "o_custkey"),
         ("InvoiceDate", F.col("o_orderdate").cast("date")), ("InvoiceStatus", "o_orderstatus"),
         ("Priority", "o_orderpriority"), ("TotalIncludingTax", "o_totalprice"),
     ]

@@ -20,9 +20,9 @@ def test_map_columns_rename_qualified_and_duplicates(spark):
     c = spark.createDataFrame([(1, "x", 10)], "CustomerID INT, CustomerName STRING, ValidFrom INT")
     p = spark.createDataFrame([(10, 99)], "PersonID INT, ValidFrom INT")
     j = c.alias("cust").join(p.alias("ppl"), F.col("cust.ValidFrom") == F.col("ppl.PersonID"))
-    out = map_columns(j, [("WWICustomerID", "CustomerID"), ("Primary Contact", F.lit("p")),
+    out = map_columns(j, [("SourceCustomerID", "CustomerID"), ("Primary Contact", F.lit("p")),
                           ("ValidFrom", "cust.ValidFrom"), ("ValidFrom", "ppl.ValidFrom")])
-    assert out.columns == ["WWICustomerID", "Primary Contact", "ValidFrom"]
+    assert out.columns == ["SourceCustomerID", "Primary Contact", "ValidFrom"]
     assert tuple(out.first()) == (1, "p", 10)
     with pytest.raises(ValueError):
         map_columns(j, [("a", "CustomerID"), ("A", "CustomerName")], on_duplicate="error")
