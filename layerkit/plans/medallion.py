@@ -19,7 +19,7 @@ from ..functions.dates import ts_lit
 from ..operators.aggregates import dedup_keep_first
 from ..operators.merge import apply_merge, create_partitioned_table, merge_update
 from ..operators.split import split_rows
-from ..schemas import MOVIE
+from ..schemas import MOVIE, assert_schema, parse_ddl
 from ..session import new_database, new_run_dir
 from ..sources.files import read_json_array
 from ..sources.tables import load
@@ -33,6 +33,15 @@ NEW, LOADED, QUARANTINED = "New", "Loaded", "Quarantined"
 RUN_TS = dt.datetime(2024, 1, 15, 8, 30, 0)
 MOVIES_PER_DOCUMENT = 2_000
 BRONZE_DDL = "Movies STRING, record_key STRING, Ingesttime TIMESTAMP, Status STRING, p_Ingestdate DATE"
+# Expected layer schemas, checked after each write.
+SILVER_DDL = ("record_key STRING, Id BIGINT, Title STRING, Overview STRING, OriginalLanguage STRING, "
+              "Price DOUBLE, ReleaseDate TIMESTAMP, Budget DOUBLE, Revenue DOUBLE, RunTime BIGINT, "
+              "Tagline STRING, CreatedBy STRING, CreatedDate TIMESTAMP, UpdatedBy STRING, "
+              "UpdatedDate TIMESTAMP, ImdbUrl STRING, TmdbUrl STRING, PosterUrl STRING, "
+              "BackdropUrl STRING, p_ReleaseYear INT")
+GENRE_DDL = "Genre_Id INT, Genre_Name STRING"
+JUNCTION_DDL = "Movie_Id BIGINT, Genre_Id INT"
+LANGUAGE_DDL = "Language_Code STRING, Language_Name STRING"
 SILVER_COLUMNS = ["Id", "Title", "Overview", "OriginalLanguage", "Price", "ReleaseDate", "Budget",
                   "Revenue", "RunTime", "Tagline", "CreatedBy", "CreatedDate", "UpdatedBy",
                   "UpdatedDate", "ImdbUrl", "TmdbUrl", "PosterUrl", "BackdropUrl"]
@@ -174,6 +183,7 @@ class MedallionRun:
     def ingest(self) -> "MedallionRun":
         write_raw_documents(self.spark, self.sf, self.raw_path)
         raw_to_bronze(self.spark, self.raw_path, self.bronze, self.run_ts)
+        assert_schema(self.spark.table(self.bronze), parse_ddl(self.spark, BRONZE_DDL))
         return self
 
     def parsed_new(self) -> DataFrame:
@@ -195,6 +205,10 @@ class MedallionRun:
         with ThreadPoolExecutor(max_workers=len(sinks)) as pool:
             for f in [pool.submit(s) for s in sinks]:
                 f.result()
+        assert_schema(self.spark.table(self.silver), parse_ddl(self.spark, SILVER_DDL))
+        assert_schema(self.spark.table(f"{self.db}.genres"), parse_ddl(self.spark, GENRE_DDL))
+        assert_schema(self.spark.table(f"{self.db}.movie_genres"), parse_ddl(self.spark, JUNCTION_DDL))
+        assert_schema(self.spark.table(f"{self.db}.languages"), parse_ddl(self.spark, LANGUAGE_DDL))
         # statuses are set only after every sink has been written
         update_status(self.spark, self.bronze, [(self.spark.table(self.silver), LOADED),
                                                 (self.spark.table(self.quarantine), QUARANTINED)])
