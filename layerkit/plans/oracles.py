@@ -1,6 +1,7 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-Column names and types are aliased/cast to match the Spark results exactly.
+Column names and types are aliased/cast to match the Spark results exactly;
+dates appear as midnight TIMESTAMPs, as the registered Spark results hand them out.
 """
 from __future__ import annotations
 
@@ -173,7 +174,7 @@ RETAIL = {
 _ODS_ROWS = """
     SELECT o.o_orderkey AS OrderID,
            CAST(CAST(SUM({amount}) AS DECIMAL(18,2)) AS DOUBLE) AS OrderTotal,
-           o.o_custkey AS CustomerID, CAST(o.o_orderdate AS DATE) AS OrderDate
+           o.o_custkey AS CustomerID, CAST(CAST(o.o_orderdate AS DATE) AS TIMESTAMP) AS OrderDate
     FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
     WHERE o.o_orderdate >= TIMESTAMP '{lo}' AND o.o_orderdate < TIMESTAMP '{hi}'
     GROUP BY o.o_orderkey, o.o_custkey, o.o_orderdate"""
@@ -193,7 +194,7 @@ INCREMENTAL = {
             SELECT p_partkey, p_name, p_brand, p_retailprice,
                    unnest(CASE WHEN p_size % 2 = 0 THEN [p_size, p_size + 1] ELSE [p_size] END) AS pkg,
                    CASE WHEN p_partkey % 50 = 0 THEN NULL
-                        ELSE CAST(DATE '2018-01-01' + CAST(p_partkey % 28 AS INTEGER) AS DATE) END AS OrderDate
+                        ELSE CAST(DATE '2018-01-01' + CAST(p_partkey % 28 AS INTEGER) AS TIMESTAMP) END AS OrderDate
             FROM part),
         n AS (SELECT *, row_number() OVER (ORDER BY p_partkey, pkg) AS rn FROM r)
         SELECT CAST(mx.m + n.rn AS BIGINT) AS StockItemID,
@@ -239,7 +240,7 @@ _WORDS = """
     SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w FROM part"""
 
 MEDALLION = {
-    "m_bronze": f"SELECT Id, Title, 'New' AS Status, DATE '2024-01-15' AS p_Ingestdate FROM ({_BRONZE_ROWS})",
+    "m_bronze": f"SELECT Id, Title, 'New' AS Status, TIMESTAMP '2024-01-15 00:00:00' AS p_Ingestdate FROM ({_BRONZE_ROWS})",
     "m_silver_clean": f"SELECT {_SILVER_COLS} FROM ({_MOVIES}) WHERE {_RULE}",
     "m_quarantine": f"SELECT {_SILVER_COLS} FROM ({_MOVIES}) WHERE NOT coalesce({_RULE}, false)",
     "m_genres": f"""
@@ -308,13 +309,14 @@ WAREHOUSE = {
     "w_order_fact": """
         SELECT o.o_orderkey AS SourceOrderID, l.l_linenumber AS SourceOrderLineID, o.o_custkey AS CustomerKey,
                l.l_partkey AS StockItemKey, l.l_suppkey AS SalespersonKey,
-               CAST(o.o_orderdate AS DATE) AS OrderDate, CAST(l.l_shipdate AS DATE) AS PickedDate,
+               CAST(CAST(o.o_orderdate AS DATE) AS TIMESTAMP) AS OrderDate,
+               CAST(CAST(l.l_shipdate AS DATE) AS TIMESTAMP) AS PickedDate,
                CAST(l.l_quantity AS BIGINT) AS Quantity,
                CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS TotalExcludingTax,
                l.l_tax AS TaxRate
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "w_sales": """
-        SELECT o_orderkey AS SourceInvoiceID, o_custkey AS CustomerKey, CAST(o_orderdate AS DATE) AS InvoiceDate,
+        SELECT o_orderkey AS SourceInvoiceID, o_custkey AS CustomerKey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS InvoiceDate,
                o_orderstatus AS InvoiceStatus, o_orderpriority AS Priority, o_totalprice AS TotalIncludingTax
         FROM orders""",
 }

@@ -73,6 +73,39 @@ def compare(spark, name, fn, sql, sf_dir, con):
     return res
 
 
+def _pandas_cells(pdf, cols):
+    import pandas as pd
+    out = []
+    for row in pdf[cols].itertuples(index=False):
+        cells = []
+        for v in row:
+            if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+                cells.append(None)
+            elif isinstance(v, float):
+                cells.append(f"{v:.9g}")
+            elif hasattr(v, "item") and not isinstance(v, (str, bytes)):
+                x = v.item()
+                cells.append(f"{x:.9g}" if isinstance(x, float) else str(pd.Timestamp(v)) if "datetime" in str(type(v)) else str(x))
+            else:
+                cells.append(str(pd.Timestamp(v)) if isinstance(v, (dt.date, dt.datetime)) else str(v))
+        out.append(tuple(cells))
+    return sorted(out, key=repr)
+
+
+def compare_pandas(spark, name, fn, sql, sf_dir, con):
+    """Like ``compare`` but through pandas on both sides (toPandas / DuckDB df())."""
+    sdf = fn(spark, sf_dir).toPandas()
+    ddf = con.execute(sql).df()
+    cols = sorted(sdf.columns)
+    if cols != sorted(ddf.columns):
+        return {"name": name, "ok": False, "why": "columns"}
+    a, b = _pandas_cells(sdf, cols), _pandas_cells(ddf, cols)
+    res = {"name": name, "ok": a == b, "rows": (len(a), len(b))}
+    if not res["ok"]:
+        res["why"] = f"{[x for x in a if x not in set(b)][:2]} vs {[x for x in b if x not in set(a)][:2]}"
+    return res
+
+
 def main(names=None, sf_dir="/root/testdata/sf0.01"):
     sys.path.insert(0, "/root/repo")
     import __spark_entry__ as E
@@ -87,7 +120,7 @@ def main(names=None, sf_dir="/root/testdata/sf0.01"):
             print({"name": name, "rows_only": sdf.count()})
             continue
         try:
-            r = compare(spark, name, qs[name], sqls[name], sf_dir, con)
+            r = (compare_pandas if PANDAS else compare)(spark, name, qs[name], sqls[name], sf_dir, con)
         except Exception as e:  # noqa: BLE001
             r = {"name": name, "ok": False, "why": repr(e)[:400]}
         bad += not r["ok"]
@@ -96,5 +129,11 @@ def main(names=None, sf_dir="/root/testdata/sf0.01"):
     return bad
 
 
+PANDAS = False
+
 if __name__ == "__main__":
-    main(sys.argv[1:] or None)
+    args = sys.argv[1:]
+    if "--pandas" in args:
+        PANDAS = True
+        args.remove("--pandas")
+    main(args or None)
