@@ -18,6 +18,24 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting point for a large cluster (hundreds of executors, ~100 TB inputs):
+# many initial shuffle partitions that AQE coalesces to ~256 MB each, 256 MB scan
+# splits, skew splitting above 5x the median partition, and a broadcast limit that
+# is checked against real (runtime) sizes by AQE.
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.parquet.compression.codec": "snappy",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "layerkit", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
