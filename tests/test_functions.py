@@ -1,5 +1,3 @@
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from layerkit.functions import (array_or_scalar, avg_int, capitalize_first, clean_people,

@@ -35,3 +35,27 @@ def test_top_item_limits_groups_before_the_shuffle(spark):
 def test_pivot_with_values_has_no_extra_distinct_job(spark):
     plan = plan_text(retail.q18_pivot_years(spark, SF_SMALL))
     assert "pivotfirst" in plan.lower()
+
+
+def test_order_total_aggregates_before_joining(spark):
+    plan = plan_text(retail.q20_tvf_apply(spark, SF_SMALL), "simple")
+    assert "partial_sum" in plan
+
+
+def test_not_in_avoids_null_aware_join(spark):
+    plan = plan_text(retail.q03_lapsed_customers(spark, SF_SMALL), "simple")
+    assert "LeftAnti" in plan and "isnull" not in plan.split("LeftAnti")[1].split("\n")[0].lower()
+
+
+def test_surrogate_key_has_no_window_over_rows(spark):
+    from layerkit.operators import add_surrogate_key
+    df = spark.range(1000).selectExpr("id % 7 AS g", "id")
+    plan = plan_text(add_surrogate_key(df, ["g", "id"], "sk"), "simple")
+    # the only window runs over one row per partition (the offsets), after an aggregate
+    window_inputs = [ln for ln in plan.splitlines() if "Window [" in ln]
+    assert len(window_inputs) == 1 and "__n" in window_inputs[0]
+
+
+def test_one_pass_for_both_cte_aggregates(spark):
+    plan = plan_text(retail.q09_bought_gt_sold(spark, SF_SMALL), "simple")
+    assert plan.count("FileScan parquet") == 3  # lineitem, orders, part once each
