@@ -285,6 +285,16 @@ MEDALLION = {
 }
 
 WAREHOUSE = {
+    "w_pipeline": """
+        SELECT 'customer_dim' AS sink, count(*) AS n_rows FROM customer c
+        JOIN (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) ct ON c.c_nationkey = ct.s_nationkey
+        JOIN (SELECT c_nationkey, c_mktsegment, min(c_custkey) AS b FROM customer GROUP BY 1, 2) h
+          ON h.c_nationkey = c.c_nationkey AND h.c_mktsegment = c.c_mktsegment
+        JOIN customer b ON b.c_custkey = h.b
+        UNION ALL SELECT 'employee_dim', count(*) FROM supplier WHERE s_acctbal >= 0
+        UNION ALL SELECT 'stockitem_dim', count(*) FROM part
+        UNION ALL SELECT 'order_fact', count(*) FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+        UNION ALL SELECT 'sales', count(*) FROM orders""",
     "w_customer_dim": """
         WITH contact AS (
             SELECT s.s_nationkey, s.s_name FROM supplier s

@@ -114,3 +114,62 @@ def w_order_fact(spark, sf):
 
 def w_sales(spark, sf):
     return build_sales(load(spark, sf, "orders"))
+
+
+# ------------------------------------------------------------------ end-to-end flow
+ODS_TABLES = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DECIMAL(18,2), "
+                "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DECIMAL(18,2)",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DECIMAL(18,2)",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DECIMAL(18,2), "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DECIMAL(18,2), l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ",
+}
+
+
+def ods_to_integration(spark: SparkSession, ods_root: str, out_root: str) -> dict[str, str]:
+    """Five integration sinks built from one read of the ODS parquet layer.
+
+    The builds share their inputs but not their work, so they are submitted as
+    concurrent Spark jobs; a failure in any of them fails the step.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ..sources.files import layer_path
+    from ..sources.writers import write_parquet
+
+    ods = {t: spark.read.parquet(layer_path(ods_root, "ODS", t)) for t in ODS_TABLES}
+    builds = {
+        "customer_dim": lambda: build_customer_dim(ods["customer"], ods["supplier"]),
+        "employee_dim": lambda: build_employee_dim(ods["supplier"]),
+        "stockitem_dim": lambda: build_stockitem_dim(ods["part"]),
+        "order_fact": lambda: build_order_fact(ods["lineitem"], ods["orders"]),
+        "sales": lambda: build_sales(ods["orders"]),
+    }
+    paths = {name: layer_path(out_root, "Integration", name) for name in builds}
+    with ThreadPoolExecutor(max_workers=len(builds)) as pool:
+        futures = [pool.submit(lambda n=n: write_parquet(builds[n](), paths[n])) for n in builds]
+        for f in futures:
+            f.result()
+    return paths
+
+
+def w_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """ODS copies (typed) -> integration layer; rows per written sink."""
+    from ..session import new_run_dir
+    from ..sources.files import layer_path
+    from ..sources.writers import write_parquet
+
+    root = new_run_dir(spark, "warehouse")
+    for t, ddl in ODS_TABLES.items():
+        write_parquet(conform(load(spark, sf, t), ddl), layer_path(root, "ODS", t))
+    paths = ods_to_integration(spark, root, root)
+    out = None
+    for name, path in paths.items():
+        c = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")) \
+                 .select(F.lit(name).alias("sink"), "n_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
