@@ -139,3 +139,21 @@ def apply_merge(spark: SparkSession, table: str, partition_col: str,
         for row in emptied:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col}='{row[0]}')")
     overwrite_partitions(staged, table)
+
+
+def upsert_into_table(spark: SparkSession, table: str, rows: DataFrame, key,
+                      buckets: int = 64, bucket_col: str = "_bucket") -> None:
+    """Insert-or-replace ``rows`` into a catalog table by ``key``.
+
+    The table is partitioned by a hash bucket of the key, so a key always lives in
+    the same bucket: only buckets that receive a key are read, merged and
+    rewritten (copy-on-write per bucket), the rest of the table is untouched.
+    """
+    keys = _key_list(key)
+    src = rows.withColumn(bucket_col, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)))
+    if not spark.catalog.tableExists(table):
+        src.write.partitionBy(bucket_col).saveAsTable(table)
+        return
+    touched = src.select(bucket_col).distinct()
+    current = spark.table(table).join(touched, bucket_col, "left_semi")
+    apply_merge(spark, table, bucket_col, merge_upsert(current, src, keys))

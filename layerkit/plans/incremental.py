@@ -164,11 +164,12 @@ def _mark_lit(v):
 
 
 def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm_col: str,
-                     control_path: str, sink_path: str) -> int:
+                     control_path: str, sink_path: str | None = None, write_fn=None) -> int:
     """Copy rows with ``old_mark < wm <= new_mark`` and then store the new mark.
 
     Both marks are single values; the range predicate reaches the scan (parquet
-    statistics / JDBC WHERE). The mark is written only after the rows are
+    statistics / JDBC WHERE). The rows go to ``write_fn`` (e.g. an upsert) or are
+    appended to ``sink_path``. The mark is written only after the rows are
     committed, so a failed run is simply repeated. Rows with a null mark never load.
     Returns 1 when rows were copied, 0 when there was nothing new.
     """
@@ -180,14 +181,23 @@ def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm
     cond = F.col(wm_col) <= _mark_lit(new)
     if old is not None:
         cond = cond & (F.col(wm_col) > _mark_lit(old))
-    source.filter(cond).write.mode("append").parquet(sink_path)
-    marks = (control.filter(F.col("TableName") != table_name)
-             .unionByName(spark.createDataFrame([(table_name, new)], WATERMARK_DDL)))
-    marks = marks.checkpoint(eager=True)  # the mark file is overwritten next
-    marks.coalesce(1).write.mode("overwrite").parquet(control_path)
+    if write_fn is not None:
+        write_fn(source.filter(cond))
+    else:
+        source.filter(cond).write.mode("append").parquet(sink_path)
+    set_marks(spark, control_path, {table_name: new})
     return 1
 
 
+def set_marks(spark: SparkSession, control_path: str, marks: dict) -> None:
+    """Replace the marks of the given tables in the control table."""
+    control = spark.read.parquet(control_path)
+    rows = spark.createDataFrame(list(marks.items()), WATERMARK_DDL)
+    updated = control.filter(~F.col("TableName").isin(*marks)).unionByName(rows)
+    updated = updated.checkpoint(eager=True)  # the control file is overwritten next
+    updated.coalesce(1).write.mode("overwrite").parquet(control_path)
+
+
 def i_watermark_increment(spark, sf):
     from ..session import new_run_dir
     root = new_run_dir(spark, "watermark")

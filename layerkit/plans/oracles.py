@@ -380,9 +380,9 @@ MISC = {
 PIPELINES = {
     "g07_config_loop": """
         SELECT 'orders' AS TABLE_NAME, count(*) AS n_rows FROM orders
-        WHERE o_orderdate > TIMESTAMP '2000-06-30'
-        UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-01-31'
-        UNION ALL SELECT 'events', count(*) FROM events WHERE ts > TIMESTAMP '2024-01-20 12:00:00'""",
+        WHERE o_orderdate > TIMESTAMP '2000-05-31'
+        UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-01-01'
+        UNION ALL SELECT 'events', count(*) FROM events WHERE ts > TIMESTAMP '2023-12-21 12:00:00'""",
     "g08_ods_to_parquet": """
         SELECT 'orders' AS table_name, count(*) AS n_rows,
                CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS money_total FROM orders

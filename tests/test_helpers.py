@@ -105,3 +105,16 @@ def test_sql_table_function_matches_apply(spark):
                            FROM orders o, LATERAL order_total(o.o_orderkey) f""")
     via_df = retail.q20_tvf_apply(spark, SF_SMALL).select("o_orderkey", "total")
     assert sorted(via_sql.collect()) == sorted(via_df.collect())
+
+
+def test_bucketed_upsert(spark):
+    from layerkit.operators.merge import upsert_into_table
+    db = new_database(spark, "t_upsert")
+    t = f"{db}.ods"
+    upsert_into_table(spark, t, spark.createDataFrame([(i, "v1") for i in range(20)], "k INT, v STRING"), "k",
+                      buckets=4)
+    upsert_into_table(spark, t, spark.createDataFrame([(i, "v2") for i in range(15, 25)], "k INT, v STRING"), "k",
+                      buckets=4)
+    got = dict((r.k, r.v) for r in spark.table(t).collect())
+    assert len(got) == 25 and spark.table(t).count() == 25
+    assert all(got[i] == ("v2" if i >= 15 else "v1") for i in range(25))
