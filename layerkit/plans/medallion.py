@@ -90,12 +90,14 @@ def write_raw_documents(spark: SparkSession, sf: str, path: str,
 
 
 # ------------------------------------------------------------------ bronze
-def stamp_ingest(raw: DataFrame, run_ts: dt.datetime = RUN_TS) -> DataFrame:
-    """Ingestion metadata; the run time is a parameter so re-runs are reproducible."""
+def stamp_ingest(raw: DataFrame, run_ts: dt.datetime | None = RUN_TS) -> DataFrame:
+    """Ingestion metadata. ``run_ts=None`` stamps the current time; passing the run
+    time keeps re-runs reproducible."""
+    ts = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
+    day = ts.cast("date") if run_ts is None else ts_lit(run_ts.date())
     return raw.select(
         "Movies", F.sha2("Movies", 256).alias("record_key"),
-        F.lit(run_ts).cast("timestamp").alias("Ingesttime"), F.lit(NEW).alias("Status"),
-        ts_lit(run_ts.date()).alias("p_Ingestdate"))
+        ts.alias("Ingesttime"), F.lit(NEW).alias("Status"), day.alias("p_Ingestdate"))
 
 
 def create_bronze(spark: SparkSession, db: str) -> str:

@@ -280,6 +280,13 @@ def q19_pivot_groups(spark, sf):
                      "quantity", names=[t.lower() for t in PIVOT_TYPES])
 
 
+def register_views(spark: SparkSession, sf: str) -> list[str]:
+    """CREATE VIEW for the two pivots (temporary views over the lazy plans)."""
+    q18_pivot_years(spark, sf).createOrReplaceTempView("stock_quantity_by_year")
+    q19_pivot_groups(spark, sf).createOrReplaceTempView("stock_quantity_by_group")
+    return ["stock_quantity_by_year", "stock_quantity_by_group"]
+
+
 # Q20: table function applied per order (CROSS APPLY) -------------------------------------------
 def order_total(lineitem: DataFrame, with_tax: bool = False) -> DataFrame:
     """``OrderTotal(order)`` for every order at once: SUM(quantity * unit price)

@@ -118,3 +118,12 @@ def test_bucketed_upsert(spark):
     got = dict((r.k, r.v) for r in spark.table(t).collect())
     assert len(got) == 25 and spark.table(t).count() == 25
     assert all(got[i] == ("v2" if i >= 15 else "v1") for i in range(25))
+
+
+def test_views_and_current_time_stamp(spark):
+    from layerkit.plans.medallion import stamp_ingest
+    names = retail.register_views(spark, SF_SMALL)
+    assert sorted(spark.table(names[0]).collect()) == sorted(retail.q18_pivot_years(spark, SF_SMALL).collect())
+    raw = spark.createDataFrame([('{"Id": 1}',)], "Movies STRING")
+    row = stamp_ingest(raw, None).first()
+    assert row.Status == "New" and row.Ingesttime is not None and row.p_Ingestdate == row.Ingesttime.date()
