@@ -232,7 +232,9 @@ _MOVIES = """
            CAST(CASE WHEN p_partkey % 29 = 0 THEN NULL WHEN p_partkey % 31 = 0 THEN 0
                      WHEN p_partkey % 17 = 0 THEN -p_size ELSE p_size END AS BIGINT) AS RunTime
     FROM part"""
-_BRONZE_ROWS = f"SELECT * FROM ({_MOVIES}) UNION ALL SELECT * FROM ({_MOVIES}) WHERE Id % 10 = 0"
+_BRONZE_ROWS = f"""
+    SELECT * EXCLUDE (copy) FROM (
+        SELECT *, unnest(CASE WHEN Id % 10 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM ({_MOVIES}))"""
 _RULE = "(Id IS NOT NULL AND ReleaseDate IS NOT NULL AND RunTime >= 0)"
 _SILVER_COLS = ("Id, Title, OriginalLanguage, Price, ReleaseDate, RunTime, "
                 "CAST(year(ReleaseDate) AS INTEGER) AS p_ReleaseYear")
@@ -262,7 +264,7 @@ MEDALLION = {
                         THEN 'Loaded' ELSE 'Quarantined' END AS Status
         FROM ({_BRONZE_ROWS})""",
     "x_null_profile": """
-        WITH m AS (SELECT * FROM (""" + _MOVIES + """) UNION ALL SELECT * FROM (""" + _MOVIES + """) WHERE Id % 10 = 0)
+        WITH m AS (""" + _BRONZE_ROWS + """)
         SELECT column_name, null_count, (SELECT count(*) FROM m) AS row_count FROM (
             SELECT 'Id' AS column_name, count(*) - count(Id) AS null_count FROM m
             UNION ALL SELECT 'Title', count(*) - count(Title) FROM m
