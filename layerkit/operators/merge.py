@@ -80,7 +80,7 @@ def truncate_table(spark: SparkSession, table: str) -> None:
 def partition_values(spark: SparkSession, table: str, partition_col: str) -> DataFrame:
     """Partition values of a table as a one-column DataFrame (catalog metadata)."""
     return (spark.sql(f"SHOW PARTITIONS {table}")
-            .select(F.regexp_extract("partition", f"{partition_col}=(.*)", 1).alias(partition_col)))
+            .select(F.regexp_extract("partition", f"(?:^|/){partition_col}=([^/]*)", 1).alias(partition_col)))
 
 
 def drop_partitions_where(spark: SparkSession, table: str, partition_col: str,
@@ -119,25 +119,27 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*cols).write.insertInto(table, overwrite=False)
 
 
-def apply_merge(spark: SparkSession, table: str, partition_col: str,
-                new_content: DataFrame, affected: DataFrame | None = None) -> None:
+def apply_merge(spark: SparkSession, table: str, partition_cols, new_content: DataFrame,
+                affected: DataFrame | None = None) -> None:
     """Write the merged content of the touched partitions back to ``table``.
 
     ``new_content`` is the full new content of the partitions that may change
     (typically built with ``merge_*`` from a partition-filtered read); it is
     checkpointed to the shared checkpoint folder so the overwrite cannot re-read
     files it is replacing, then written with dynamic partition overwrite.
-    ``affected`` (a DataFrame holding ``partition_col``) names the partitions that
-    were rewritten; those left without rows are dropped, since a dynamic
-    overwrite only replaces partitions that still receive rows.
+    ``affected`` (a DataFrame holding the partition columns) names the partitions
+    that were read for the merge; those left without rows are dropped, since a
+    dynamic overwrite only replaces partitions that still receive rows.
     """
+    cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     staged = new_content.checkpoint(eager=True)
     if affected is not None:
-        emptied = (affected.select(partition_col).distinct()
-                   .join(staged.select(partition_col).distinct(), partition_col, "left_anti")
+        emptied = (affected.select(*cols).distinct()
+                   .join(staged.select(*cols).distinct(), cols, "left_anti")
                    .collect())
         for row in emptied:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col}='{row[0]}')")
+            spec = ", ".join(f"{c}='{row[c]}'" for c in cols)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
     overwrite_partitions(staged, table)
 
 

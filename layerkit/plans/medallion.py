@@ -32,7 +32,11 @@ NEW, LOADED, QUARANTINED = "New", "Loaded", "Quarantined"
 
 RUN_TS = dt.datetime(2024, 1, 15, 8, 30, 0)
 MOVIES_PER_DOCUMENT = 2_000
-BRONZE_DDL = "Movies STRING, record_key STRING, Ingesttime TIMESTAMP, Status STRING, p_Ingestdate DATE"
+BRONZE_DDL = "Movies STRING, record_key STRING, Ingesttime TIMESTAMP, p_Ingestdate DATE, Status STRING"
+# Bronze folders: p_Ingestdate=<day>/Status=<status>. Reading the 'New' (or the
+# 'Quarantined') rows prunes to those folders, so a run costs what arrived, not
+# the whole history.
+BRONZE_PARTITIONS = ["p_Ingestdate", "Status"]
 # Expected layer schemas, checked after each write.
 SILVER_DDL = ("record_key STRING, Id BIGINT, Title STRING, Overview STRING, OriginalLanguage STRING, "
               "Price DOUBLE, ReleaseDate TIMESTAMP, Budget DOUBLE, Revenue DOUBLE, RunTime BIGINT, "
@@ -103,7 +107,7 @@ def stamp_ingest(raw: DataFrame, run_ts: dt.datetime | None = RUN_TS) -> DataFra
 
 def create_bronze(spark: SparkSession, db: str) -> str:
     table = f"{db}.movies_bronze"
-    create_partitioned_table(spark, table, BRONZE_DDL, "p_Ingestdate")
+    create_partitioned_table(spark, table, BRONZE_DDL, ", ".join(BRONZE_PARTITIONS))
     return table
 
 
@@ -150,21 +154,26 @@ def language_table(parsed: DataFrame) -> DataFrame:
                   .withColumn("Language_Name", F.lit(LANGUAGE_NAME)))
 
 
-def update_status(spark: SparkSession, table: str, updates: list[tuple[DataFrame, str]]) -> None:
+def update_status(spark: SparkSession, table: str, updates: list[tuple[DataFrame, str]],
+                  from_status: tuple[str, ...] = (NEW,)) -> None:
     """MERGE bronze USING keys ON record_key WHEN MATCHED UPDATE SET Status.
 
     ``updates`` pairs frames of record keys with the status they receive; all are
-    applied in one merge. Only the ingest-date partitions holding a matched key are
-    read and rewritten."""
+    applied in one merge. Matched rows can only be in ``from_status`` folders, so
+    the ingest dates to touch come from that pruned scan; those dates' folders
+    are rewritten (rows move between Status folders) and emptied folders dropped.
+    """
     src = reduce(DataFrame.unionByName,
                  [k.select("record_key").withColumn("Status", F.lit(st)) for k, st in updates])
     src = src.dropDuplicates(["record_key"])
     bronze = spark.table(table)
-    touched = bronze.join(src.select("record_key"), "record_key", "left_semi") \
-                    .select("p_Ingestdate").distinct()
+    scope = bronze.filter(F.col("Status").isin(*from_status))
+    touched = scope.join(src.select("record_key"), "record_key", "left_semi") \
+                   .select("p_Ingestdate").distinct()
     part = bronze.join(touched, "p_Ingestdate", "left_semi")
     merged = merge_update(part, src, "record_key", {"Status": "Status"})
-    apply_merge(spark, table, "p_Ingestdate", merged)
+    apply_merge(spark, table, BRONZE_PARTITIONS, merged,
+                affected=part.select(*BRONZE_PARTITIONS))
 
 
 def repair_negative(df: DataFrame, col: str = "RunTime") -> DataFrame:
@@ -222,7 +231,7 @@ class MedallionRun:
         fixed, _still_bad = clean_and_quarantine(repair_negative(bad))
         cols = self.spark.table(self.silver).columns
         fixed.select(*cols).write.insertInto(self.silver)
-        update_status(self.spark, self.bronze, [(fixed, LOADED)])
+        update_status(self.spark, self.bronze, [(fixed, LOADED)], from_status=(QUARANTINED,))
         return self
 
 

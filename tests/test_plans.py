@@ -59,3 +59,10 @@ def test_surrogate_key_has_no_window_over_rows(spark):
 def test_one_pass_for_both_cte_aggregates(spark):
     plan = plan_text(retail.q09_bought_gt_sold(spark, SF_SMALL), "simple")
     assert plan.count("FileScan parquet") == 3  # lineitem, orders, part once each
+
+
+def test_bronze_status_scan_prunes_partitions(spark):
+    from layerkit.plans import medallion as med
+    run = med.MedallionRun(spark, SF_SMALL).ingest()
+    plan = plan_text(run.parsed_new(), "simple")
+    assert "PartitionFilters: [isnotnull(Status" in plan and "(Status#" in plan and "= New)" in plan
