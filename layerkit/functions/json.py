@@ -12,13 +12,17 @@ def _col(c) -> Column:
 def json_value(col, path: str) -> Column:
     """Scalar at ``path`` as text; objects and arrays give null (JSON_VALUE rules).
 
-    ``get_json_object`` alone returns the JSON text of objects/arrays, so the
-    value's type is checked through VARIANT first.
+    ``get_json_object`` (a streaming parser; scalars keep their original text) is
+    the fast path. Its result is ambiguous only when it starts with a brace or
+    bracket: an object / array (-> null) or a string that merely begins that way;
+    only those rows are parsed into VARIANT to tell the two apart.
     """
-    v = F.try_variant_get(F.try_parse_json(_col(col)), path, "variant")
+    c = _col(col)
+    text = F.get_json_object(c, path)
+    v = F.try_variant_get(F.try_parse_json(c), path, "variant")
     kind = F.schema_of_variant(v)
-    return F.when(~(kind.startswith("OBJECT") | kind.startswith("ARRAY")),
-                  F.try_variant_get(v, "$", "string"))
+    nested = F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
+    return F.when(text.startswith("{") | text.startswith("["), nested).otherwise(text)
 
 
 def array_or_scalar(col, path: str, elem_type: str = "int") -> Column:

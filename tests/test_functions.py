@@ -6,13 +6,14 @@ from layerkit.functions import (array_or_scalar, avg_int, capitalize_first, clea
 
 def test_json_value_scalars_only(spark):
     df = spark.createDataFrame([
-        ('{"a": {"b": 1}, "s": "txt", "n": 7, "arr": [1, 2], "E": [{"C": "x"}, {"C": "y"}]}',),
+        ('{"a": {"b": 1}, "s": "txt", "n": 7, "arr": [1, 2], "E": [{"C": "x"}, {"C": "y"}], "b": "{x}"}',),
         ('not json',), (None,)], "j STRING")
     got = df.select(json_value("j", "$.a").alias("obj"), json_value("j", "$.arr").alias("arr"),
                     json_value("j", "$.s").alias("s"), json_value("j", "$.n").alias("n"),
-                    json_value("j", "$.E[1].C").alias("idx"), json_value("j", "$.zz").alias("miss")).collect()
-    assert tuple(got[0]) == (None, None, "txt", "7", "y", None)
-    assert tuple(got[1]) == (None,) * 6 and tuple(got[2]) == (None,) * 6
+                    json_value("j", "$.E[1].C").alias("idx"), json_value("j", "$.zz").alias("miss"),
+                    json_value("j", "$.b").alias("brace")).collect()
+    assert tuple(got[0]) == (None, None, "txt", "7", "y", None, "{x}")
+    assert tuple(got[1]) == (None,) * 7 and tuple(got[2]) == (None,) * 7
 
 
 def test_array_or_scalar(spark):
