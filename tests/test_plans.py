@@ -66,3 +66,24 @@ def test_bronze_status_scan_prunes_partitions(spark):
     run = med.MedallionRun(spark, SF_SMALL).ingest()
     plan = plan_text(run.parsed_new(), "simple")
     assert "PartitionFilters: [isnotnull(Status" in plan and "(Status#" in plan and "= New)" in plan
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from pyspark.sql import functions as F
+
+    from layerkit.session import new_database
+    from layerkit.sources import load, write_bucketed
+    db = new_database(spark, "t_bucket")
+    write_bucketed(load(spark, SF_SMALL, "orders"), f"{db}.orders", "o_orderkey", 8)
+    write_bucketed(load(spark, SF_SMALL, "lineitem"), f"{db}.lineitem", "l_orderkey", 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        o, l = spark.table(f"{db}.orders"), spark.table(f"{db}.lineitem")
+        j = l.join(o, l.l_orderkey == o.o_orderkey).groupBy("o_orderkey").agg(F.sum("l_quantity"))
+        plan = plan_text(j, "simple")
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        expected = load(spark, SF_SMALL, "lineitem").join(
+            load(spark, SF_SMALL, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).count()
+        assert l.join(o, l.l_orderkey == o.o_orderkey).count() == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
