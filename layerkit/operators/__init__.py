@@ -1,6 +1,6 @@
 from .aggregates import (distinct_by_key, dedup_keep_first, duplicate_keys, null_profile,
                          pivot_sum, top_per_group)
-from .joins import anti_join_not_in, or_join, repair_by_lookup
+from .joins import anti_join_not_in, or_join, repair_by_lookup, salted_join
 from .keys import add_surrogate_key, continue_key
 from .merge import (apply_merge, delete_where, drop_partitions_where, merge_delete,
                     merge_insert, merge_update, merge_upsert, overwrite_partitions)
@@ -9,7 +9,7 @@ from .split import split_chunks, split_rows
 
 __all__ = [
     "distinct_by_key", "dedup_keep_first", "duplicate_keys", "null_profile", "pivot_sum",
-    "top_per_group", "anti_join_not_in", "or_join", "repair_by_lookup",
+    "top_per_group", "anti_join_not_in", "or_join", "repair_by_lookup", "salted_join",
     "add_surrogate_key", "continue_key", "apply_merge", "delete_where",
     "drop_partitions_where", "merge_delete", "merge_insert", "merge_update",
     "merge_upsert", "overwrite_partitions", "split_chunks", "split_rows", "map_columns",
