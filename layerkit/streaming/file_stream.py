@@ -57,17 +57,22 @@ def write_batch_idempotent(batch: DataFrame, batch_id: int, sink_table: str) ->
 
 def stream_new_records(spark: SparkSession, src_path: str, schema: str, sink_table: str,
                        checkpoint: str, fmt: str = "parquet", max_files: int | None = None,
-                       transform=None, name: str | None = None) -> StreamingQuery:
+                       transform=None, name: str | None = None,
+                       archive_dir: str | None = None) -> StreamingQuery:
     """Process the files not seen yet (per the checkpoint) into a table.
 
     The checkpoint makes the source resume after the last committed batch, and
     each batch lands idempotently (``write_batch_idempotent``), so every file is
     stored once however often the job is restarted. ``max_files`` drip-feeds the
     backlog a few files per micro-batch. Readers drop the ``_batch_id`` column.
+    ``archive_dir`` moves consumed source files there once their batch has
+    committed (Spark's ``cleanSource=archive``), replacing a separate purge step.
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.load(src_path)
     if transform is not None:
         stream = transform(stream)

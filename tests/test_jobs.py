@@ -119,3 +119,20 @@ def test_replayed_batch_is_stored_once(spark):
     got = spark.table(sink)
     assert sorted(r.id for r in got.collect()) == list(range(8))
     assert sorted(r[0] for r in got.select(BATCH_COL).distinct().collect()) == [0, 1]
+
+
+def test_stream_archives_consumed_files(spark):
+    import glob
+    import os
+    root = new_run_dir(spark, "t_archive")
+    src, arch = f"{root}/landing", f"{root}/archive"
+    db = new_database(spark, "t_archive")
+    spark.range(0, 6).coalesce(1).write.parquet(src)
+    stream_new_records(spark, src, "id BIGINT", f"{db}.sink", f"{root}/ckpt", archive_dir=arch)
+    spark.range(6, 9).coalesce(1).write.mode("append").parquet(src)
+    stream_new_records(spark, src, "id BIGINT", f"{db}.sink", f"{root}/ckpt", archive_dir=arch)
+    assert spark.table(f"{db}.sink").count() == 9
+    local = lambda p: p.replace("file:", "")
+    archived = [f for f in glob.glob(f"{local(arch)}/**/*.parquet", recursive=True)]
+    assert len(archived) >= 1
+    assert all(not os.path.exists(local(src) + "/" + os.path.basename(f)) for f in archived)
