@@ -136,3 +136,17 @@ def test_stream_archives_consumed_files(spark):
     archived = [f for f in glob.glob(f"{local(arch)}/**/*.parquet", recursive=True)]
     assert len(archived) >= 1
     assert all(not os.path.exists(local(src) + "/" + os.path.basename(f)) for f in archived)
+
+
+def test_multi_day_load_is_all_or_nothing(spark):
+    db = new_database(spark, "t_days")
+    table = inc.create_ods_orders(spark, db)
+    o, l = load(spark, SF_SMALL, "orders"), load(spark, SF_SMALL, "lineitem")
+    days = [r[0].date() for r in o.select("o_orderdate").distinct().orderBy("o_orderdate").limit(3).collect()]
+    inc.load_orders_for_dates(spark, table, o, l, days[:2])
+    n = spark.table(table).count()
+    with pytest.raises(inc.DateAlreadyLoaded):
+        inc.load_orders_for_dates(spark, table, o, l, days[1:])
+    assert spark.table(table).count() == n
+    inc.load_orders_for_dates(spark, table, o, l, days[2:])
+    assert spark.table(table).select("OrderDate").distinct().count() == 3
