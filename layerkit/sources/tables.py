@@ -13,3 +13,10 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> list[str]:
+    """Register the tables as temporary views for ``spark.sql`` users (lazy scans)."""
+    for name in names:
+        load(spark, sf_dir, name).createOrReplaceTempView(name)
+    return list(names)

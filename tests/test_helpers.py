@@ -127,3 +127,13 @@ def test_views_and_current_time_stamp(spark):
     raw = spark.createDataFrame([('{"Id": 1}',)], "Movies STRING")
     row = stamp_ingest(raw, None).first()
     assert row.Status == "New" and row.Ingesttime is not None and row.p_Ingestdate == row.Ingesttime.date()
+
+
+def test_spark_sql_over_registered_views(spark):
+    from layerkit.plans import oracles
+    from layerkit.sources import register_views
+    register_views(spark, SF_SMALL)
+    for name in ("q01_or_join", "q02_join_residual", "q05_len_filter", "q11_between", "q03_lapsed_customers"):
+        via_sql = sorted(map(tuple, spark.sql(oracles.RETAIL[name]).collect()), key=repr)
+        via_df = sorted(map(tuple, getattr(retail, name)(spark, SF_SMALL).collect()), key=repr)
+        assert via_sql == via_df, name
