@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import ts_lit
 from ..operators.aggregates import dedup_keep_first
+from ..operators.keys import add_surrogate_key
 from ..operators.merge import apply_merge, create_partitioned_table, merge_update
 from ..operators.split import split_rows
 from ..schemas import MOVIE, assert_schema, parse_ddl
@@ -144,6 +145,13 @@ def genre_table(parsed: DataFrame) -> DataFrame:
     return dedup_keep_first(g, ["Genre_Id"], ["Genre_Name"])
 
 
+def genre_table_by_name(parsed: DataFrame) -> DataFrame:
+    """Genre lookup keyed by name with a generated key 1..n in name order (the
+    pipeline variant: one row per distinct name, source ids ignored)."""
+    names = parsed.select(F.explode("genres.name").alias("Genre_Name")).distinct()
+    return add_surrogate_key(names, ["Genre_Name"], "Genre_Key")
+
+
 def movie_genre_table(parsed: DataFrame) -> DataFrame:
     return (parsed.select(F.col("Id").alias("Movie_Id"), F.explode("genres").alias("g"))
                   .select("Movie_Id", F.col("g.id").alias("Genre_Id")).distinct())
@@ -264,6 +272,11 @@ def m_genres(spark, sf):
     return spark.table(f"{run.db}.genres")
 
 
+def m_genres_by_name(spark, sf):
+    run = MedallionRun(spark, sf).ingest()
+    return genre_table_by_name(run.parsed_new())
+
+
 def m_junction(spark, sf):
     run = MedallionRun(spark, sf).ingest().to_silver()
     return spark.table(f"{run.db}.movie_genres")

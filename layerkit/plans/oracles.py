@@ -248,6 +248,9 @@ MEDALLION = {
     "m_genres": f"""
         SELECT CAST(ascii(w) * 1000 + ascii(substr(w, 2, 1)) AS INTEGER) AS Genre_Id, min(w) AS Genre_Name
         FROM ({_WORDS}) GROUP BY 1""",
+    "m_genres_by_name": f"""
+        SELECT row_number() OVER (ORDER BY w) AS Genre_Key, w AS Genre_Name
+        FROM (SELECT DISTINCT w FROM ({_WORDS}))""",
     "m_junction": f"""
         SELECT DISTINCT p_partkey AS Movie_Id,
                CAST(ascii(w) * 1000 + ascii(substr(w, 2, 1)) AS INTEGER) AS Genre_Id FROM ({_WORDS})""",
