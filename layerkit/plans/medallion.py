@@ -14,15 +14,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..functions.dates import ts_lit
 from ..operators.aggregates import dedup_keep_first
 from ..operators.keys import add_surrogate_key
+from ..operators.projection import map_columns
 from ..operators.merge import apply_merge, create_partitioned_table, merge_update
 from ..operators.split import split_rows
 from ..schemas import MOVIE, assert_schema, parse_ddl
 from ..session import new_database, new_run_dir
-from ..sources.files import read_json_array
+from ..sources.files import read_json_array, read_typed_json
 from ..sources.tables import load
 
 # The four language codes of the documents and the label of the lookup.
@@ -272,6 +274,25 @@ def m_genres(spark, sf):
     return spark.table(f"{run.db}.genres")
 
 
+def read_typed_movies(spark: SparkSession, raw_path: str) -> DataFrame:
+    """Raw documents read with the fully typed nested schema (no raw text kept):
+    one row per movie, typed columns straight from the reader."""
+    docs = read_typed_json(spark, raw_path, StructType([StructField("movie", ArrayType(MOVIE))]))
+    return docs.select(F.inline("movie"))
+
+
+def unroll_genres(movies: DataFrame) -> DataFrame:
+    """One row per (movie, genre) with mapped column names; movies without genres drop."""
+    return map_columns(movies.select("Id", F.explode("genres").alias("g")),
+                       [("Movie_Id", "Id"), ("Genre_Id", "g.id"), ("Genre_Name", "g.name")])
+
+
+def m_unroll_genres(spark, sf):
+    root = new_run_dir(spark, "movies_typed")
+    write_raw_documents(spark, sf, f"{root}/raw")
+    return unroll_genres(read_typed_movies(spark, f"{root}/raw"))
+
+
 def m_genres_by_name(spark, sf):
     run = MedallionRun(spark, sf).ingest()
     return genre_table_by_name(run.parsed_new())

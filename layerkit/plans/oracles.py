@@ -248,6 +248,13 @@ MEDALLION = {
     "m_genres": f"""
         SELECT CAST(ascii(w) * 1000 + ascii(substr(w, 2, 1)) AS INTEGER) AS Genre_Id, min(w) AS Genre_Name
         FROM ({_WORDS}) GROUP BY 1""",
+    "m_unroll_genres": f"""
+        SELECT p_partkey AS Movie_Id, CAST(ascii(w) * 1000 + ascii(substr(w, 2, 1)) AS INTEGER) AS Genre_Id,
+               w AS Genre_Name
+        FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w
+              FROM (SELECT p_partkey, p_name,
+                           unnest(CASE WHEN p_partkey % 10 = 0 THEN [1, 2] ELSE [1] END) AS copy
+                    FROM part))""",
     "m_genres_by_name": f"""
         SELECT row_number() OVER (ORDER BY w) AS Genre_Key, w AS Genre_Name
         FROM (SELECT DISTINCT w FROM ({_WORDS}))""",

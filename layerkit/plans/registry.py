@@ -19,7 +19,7 @@ NAMES = (
     "q25_for_json", "q26_for_xml",
     "q21_load_date", "q23_load_week", "q23_with_tax", "q22_shred_json", "q24_scalar_or_array",
     "i_watermark_increment", "i_upsert", "i_insert_missing", "i_delete_matched", "x_topn",
-    "m_bronze", "m_silver_clean", "m_quarantine", "m_genres", "m_genres_by_name", "m_junction",
+    "m_bronze", "m_silver_clean", "m_quarantine", "m_genres", "m_genres_by_name", "m_unroll_genres", "m_junction",
     "m_languages",
     "m_bronze_status", "m_repaired", "m_repaired_status", "x_null_profile",
     "w_pipeline", "w_customer_dim", "w_employee_dim", "w_stockitem_dim", "w_order_fact", "w_sales",
