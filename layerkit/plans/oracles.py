@@ -52,6 +52,16 @@ RETAIL = {
         LEFT JOIN part p ON l.l_partkey = p.p_partkey
         WHERE year(o.o_orderdate) = 1997
         GROUP BY p.p_name""",
+    "q04_archive_count": """
+        WITH h AS (
+            SELECT p_partkey, p_name, unnest(range(1, CAST(p_partkey % 3 + 1 AS INTEGER) + 1)) AS version
+            FROM part)
+        SELECT h.p_name, COUNT(h.p_name) AS quantity
+        FROM orders o
+        LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+        LEFT JOIN h ON l.l_partkey = h.p_partkey
+        WHERE year(o.o_orderdate) = 1997
+        GROUP BY h.p_name""",
     "q05_len_filter": "SELECT p_partkey, p_name FROM part WHERE length(rtrim(p_name)) > 10",
     "q06_not_in_regions": """
         SELECT DISTINCT p.p_name FROM part p

@@ -12,6 +12,7 @@ MODULES = (retail, incremental, purchase_orders, medallion, warehouse, misc, pip
 
 NAMES = (
     "q01_or_join", "q02_join_residual", "q03_lapsed_customers", "q04_count_by_name",
+    "q04_archive_count",
     "q05_len_filter", "q06_not_in_regions", "q07_avg_days", "q08_by_month",
     "q09_bought_gt_sold", "q10_having_like", "q11_between", "q12_wide_join",
     "q13_group_balance", "q14_top_item_by_city", "q15_json_index", "q16_json_value_eq",

@@ -87,6 +87,28 @@ def q04_count_by_name(spark, sf):
     return j.groupBy("p_name").agg(F.count("p_name").alias("quantity"))
 
 
+def part_history(spark, sf) -> DataFrame:
+    """System-versioned history of stock items: 1-3 versions per item, each valid
+    for 1,000 days from 1990-01-01 on (the last one open-ended)."""
+    p = _t(spark, sf, "part").select("p_partkey", "p_name")
+    versions = (F.col("p_partkey") % 3 + 1).cast("int")
+    h = p.withColumn("n_versions", versions).withColumn("version", F.explode(F.sequence(F.lit(1), versions)))
+    start = F.date_add(ts_lit(dt.date(1990, 1, 1)), (F.col("version") - 1) * 1000)
+    end = F.when(F.col("version") < F.col("n_versions"), F.date_add(start, 1000))
+    return h.select("p_partkey", "p_name", "version", start.alias("ValidFrom"), end.alias("ValidTo"))
+
+
+def q04_archive_count(spark, sf):
+    """Q4 against the history table: every version of an item joins, so items
+    with several versions count once per version (the expected fan-out)."""
+    o = _t(spark, sf, "orders").filter(year_range("o_orderdate", COUNT_YEAR))
+    l = _t(spark, sf, "lineitem")
+    h = part_history(spark, sf)
+    j = (o.join(l, l.l_orderkey == o.o_orderkey, "left")
+          .join(h, l.l_partkey == h.p_partkey, "left"))
+    return j.groupBy("p_name").agg(F.count("p_name").alias("quantity"))
+
+
 # Q5: LEN(x) > 10 (trailing blanks ignored) ---------------------------------------
 def q05_len_filter(spark, sf):
     p = _t(spark, sf, "part")
