@@ -203,12 +203,16 @@ def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm
 
 
 def set_marks(spark: SparkSession, control_path: str, marks: dict) -> None:
-    """Replace the marks of the given tables in the control table."""
-    control = spark.read.parquet(control_path)
-    rows = spark.createDataFrame(list(marks.items()), WATERMARK_DDL)
-    updated = control.filter(~F.col("TableName").isin(*marks)).unionByName(rows)
-    updated = updated.checkpoint(eager=True)  # the control file is overwritten next
-    updated.coalesce(1).write.mode("overwrite").parquet(control_path)
+    """Replace the marks of the given tables in the control table.
+
+    The control table holds one row per source table, so its rows are read on
+    the driver and the new version is written from them: the overwrite never
+    depends on the files it replaces.
+    """
+    current = {r["TableName"]: r["WatermarkValue"] for r in spark.read.parquet(control_path).collect()}
+    current.update(marks)
+    spark.createDataFrame(sorted(current.items()), WATERMARK_DDL) \
+         .coalesce(1).write.mode("overwrite").parquet(control_path)
 
 
 def i_watermark_increment(spark, sf):
