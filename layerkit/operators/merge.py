@@ -133,14 +133,18 @@ def apply_merge(spark: SparkSession, table: str, partition_cols, new_content: Da
     """
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     staged = new_content.checkpoint(eager=True)
+    emptied = []
     if affected is not None:
+        # decided before anything changes: ``affected`` reads the current table
         emptied = (affected.select(*cols).distinct()
                    .join(staged.select(*cols).distinct(), cols, "left_anti")
                    .collect())
-        for row in emptied:
-            spec = ", ".join(f"{c}='{row[c]}'" for c in cols)
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    # New content first, drops last: a failure in between can leave a row in both
+    # its old and new partition (the next merge resolves it), never in neither.
     overwrite_partitions(staged, table)
+    for row in emptied:
+        spec = ", ".join(f"{c}='{row[c]}'" for c in cols)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
 def upsert_into_table(spark: SparkSession, table: str, rows: DataFrame, key,
