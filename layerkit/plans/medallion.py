@@ -20,7 +20,7 @@ from ..functions.dates import ts_lit
 from ..operators.aggregates import dedup_keep_first
 from ..operators.keys import add_surrogate_key
 from ..operators.projection import map_columns
-from ..operators.merge import apply_merge, create_partitioned_table, merge_update
+from ..operators.merge import apply_merge, create_partitioned_table, merge_update, merge_upsert
 from ..operators.split import split_rows
 from ..schemas import MOVIE, assert_schema, parse_ddl
 from ..session import new_database, new_run_dir
@@ -87,9 +87,10 @@ def movie_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def write_raw_documents(spark: SparkSession, sf: str, path: str,
-                        per_document: int = MOVIES_PER_DOCUMENT) -> None:
-    """One ``{"movie": [...]}`` document per file, at most ``per_document`` movies each."""
-    rec = movie_records(spark, sf)
+                        per_document: int = MOVIES_PER_DOCUMENT, records: DataFrame | None = None) -> None:
+    """One ``{"movie": [...]}`` document per file, at most ``per_document`` movies each
+    (``records`` defaults to every movie derived from ``part``)."""
+    rec = records if records is not None else movie_records(spark, sf)
     doc_no = F.floor(F.col("Id") / per_document)
     docs = (rec.select(doc_no.alias("doc_no"), F.struct(*rec.columns).alias("m"))
                .groupBy("doc_no")
@@ -191,23 +192,36 @@ def repair_negative(df: DataFrame, col: str = "RunTime") -> DataFrame:
 
 
 class MedallionRun:
-    """One run of the pipeline in a fresh database under the shared workspace."""
+    """The pipeline over one database. By default a fresh database and raw folder
+    under the shared workspace; pass ``db`` / ``raw_path`` to run again over an
+    existing one as new documents arrive (only the new bronze rows are parsed)."""
 
-    def __init__(self, spark: SparkSession, sf: str, run_ts: dt.datetime = RUN_TS):
+    def __init__(self, spark: SparkSession, sf: str, run_ts: dt.datetime | None = RUN_TS,
+                 db: str | None = None, raw_path: str | None = None):
         self.spark, self.sf, self.run_ts = spark, sf, run_ts
-        self.db = new_database(spark, "movies")
+        self.db = db or new_database(spark, "movies")
         self.root = new_run_dir(spark, "movies")
-        self.raw_path = f"{self.root}/raw"
+        self.raw_path = raw_path or f"{self.root}/raw"
         self.bronze = create_bronze(spark, self.db)
         self.silver = f"{self.db}.movies_silver"
         self.quarantine = f"{self.db}.movies_quarantine"
 
-    def ingest(self) -> "MedallionRun":
-        write_raw_documents(self.spark, self.sf, self.raw_path)
+    def ingest(self, records: DataFrame | None = None) -> "MedallionRun":
+        """Land raw documents (all movies derived from ``part`` unless ``records``
+        are given) unless the raw folder already holds some, then load bronze."""
+        if records is not None or not self._raw_exists():
+            write_raw_documents(self.spark, self.sf, self.raw_path, records=records)
         raw_to_bronze(self.spark, self.raw_path, self.bronze, self.run_ts)
         assert_schema(self.spark.table(self.bronze), parse_ddl(self.spark, BRONZE_DDL))
         return self
 
+    def _raw_exists(self) -> bool:
+        try:
+            self.spark.read.text(self.raw_path).limit(1).count()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
     def parsed_new(self) -> DataFrame:
         return parse_bronze(self.spark.table(self.bronze).filter(F.col("Status") == NEW))
 
@@ -216,12 +230,12 @@ class MedallionRun:
         clean, bad = clean_and_quarantine(parsed)
         cols = SILVER_COLUMNS + ["p_ReleaseYear"]
         sinks = [
-            lambda: clean.select("record_key", *cols).write.partitionBy("p_ReleaseYear")
-                         .saveAsTable(self.silver),
-            lambda: bad.select("record_key", *cols).write.saveAsTable(self.quarantine),
-            lambda: genre_table(parsed).write.saveAsTable(f"{self.db}.genres"),
-            lambda: movie_genre_table(parsed).write.saveAsTable(f"{self.db}.movie_genres"),
-            lambda: language_table(parsed).write.saveAsTable(f"{self.db}.languages"),
+            lambda: _append(clean.select("record_key", *cols), self.silver, "p_ReleaseYear"),
+            lambda: _append(bad.select("record_key", *cols), self.quarantine),
+            lambda: _upsert_lookup(genre_table(parsed), f"{self.db}.genres", ["Genre_Id"]),
+            lambda: _upsert_lookup(movie_genre_table(parsed), f"{self.db}.movie_genres",
+                                   ["Movie_Id", "Genre_Id"]),
+            lambda: _upsert_lookup(language_table(parsed), f"{self.db}.languages", ["Language_Code"]),
         ]
         # independent sinks run as concurrent Spark jobs; any failure is raised here
         with ThreadPoolExecutor(max_workers=len(sinks)) as pool:
@@ -245,6 +259,28 @@ class MedallionRun:
         return self
 
 
+def _append(df: DataFrame, table: str, partition_col: str | None = None) -> None:
+    """Append to a table, creating it on the first run."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        df.select(*spark.table(table).columns).write.insertInto(table)
+    elif partition_col:
+        df.write.partitionBy(partition_col).saveAsTable(table)
+    else:
+        df.write.saveAsTable(table)
+
+
+def _upsert_lookup(df: DataFrame, table: str, key: list[str]) -> None:
+    """Keyed upsert of a small lookup table (bounded by its domain: genres,
+    languages, movie-genre pairs), rewritten whole from a checkpointed merge."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        df.write.saveAsTable(table)
+        return
+    merged = merge_upsert(spark.table(table), df.select(*spark.table(table).columns), key)
+    merged.checkpoint(eager=True).write.mode("overwrite").saveAsTable(table)
+
+
 def _silver_view(df: DataFrame) -> DataFrame:
     # release time as wall-clock NTZ: the text carried no zone
     return df.select("Id", "Title", "OriginalLanguage", "Price",

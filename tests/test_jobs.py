@@ -150,3 +150,20 @@ def test_multi_day_load_is_all_or_nothing(spark):
     assert spark.table(table).count() == n
     inc.load_orders_for_dates(spark, table, o, l, days[2:])
     assert spark.table(table).select("OrderDate").distinct().count() == 3
+
+
+def test_second_medallion_run_adds_only_new_records(spark):
+    recs = med.movie_records(spark, SF_SMALL)
+    first = med.MedallionRun(spark, SF_SMALL).ingest(recs.filter(F.col("Id") < 100)).to_silver()
+    n1 = spark.table(first.silver).count() + spark.table(first.quarantine).count()
+    later = dt.datetime(2024, 2, 1, 9, 0, 0)
+    second = med.MedallionRun(spark, SF_SMALL, run_ts=later, db=first.db,
+                              raw_path=new_run_dir(spark, "t_raw2"))
+    second.ingest(recs.filter(F.col("Id") >= 100)).to_silver()
+    total = spark.table(first.silver).count() + spark.table(first.quarantine).count()
+    assert total == recs.select("Id").distinct().count() and total > n1
+    assert spark.table(first.bronze).filter(F.col("Status") == "New").count() == 0
+    genres = spark.table(f"{first.db}.genres")
+    assert genres.count() == genres.select("Genre_Id").distinct().count()
+    pairs = spark.table(f"{first.db}.movie_genres")
+    assert pairs.count() == pairs.distinct().count()
