@@ -27,6 +27,8 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    # coalesce to the advisory size rather than keeping default parallelism
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
