@@ -8,9 +8,13 @@ longer depends on the files it replaces. Single writer per table is assumed.
 """
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_OVERWRITE_LOCK = threading.Lock()
+
 
 def _key_list(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -106,12 +110,15 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     spark = df.sparkSession
     cols = spark.table(table).columns
     key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        df.select(*cols).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    # the setting is session-wide: concurrent writers (thread pools) take turns so
+    # none can restore 'static' while another overwrite is running
+    with _OVERWRITE_LOCK:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*cols).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
 
 
 def append_rows(df: DataFrame, table: str) -> None:

@@ -176,28 +176,40 @@ def _mark_lit(v):
     return ts_lit(v) if isinstance(v, (dt.datetime, dt.date)) else F.lit(v)
 
 
+def extract_increment(source: DataFrame, wm_col: str, old_mark):
+    """(rows with ``old_mark < wm <= new_mark``, new_mark), or (None, old_mark)
+    when nothing is new. Both marks are single values; the range predicate
+    reaches the scan (parquet statistics / JDBC WHERE). Rows with a null mark
+    never load."""
+    new = source.agg(F.max(wm_col)).first()[0]
+    if new is None or (old_mark is not None and new <= old_mark):
+        return None, old_mark
+    cond = F.col(wm_col) <= _mark_lit(new)
+    if old_mark is not None:
+        cond = cond & (F.col(wm_col) > _mark_lit(old_mark))
+    return source.filter(cond), new
+
+
+def read_marks(spark: SparkSession, control_path: str) -> dict:
+    """The control table (one row per source table) as a dict on the driver."""
+    return {r["TableName"]: r["WatermarkValue"] for r in spark.read.parquet(control_path).collect()}
+
+
 def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm_col: str,
                      control_path: str, sink_path: str | None = None, write_fn=None) -> int:
     """Copy rows with ``old_mark < wm <= new_mark`` and then store the new mark.
 
-    Both marks are single values; the range predicate reaches the scan (parquet
-    statistics / JDBC WHERE). The rows go to ``write_fn`` (e.g. an upsert) or are
-    appended to ``sink_path``. The mark is written only after the rows are
-    committed, so a failed run is simply repeated. Rows with a null mark never load.
-    Returns 1 when rows were copied, 0 when there was nothing new.
+    The rows go to ``write_fn`` (e.g. an upsert) or are appended to ``sink_path``.
+    The mark is written only after the rows are committed, so a failed run is
+    simply repeated. Returns 1 when rows were copied, 0 when there was nothing new.
     """
-    control = spark.read.parquet(control_path)
-    old = control.filter(F.col("TableName") == table_name).agg(F.max("WatermarkValue")).first()[0]
-    new = source.agg(F.max(wm_col)).first()[0]
-    if new is None or (old is not None and new <= old):
+    rows, new = extract_increment(source, wm_col, read_marks(spark, control_path).get(table_name))
+    if rows is None:
         return 0
-    cond = F.col(wm_col) <= _mark_lit(new)
-    if old is not None:
-        cond = cond & (F.col(wm_col) > _mark_lit(old))
     if write_fn is not None:
-        write_fn(source.filter(cond))
+        write_fn(rows)
     else:
-        source.filter(cond).write.mode("append").parquet(sink_path)
+        rows.write.mode("append").parquet(sink_path)
     set_marks(spark, control_path, {table_name: new})
     return 1
 
@@ -209,7 +221,7 @@ def set_marks(spark: SparkSession, control_path: str, marks: dict) -> None:
     the driver and the new version is written from them: the overwrite never
     depends on the files it replaces.
     """
-    current = {r["TableName"]: r["WatermarkValue"] for r in spark.read.parquet(control_path).collect()}
+    current = read_marks(spark, control_path)
     current.update(marks)
     spark.createDataFrame(sorted(current.items()), WATERMARK_DDL) \
          .coalesce(1).write.mode("overwrite").parquet(control_path)

@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from ..sources.files import layer_path, read_config
 from ..sources.tables import load
 from ..sources.writers import write_parquet
 from ..operators.merge import upsert_into_table
-from .incremental import WATERMARK_DDL, incremental_load, set_marks
+from .incremental import WATERMARK_DDL, extract_increment, read_marks, set_marks
 
 # The tables the control file lists, with watermark columns, merge
 # procedure names, parameter names and sink names, and the first marks.
@@ -55,21 +56,28 @@ def run_table_list(spark: SparkSession, sf: str, config: DataFrame, control_path
                    db: str) -> list[tuple[str, str]]:
     """One watermark load per configured table, upserted by the named procedure.
 
-    The configuration holds a handful of rows, so it is walked on the driver; each
-    iteration is an ordinary distributed Spark job over one whole table. The
-    increment is merged into the ODS table on the procedure's key, so extracting
-    an overlapping window again replaces rows instead of adding them twice.
+    The configuration holds a handful of rows, so it is walked on the driver; the
+    tables are extracted concurrently (one Spark job chain per table). Each
+    increment is merged into its ODS table on the procedure's key, which makes
+    loading the same window twice harmless; so the new marks are written once,
+    after every table succeeded, and a failure anywhere just repeats the window.
     """
-    done = []
-    for row in config.collect():
+    rows = config.collect()
+    marks = read_marks(spark, control_path)
+
+    def load_one(row):
         source = load(spark, sf, row["TABLE_NAME"])
         keys = MERGE_PROCEDURES[row["StoredProcedureNameForMergeOperation"]]
         target = f"{db}.{row['SinkTableName']}"
-        incremental_load(spark, source, row["TABLE_NAME"], row["WaterMark_Column"], control_path,
-                         write_fn=lambda df, t=target, k=keys: upsert_into_table(
-                             spark, t, df, k, buckets=ODS_BUCKETS))
-        done.append((row["TABLE_NAME"], target))
-    return done
+        increment, new = extract_increment(source, row["WaterMark_Column"], marks.get(row["TABLE_NAME"]))
+        if increment is not None:
+            upsert_into_table(spark, target, increment, keys, buckets=ODS_BUCKETS)
+        return row["TABLE_NAME"], target, new
+
+    with ThreadPoolExecutor(max_workers=max(1, len(rows))) as pool:
+        done = [f.result() for f in [pool.submit(load_one, r) for r in rows]]
+    set_marks(spark, control_path, {name: new for name, _, new in done if new is not None})
+    return [(name, target) for name, target, _ in done]
 
 
 def g07_config_loop(spark: SparkSession, sf: str) -> DataFrame:
