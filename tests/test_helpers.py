@@ -137,3 +137,23 @@ def test_spark_sql_over_registered_views(spark):
         via_sql = sorted(map(tuple, spark.sql(oracles.RETAIL[name]).collect()), key=repr)
         via_df = sorted(map(tuple, getattr(retail, name)(spark, SF_SMALL).collect()), key=repr)
         assert via_sql == via_df, name
+
+
+def test_concurrent_upserts_keep_every_partition(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from layerkit.operators.merge import upsert_into_table
+    db = new_database(spark, "t_conc")
+    tables = [f"{db}.a", f"{db}.b"]
+
+    def batch(lo, hi):
+        return spark.createDataFrame([(i, f"v{lo}") for i in range(lo, hi)], "k INT, v STRING")
+
+    for lo, hi in ((0, 40), (30, 60)):
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(upsert_into_table, spark, t, batch(lo, hi), "k", 4) for t in tables]:
+                f.result()
+    for t in tables:
+        got = dict((r.k, r.v) for r in spark.table(t).collect())
+        assert spark.table(t).count() == 60 and len(got) == 60
+        assert all(got[i] == ("v30" if i >= 30 else "v0") for i in range(60))
