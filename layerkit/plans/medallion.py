@@ -202,6 +202,7 @@ class MedallionRun:
         self.db = db or new_database(spark, "movies")
         self.root = new_run_dir(spark, "movies")
         self.raw_path = raw_path or f"{self.root}/raw"
+        self._fresh_raw = raw_path is None  # a new run folder holds no documents yet
         self.bronze = create_bronze(spark, self.db)
         self.silver = f"{self.db}.movies_silver"
         self.quarantine = f"{self.db}.movies_quarantine"
@@ -209,7 +210,7 @@ class MedallionRun:
     def ingest(self, records: DataFrame | None = None) -> "MedallionRun":
         """Land raw documents (all movies derived from ``part`` unless ``records``
         are given) unless the raw folder already holds some, then load bronze."""
-        if records is not None or not self._raw_exists():
+        if records is not None or self._fresh_raw or not self._raw_exists():
             write_raw_documents(self.spark, self.sf, self.raw_path, records=records)
         raw_to_bronze(self.spark, self.raw_path, self.bronze, self.run_ts)
         assert_schema(self.spark.table(self.bronze), parse_ddl(self.spark, BRONZE_DDL))
