@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load
-from . import chat, mixing, packing, warc
+from . import chat, mixing, packing, quality, toxicity, warc, winnow
 from .common import stored
 
 
@@ -24,15 +24,27 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.query(load(spark, sf_dir, "conversations"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op5_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.query(load(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(stored(warc.write(load(spark, sf_dir, "pages")), spark, "warc"))
 
 
-NAMES = ("op1_mixing", "op3_chat", "op6_packing", "op10_warc")
+NAMES = ("op1_mixing", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op8_quality", "op10_warc")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
