@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load
-from . import chat, mixing, packing, quality, toxicity, warc, winnow
+from . import chat, graph, jaccard, mixing, packing, quality, toxicity, warc, winnow
 from .common import stored
 
 
@@ -36,15 +36,23 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(load(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.query(load(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op9_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.query(load(spark, sf_dir, "embeddings"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(stored(warc.write(load(spark, sf_dir, "pages")), spark, "warc"))
 
 
-NAMES = ("op1_mixing", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op8_quality", "op10_warc")
+NAMES = ("op1_mixing", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op7_jaccard", "op8_quality", "op9_graph", "op10_warc")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
