@@ -8,11 +8,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerkit.llm import mixing, packing, queries
+from layerkit.llm import jaccard, mixing, packing, queries, suffixes, toxicity
 from layerkit.llm.common import stored
 from layerkit.sources.tables import load
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the grammar scores 0.5 or more."""
+    return toxicity.clean(docs, toxicity.fitted(docs, load(spark, sf_dir, "labels")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by shingle similarity: that of the smallest id."""
+    return jaccard.keep_one(docs)
+
+
+def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 50-byte strings that a document with a smaller id has."""
+    return suffixes.deduplicated(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights: each document once for every copy taken."""
     return mixing.emit(mixing.mix(docs))
@@ -23,7 +38,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.query(docs, queries.tokenizer_path())
 
 
-STAGES = [("mixing", mix), ("packing", pack)]
+STAGES = [("toxicity", drop_toxic), ("jaccard", drop_near_copies), ("suffixes", drop_passages), ("mixing", mix), ("packing", pack)]
 
 #: Tokenised, learned and rounded stages have no SQL form; tests hold them against brute force.
 ORACLE_SQL = None

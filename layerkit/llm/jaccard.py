@@ -12,8 +12,9 @@ shingles last, so that passages which many documents share do not fill the prefi
    large cluster of near copies is never expanded into pairs.
 3. The prefix join proper: shingle counts fix the order; prefix elements that only one
    group, or only one component, holds are left out; the others form posting lists,
-   whose pairs pass the size and position filters. Lists beyond ``LIST`` members are
-   dealt over a triangle of blocks, so no task holds an unbounded list.
+   whose pairs pass the size and position filters. The longest lists beyond ``LIST``
+   members are dealt over a triangle of blocks; any other list holds less than a fixed
+   small share of all postings.
 4. Candidate pairs are verified exactly on the whole sets, and the components of all
    verified links are returned.
 
@@ -29,15 +30,16 @@ so extra columns cannot clash.
 """
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, quoted, stored, text_blocks
+from .common import as_row, mix64, quoted, stored, text_blocks
 from .components import components
+from .packed import SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, most_frequent, top_bits
 from .words import shingle_sets
 
 TIMES, OUT_OF = 75, 100
@@ -78,10 +80,6 @@ def each_set(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None = None
         yield part, part.column(0).fill_null(-1).to_numpy(), shingle_sets(body, offsets)
 
 
-def in_map(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
 def id_map(ids: DataFrame) -> np.ndarray:
     """Bit map of ``BITS`` bits of the ids (modulo ``BITS``): it may let others pass."""
     place = F.pmod(F.col("id"), F.lit(BITS)) + 1
@@ -153,75 +151,6 @@ def leaders(groups: DataFrame) -> DataFrame:
     return votes.groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
 
 
-# ---- counting hashes in packed rows ---------------------------------------------------
-
-class Packed:
-    """Distinct (hash, tag) pairs with counts, gathered over a task and let out as
-    rows (bucket, hash, tag, count) of packed bytes, bucketed by the leading hash bits."""
-
-    def __init__(self, buckets: int, most: int = 1 << 21):
-        self.shift, self.most = np.uint64(64 - buckets.bit_length() + 1), most
-        self.held: list[tuple[np.ndarray, ...]] = []
-        self.size = 0
-
-    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.held.append(columns)
-        self.size += len(columns[0])
-        if self.size >= self.most:
-            yield from self.out()
-
-    def out(self) -> Iterator[pa.RecordBatch]:
-        if not self.size:
-            return
-        columns = [np.concatenate(c) for c in zip(*self.held)]
-        self.held, self.size = [], 0
-        order = np.lexsort(columns[::-1])
-        columns = [c[order] for c in columns]
-        new = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in columns], 0))))
-        count = np.diff(np.append(new, len(order))).astype(np.uint32)
-        columns = [c[new] for c in columns]
-        bucket = (columns[0] >> self.shift).astype(np.int64)
-        for plain in (True, False):  # most pairs occur once: their counts are left out
-            some = np.flatnonzero((count == 1) == plain)
-            if not len(some):
-                continue
-            heads, first = np.unique(bucket[some], return_index=True)
-            cuts = np.append(first, len(some))
-            blobs = [[c[some[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])] for c in columns]
-            counts = [None if plain else count[some[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-            tags = blobs[1] if len(blobs) > 1 else [None] * len(heads)
-            yield pa.RecordBatch.from_arrays([pa.array(heads.astype(np.int32)), pa.array(blobs[0], pa.binary()), pa.array(tags, pa.binary()),
-                                              pa.array(counts, pa.binary())], names=["bucket", "hash", "tag", "count"])
-
-
-PACKED = "bucket int, hash binary, tag binary, count binary"
-
-
-def by_bucket(batches: Iterator[pa.RecordBatch], types: tuple) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Rows sorted by bucket, one bucket at a time: (bucket, unpacked columns)."""
-    now, held = None, []
-
-    def unpacked():
-        cols = [np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in enumerate(types[:-1]) if held[0][i] is not None]
-        cols.append(np.concatenate([np.frombuffer(r[len(types) - 1], types[-1]) if r[len(types) - 1] is not None
-                                    else np.ones(len(r[0]) // 8, types[-1]) for r in held]))
-        return now, cols
-
-    for b in batches:
-        for row in zip(*(c.to_pylist() for c in b.columns)):
-            if row[0] != now and held:
-                yield unpacked()
-                held = []
-            now = row[0]
-            held.append(row[1:])
-    if held:
-        yield unpacked()
-
-
-def bucketed(packed: DataFrame) -> DataFrame:
-    return packed.repartition("bucket").sortWithinPartitions("bucket")
-
-
 class Order:
     """The element order: rare shingles by hash, then frequent ones, rarest first."""
 
@@ -256,60 +185,8 @@ def frequent(docs: DataFrame, groups_map, buckets: int) -> Order:
                 yield from pack.add(np.concatenate(heads))
         yield from pack.out()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (hashes, counts) in by_bucket(((b.select(["bucket", "hash", "count"])) for b in batches), (np.uint64, np.uint32)):
-            hashes, inverse = np.unique(hashes, return_inverse=True)
-            total = np.bincount(inverse, counts).astype(np.int64)
-            many = total >= FREQUENT
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[many].view(np.int64)), pa.array(total[many])], names=["hash", "count"])
-
-    rows = (bucketed(docs.mapInArrow(emit, PACKED).select("bucket", "hash", "count")).mapInArrow(count, "hash long, count long")
-            .orderBy(F.col("count").desc(), "hash").limit(HOT).toPandas())
-    return Order(rows["hash"].to_numpy(np.int64).view(np.uint64), rows["count"].to_numpy(np.int64))
-
-
-def mixed_map(packed: DataFrame, test: Callable, buckets: int, bits: int = 1 << 27) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bit map (by leading hash bits) of the hashes that pass ``test``, and the hashes
-    with lists beyond LIST members with their counts."""
-    width = bits // buckets
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, columns in by_bucket(batches, (np.uint64, np.int64, np.uint32)):
-            hashes, total = test(columns)
-            out = np.zeros(width, bool)
-            out[(hashes >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64) - bucket * width] = True
-            long = total > LIST
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary()),
-                                              pa.array([hashes[long].tobytes()], pa.binary()), pa.array([total[long].tobytes()], pa.binary())],
-                                             names=["bucket", "bits", "long", "size"])
-
-    out, long, size = np.zeros((buckets, width // 8), np.uint8), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for r in bucketed(packed).mapInArrow(count, "bucket int, bits binary, long binary, size binary").toLocalIterator():  # `buckets` rows
-        out[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
-        long.append(np.frombuffer(r["long"], np.uint64))
-        size.append(np.frombuffer(r["size"], np.int64))
-    long, size = np.concatenate(long), np.concatenate(size)
-    order = np.argsort(long)
-    return out.ravel(), long[order], size[order]
-
-
-def _held_by_two(columns):
-    hashes, inverse = np.unique(columns[0], return_inverse=True)
-    total = np.bincount(inverse, columns[-1]).astype(np.int64)
-    return hashes[total > 1], total[total > 1]
-
-
-def _of_two_components(columns):
-    hashes, inverse = np.unique(columns[0], return_inverse=True)
-    low, high = np.full(len(hashes), np.iinfo(np.int64).max), np.full(len(hashes), np.iinfo(np.int64).min)
-    np.minimum.at(low, inverse, columns[1])
-    np.maximum.at(high, inverse, columns[1])
-    total = np.bincount(inverse, columns[-1]).astype(np.int64)
-    return hashes[low < high], total[low < high]
-
-
-def _top(hashes: np.ndarray, bits: int = 1 << 27) -> np.ndarray:
-    return (hashes >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64)
+    hashes, counts, _ = most_frequent(docs.mapInArrow(emit, SCHEMA), FREQUENT, HOT)
+    return Order(hashes, counts)
 
 
 # ---- the prefix join -----------------------------------------------------------------
@@ -340,7 +217,7 @@ def list_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
 def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of groups in different first components that the filters leave."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
-    buckets = max(1024, 1 << (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    buckets = bucket_count(spark)
     standing = sc.broadcast(id_map(groups.select("id")))
     order = sc.broadcast(frequent(docs, standing, buckets))
 
@@ -352,7 +229,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                 yield from pack.add(np.concatenate(heads))
         yield from pack.out()
 
-    bits, _, _ = mixed_map(docs.mapInArrow(all_prefixes, PACKED), _held_by_two, buckets)
+    bits, _, _ = map_and_top(docs.mapInArrow(all_prefixes, SCHEMA), lambda n, low, high: n > 1, LIST, buckets, "jaccard-shared")
     shared = sc.broadcast(bits)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,7 +237,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
             out = []
             for s in sets:
                 head = order.value.prefix(s) if len(s) else s
-                at = np.flatnonzero(in_map(shared.value, _top(head)))
+                at = np.flatnonzero(in_map(shared.value, top_bits(head)))
                 out.append((len(s), head[at].tobytes(), at.astype("<i4").tobytes()))
             n, hashes, at = zip(*out)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.binary()), pa.array(at, pa.binary())],
@@ -379,22 +256,21 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                 yield from pack.add(h, np.full(len(h), tag, np.int64))
         yield from pack.out()
 
-    bits, long, size = mixed_map(heads.select("component", "hash").mapInArrow(tagged, PACKED), _of_two_components, buckets)
-    across = sc.broadcast((bits, long, size))
+    across = sc.broadcast(map_and_top(heads.select("component", "hash").mapInArrow(tagged, SCHEMA), lambda n, low, high: low < high, LIST, buckets,
+                                      "jaccard-across"))
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, long, size = across.value
-        shift = np.uint64(64 - buckets.bit_length() + 1)
+        shift = bucket_shift(buckets)
         for b in batches:
             rows = []
             for id_, n, component, blob, at in zip(*(c.to_pylist() for c in b.columns)):
                 h, at = np.frombuffer(blob, np.uint64), np.frombuffer(at, "<i4")
-                keep = in_map(bits, _top(h))
+                keep = in_map(bits, top_bits(h))
                 h, at = h[keep], at[keep]
                 row = np.zeros(len(h), POSTING)
                 row["hash"], row["id"], row["component"], row["n"], row["at"], row["cell"] = h, id_, component, n, at, h >> shift
-                place = np.minimum(np.searchsorted(long, h), max(len(long) - 1, 0))
-                is_long = (long[place] == h) if len(long) else np.zeros(len(h), bool)
+                is_long, place = look_up(long, h)
                 rows.append(row[~is_long])
                 for i in np.flatnonzero(is_long):  # a member of block i meets every block j in cell {i, j}
                     blocks = int(-(-size[place[i]] // LIST))
@@ -433,16 +309,8 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
             both = np.unique(np.concatenate(held, 1), axis=1)
             return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
-        now, blobs = None, []
-        for b in batches:
-            for bucket, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if bucket != now and blobs:
-                    yield from found(blobs)
-                    blobs = []
-                now = bucket
-                blobs.append(blob)
-        if blobs:
-            yield from found(blobs)
+        for _, blobs in each_bucket(batches):
+            yield from found([b[0] for b in blobs])
 
     return bucketed(heads.mapInArrow(postings, "bucket int, rows binary")).mapInArrow(pairs, "a long, b long").distinct()
 
@@ -466,11 +334,12 @@ def join(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFra
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents without near copies: of each component the row of its smallest id
-    (one row, where that id repeats with the same text); rows with a null id stay."""
+    """The documents without near copies: of each component one row of its smallest id;
+    rows with a null id stay."""
     chosen = join(docs, text=text, key=key).where("id = component_id").select(F.col("id").alias("_kept")).distinct()
-    with_id = docs.where(quoted(key).isNotNull())
-    return with_id.join(chosen, quoted(key) == F.col("_kept"), "left_semi").dropDuplicates([key, text]).unionByName(docs.where(quoted(key).isNull()))
+    rows = docs.select(as_row(docs), quoted(key).cast("long").alias("_id"))
+    kept = rows.where(F.col("_id").isNotNull()).join(chosen, F.col("_id") == F.col("_kept"), "left_semi").dropDuplicates(["_id"])
+    return kept.unionByName(rows.where(F.col("_id").isNull())).select("row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

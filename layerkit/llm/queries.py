@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load
-from . import chat, graph, jaccard, mixing, packing, quality, toxicity, warc, winnow
+from . import chat, graph, jaccard, mixing, packing, quality, suffixes, toxicity, warc, winnow
 from .common import stored
 
 
@@ -20,6 +20,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.query(load(spark, sf_dir, "documents"))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.query(load(spark, sf_dir, "documents"))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.query(load(spark, sf_dir, "conversations"))
 
@@ -52,7 +56,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(stored(warc.write(load(spark, sf_dir, "pages")), spark, "warc"))
 
 
-NAMES = ("op1_mixing", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op7_jaccard", "op8_quality", "op9_graph", "op10_warc")
+NAMES = ("op1_mixing", "op2_suffixes", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op7_jaccard", "op8_quality", "op9_graph", "op10_warc")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -309,8 +309,8 @@ def curve(y: np.ndarray, design: np.ndarray, ridge: float = 1e-3) -> tuple[float
     return tuple(float(v) for v in w)
 
 
-def score(docs: DataFrame, grammar: Grammar, *, text: str = "text", key: str = "doc_id", columns: list[str] = ()) -> DataFrame:
-    """key, any further ``columns`` of the documents, and score."""
+def score(docs: DataFrame, grammar: Grammar, *, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """key and score of every row."""
     slim = docs.select(quoted(key).alias("key"), F.coalesce(quoted(text).cast("string"), F.lit("")).alias("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -320,6 +320,15 @@ def score(docs: DataFrame, grammar: Grammar, *, text: str = "text", key: str = "
     return slim.mapInPandas(run, f"key {slim.schema['key'].dataType.simpleString()}, score double")
 
 
+def clean(docs: DataFrame, grammar: Grammar, *, text: str = "text", limit: float = 0.5) -> DataFrame:
+    """The documents whose score is below ``limit``, with all their columns."""
+    @F.pandas_udf("boolean")
+    def below(texts: pd.Series) -> pd.Series:
+        return pd.Series([grammar.score(t) < limit for t in texts], dtype=bool)
+
+    return docs.where(below(F.coalesce(quoted(text).cast("string"), F.lit(""))))
+
+
 def fitted(docs: DataFrame, labels: DataFrame) -> Grammar:
     return learn(labelled.sample(docs, labels, "toxic", tag="toxicity-sample"))
 
