@@ -70,7 +70,7 @@ def string_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def text_blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut Arrow batches into slices of about ``most`` bytes of text (a longer text is
     a slice of its own): (slice, bytes, offsets). Bounds the working memory of a task."""
     for batch in batches:

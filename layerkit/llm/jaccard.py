@@ -15,7 +15,8 @@ shingles last, so that passages which many documents share do not fill the prefi
    whose pairs pass the size and position filters. The longest lists beyond ``LIST``
    members are dealt over a triangle of blocks; any other list holds less than a fixed
    small share of all postings.
-4. Candidate pairs are verified exactly on the whole sets, and the components of all
+4. Candidate pairs whose parity maps differ too much are dropped (an exact bound), the
+   others are verified on the whole sets, and the components of all
    verified links are returned.
 
 Counts cover all documents. What is broadcast has a fixed size: bit maps of ``BITS``
@@ -43,7 +44,8 @@ from .packed import SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_b
 from .words import shingle_sets
 
 TIMES, OUT_OF = 75, 100
-KEYS = 8
+KEYS, VOTES = 8, 3
+PARITY = 2048
 HOT, FREQUENT = 1 << 19, 24
 BITS = 1 << 26
 LIST = 8192
@@ -92,32 +94,53 @@ def id_map(ids: DataFrame) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, n, d1, d2, keys): size, 128-bit digest and min-hash keys of every set."""
+    """(id, n, d1, d2, keys, parity): size, 128-bit digest, min-hash keys and parity map
+    of every set; bit b of the map tells whether an odd number of its hashes end in b."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, _, sets in each_set(batches):
             size = np.array([len(s) for s in sets], np.int64)
             some = np.flatnonzero(size)
             digest = np.zeros((2, len(sets)), np.uint64)
             keys = np.zeros((len(sets), KEYS), np.uint64)
+            parity = np.zeros((len(sets), PARITY), np.uint8)
             if len(some):
                 every = np.concatenate([sets[i] for i in some])
                 first = np.cumsum(size[some]) - size[some]
                 digest[0, some] = np.add.reduceat(mix64(every), first)
                 digest[1, some] = np.add.reduceat(mix64(every ^ np.uint64(0x5851F42D4C957F2D)), first)
+                at = np.repeat(np.arange(len(some)), size[some]) * PARITY + (every % np.uint64(PARITY)).astype(np.int64)
+                parity[some] = (np.bincount(at, minlength=len(some) * PARITY) & 1).reshape(-1, PARITY)
                 for k, salt in enumerate(_SALTS):
                     keys[some, k] = np.minimum.reduceat((every ^ salt) * np.uint64(0x9E3779B97F4A7C15), first)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(size), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)),
-                 pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), KEYS).cast(pa.list_(pa.int64()))],
-                names=["id", "n", "d1", "d2", "keys"])
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, keys array<long>")
+                 pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), KEYS).cast(pa.list_(pa.int64())),
+                 pa.array([row.tobytes() for row in np.packbits(parity, axis=1)], pa.binary())],
+                names=["id", "n", "d1", "d2", "keys", "parity"])
+    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, keys array<long>, parity binary")
 
 
 # ---- exact verification ------------------------------------------------------------
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The ``pairs`` (a, b) of ids whose whole sets are similar enough."""
+def possible(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The ``pairs`` without those that cannot be similar enough: two sets differ in at
+    least as many elements as their parity maps differ in bits."""
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(2).to_numpy() + b.column(3).to_numpy()
+            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(-1, PARITY // 64) for i in (4, 5))
+            differ = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            keep = pa.array(differ <= n - 2 * overlap(b.column(2).to_numpy(), b.column(3).to_numpy()))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
+
+    side = lambda name, k: groups.select(F.col("id").alias(name), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"p{k}"))
+    return pairs.join(side("a", 1), "a").join(side("b", 2), "b").select("a", "b", "n1", "n2", "p1", "p2").mapInArrow(near, "a long, b long")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) of groups whose whole sets are similar enough."""
     spark = docs.sparkSession
+    pairs = stored(possible(pairs, groups), spark, "jaccard-possible")
     wanted = spark.sparkContext.broadcast(id_map(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +170,8 @@ def leaders(groups: DataFrame) -> DataFrame:
     keyed = groups.select("id", "n", F.posexplode("keys").alias("k", "key"))
     first = keyed.groupBy("k", "key").agg(F.min(F.struct("id", "n")).alias("lead"), F.count(F.lit(1)).alias("many")).where("many > 1").select("k", "key", "lead")
     votes = (keyed.join(first, ["k", "key"]).where((F.col("lead.id") < F.col("id")) & (OUT_OF * F.least("n", "lead.n") >= TIMES * F.greatest("n", "lead.n")))
-             .groupBy(F.col("id").alias("a"), F.col("lead.id").alias("b")).agg(F.count(F.lit(1)).alias("votes")))
+             .groupBy(F.col("id").alias("a"), F.col("lead.id").alias("b")).agg(F.count(F.lit(1)).alias("votes"))
+             .where(F.col("votes") >= VOTES))
     return votes.groupBy("a").agg(F.max_by("b", F.struct("votes", -F.col("b"))).alias("b"))
 
 
@@ -321,10 +345,10 @@ def join(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFra
     texts = slim(docs, text, key)
     sketch = stored(sketches(texts), spark, "jaccard-sketches")
     # equal sets are one group; its smallest id stands for it
-    groups = stored(sketch.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), F.min("keys").alias("keys")), spark, "jaccard-groups")
-    first = stored(verified(texts, stored(leaders(groups), spark, "jaccard-leaders")), spark, "jaccard-first")
+    groups = stored(sketch.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), F.min("keys").alias("keys"), F.min("parity").alias("parity")), spark, "jaccard-groups")
+    first = stored(verified(texts, leaders(groups), groups), spark, "jaccard-first")
     pairs = stored(candidates(texts, groups, components(first)), spark, "jaccard-pairs")
-    links = first.unionByName(stored(verified(texts, pairs), spark, "jaccard-links"))
+    links = first.unionByName(stored(verified(texts, pairs, groups), spark, "jaccard-links"))
     # rows of a group hang on the id that stands for it
     member = sketch.where("n > 0 and id is not null").select("id", "n", "d1", "d2").distinct() \
         .join(groups.select("n", "d1", "d2", F.col("id").alias("stands")), ["n", "d1", "d2"]).select("id", "stands")

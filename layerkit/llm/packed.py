@@ -31,7 +31,7 @@ class Packed:
     packed bytes: distinct (hash, tag) pairs with how often they came, or with
     ``least`` each hash once with its smallest tag."""
 
-    def __init__(self, buckets: int, least: bool = False, most: int = 1 << 21):
+    def __init__(self, buckets: int, least: bool = False, most: int = 1 << 19):
         self.shift, self.least, self.most = bucket_shift(buckets), least, most
         self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0
@@ -47,11 +47,14 @@ class Packed:
             return
         columns = [np.concatenate(c) for c in zip(*self.held)]
         self.held, self.size = [], 0
-        order = np.lexsort(columns[::-1])
-        columns = [c[order] for c in columns]
+        if len(columns) == 1:
+            columns[0].sort()
+        else:
+            order = np.lexsort(columns[::-1])
+            columns = [c[order] for c in columns]
         by = columns[:1] if self.least else columns
         new = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in by], 0))))
-        count = np.diff(np.append(new, len(order))).astype(np.uint32)
+        count = np.diff(np.append(new, len(columns[0]))).astype(np.uint32)
         columns = [c[new] for c in columns]
         bucket = (columns[0] >> self.shift).astype(np.int64)
         for once in (True, False):  # most come once: their counts are left out

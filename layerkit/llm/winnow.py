@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_hashes, mix64, quoted, text_blocks
+from .common import byte_hashes, quoted, text_blocks
 
 K, W = 12, 48
 _BYTES = byte_hashes(5)
@@ -43,7 +43,7 @@ STRETCH = 1 << 22
 
 
 def grams(body: np.ndarray, k: int = K) -> np.ndarray:
-    """Mixed 64-bit hash of the k bytes that start at each position."""
+    """64-bit hash of the k bytes that start at each position."""
     rolled, out, have = _BYTES[body], None, 0
     width = 1
     while width <= k:
@@ -58,7 +58,10 @@ def grams(body: np.ndarray, k: int = K) -> np.ndarray:
             n = len(body) - 2 * width + 1
             rolled = rolled[:n] * np.uint64(pow(_BASE, width, 1 << 64)) + rolled[width:width + n]
         width *= 2
-    return mix64(out)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    return out
 
 
 def window_minima(x: np.ndarray, w: int) -> np.ndarray:

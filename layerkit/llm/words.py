@@ -10,6 +10,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32  # A-Z only
+#: Hash value of each byte, 0 for what separates words; upper and lower case alike, or not.
+_VALUES = {lower: np.where(_SPACE, np.uint64(0), _BYTES[_LOWER] if lower else _BYTES) for lower in (True, False)}
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -40,16 +42,16 @@ def words(body: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     if len(starts) == 0:
         return np.zeros(0, np.uint64), starts, starts, heads
     run = np.diff(np.append(starts, n))
-    place = np.arange(starts[0], n) - np.repeat(starts, run)
+    place = np.arange(starts[0], n, dtype=np.int32) - np.repeat(starts.astype(np.int32), run)
     if int(run.max()) > len(_POWER):
         _POWER = _powers(int(run.max()))
-    value = _BYTES[_LOWER[body[starts[0]:]] if lower else body[starts[0]:]]
+    last = inside
+    last[:-1] &= ~inside[1:]
+    last[edges[edges > 0] - 1] |= ~_SPACE[body[edges[edges > 0] - 1]]
+    size = np.flatnonzero(last) + 1 - starts
+    value = _VALUES[lower][body[starts[0]:]]
     value *= _POWER[place]
-    value[~inside[starts[0]:]] = 0
-    relative = starts - starts[0]
-    size = np.add.reduceat(inside[starts[0]:].astype(np.int64), relative)
-    with np.errstate(over="ignore"):
-        return mix64(np.add.reduceat(value, relative) + size.astype(np.uint64)), starts, size, heads
+    return mix64(np.add.reduceat(value, starts - starts[0]) + size.astype(np.uint64)), starts, size, heads
 
 
 def shingle_sets(body: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[np.ndarray]:
@@ -64,7 +66,11 @@ def shingle_sets(body: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[
     out = []
     for a, b in zip(heads[:-1], heads[1:]):
         if b - a >= width:
-            out.append(np.unique(rolled[a:b - width + 1]))
+            some = np.sort(rolled[a:b - width + 1])
+            fresh = np.empty(len(some), bool)
+            fresh[0] = True
+            np.not_equal(some[1:], some[:-1], out=fresh[1:])
+            out.append(some[fresh])
         elif b > a:
             whole = np.uint64(b - a)
             for h in hashed[a:b]:
