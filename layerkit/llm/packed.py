@@ -120,34 +120,35 @@ def most_frequent(packed: DataFrame, least: int, top: int = TOP) -> tuple[np.nda
     return hashes[order], found["count"].to_numpy(np.int64)[order], found["low"].to_numpy(np.int64)[order]
 
 
-def map_and_top(packed: DataFrame, keep: Callable, least: int, buckets: int, tag: str, top: int = TOP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def map_and_top(packed: DataFrame, keep: Callable, least: int, buckets: int, tag: str, top: int = TOP) -> tuple[np.ndarray, ...]:
     """Bit map (by leading hash bits) of the hashes that ``keep`` (count, low, high)
-    passes, and of those the most frequent: (map, hashes sorted, counts)."""
+    passes, and of those the most frequent: (map, hashes sorted, counts, smallest tags)."""
     width = MAP_BITS // buckets
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in each_bucket(batches):
             hashes, total, low, high = totals(*unpacked(rows))
             good = keep(total, low, high)
-            hashes, total = hashes[good], total[good]
+            hashes, total, low = hashes[good], total[good], low[good]
             bits = np.zeros(width, bool)
             bits[top_bits(hashes) - bucket * width] = True
             many = total >= least
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
-                 pa.array([hashes[many].view(np.int64)], pa.list_(pa.int64())), pa.array([total[many]], pa.list_(pa.int64()))],
-                names=["bucket", "bits", "hashes", "counts"])
+                 pa.array([hashes[many].view(np.int64)], pa.list_(pa.int64())), pa.array([total[many]], pa.list_(pa.int64())),
+                 pa.array([low[many]], pa.list_(pa.int64()))],
+                names=["bucket", "bits", "hashes", "counts", "lows"])
 
     spark = packed.sparkSession
-    counted = stored(bucketed(packed).mapInArrow(count, "bucket int, bits binary, hashes array<long>, counts array<long>"), spark, tag)
+    counted = stored(bucketed(packed).mapInArrow(count, "bucket int, bits binary, hashes array<long>, counts array<long>, lows array<long>"), spark, tag)
     bits = np.zeros((buckets, width // 8), np.uint8)
     for r in counted.select("bucket", "bits").toLocalIterator():  # MAP_BITS bits in all
         bits[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
-    often = (counted.select(F.explode(F.arrays_zip("hashes", "counts")).alias("x")).select("x.hashes", "x.counts")
+    often = (counted.select(F.explode(F.arrays_zip("hashes", "counts", "lows")).alias("x")).select("x.*")
              .orderBy(F.col("counts").desc(), "hashes").limit(top).toPandas())
     hashes = often["hashes"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return bits.ravel(), hashes[order], often["counts"].to_numpy(np.int64)[order]
+    return bits.ravel(), hashes[order], often["counts"].to_numpy(np.int64)[order], often["lows"].to_numpy(np.int64)[order]
 
 
 def top_bits(hashes: np.ndarray) -> np.ndarray:

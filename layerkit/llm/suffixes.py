@@ -17,8 +17,9 @@ buckets and one bucket is sorted at a time:
 Only minimizers that two documents hold can matter: a counting pass over all documents
 leaves a bit map of fixed size, and other suffixes stay where they are. The most
 frequent minimizers (at most ``packed.TOP``, of ``OFTEN`` documents or more) would make
-hot buckets; their suffixes are bucketed one by one by the hash of all their bytes, and
-of those the most frequent are settled by a table of smallest ids of fixed size. Any
+hot buckets; their suffixes are counted and, where they occur twice, bucketed one by one
+by the hash of all their bytes; the most frequent of those are settled by a table of
+smallest ids of fixed size. Any
 other bucket key so holds less than a fixed small share of all suffixes.
 
 Defined results: a null text is empty and stays so; a text of fewer than WIDTH bytes is
@@ -42,17 +43,19 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .common import mix64, quoted, stored, text_blocks
 from .jaccard import BITS, id_map
-from .packed import SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, most_frequent, top_bits
+from .packed import MAP_BITS, SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
 from .winnow import grams, window_minima
 
 WIDTH, K = 50, 16
 W = WIDTH - K + 1
-OFTEN, OFTEN_UNITS = 512, 64
+OFTEN, OFTEN_UNITS = 8192, 64
+#: Bytes of a bucket that are sorted together, about; a bucket is cut between its keys.
+BLOCK = 1 << 19
 #: Bytes looked at together; a longer text is cut into stretches that overlap by WIDTH - 1.
 STRETCH = 1 << 22
 _LOW = np.uint64((1 << 24) - 1)
 _LAST = np.iinfo(np.int64).max
-HEAD = np.dtype([("key", "<u8"), ("doc", "<i8"), ("text", "<u4"), ("start", "<u4"), ("lead", "u1"), ("size", "u1")])
+HEAD = np.dtype([("key", "<u4"), ("doc", "<i8"), ("text", "<u4"), ("start", "<u4"), ("lead", "u1"), ("size", "u1")])
 SPAN = np.dtype([("doc", "<i8"), ("text", "<u4"), ("start", "<u4"), ("end", "<u4")])
 
 
@@ -63,20 +66,24 @@ def minimizers(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     if len(body) < WIDTH:
         return none, none, none, none.astype(np.uint64)
     hashed = grams(body, K)
-    place = np.arange(len(hashed), dtype=np.uint64)
-    least = window_minima((hashed & ~_LOW) | (_LOW - place), W)
-    at = (_LOW - (least & _LOW)).astype(np.int64)  # minimizer of the string at each position
-    inside = np.zeros(len(at) + 1, np.int64)
-    long = ends - starts >= WIDTH
-    np.add.at(inside, starts[long], 1)
-    np.add.at(inside, ends[long] - WIDTH + 1, -1)
-    inside = np.cumsum(inside[:-1]) > 0
-    new = inside.copy()
-    new[1:] &= ~inside[:-1] | (at[1:] != at[:-1])
-    new[starts[long]] = True
+    place = _LOW - np.arange(len(hashed), dtype=np.uint64)
+    np.bitwise_or(hashed & ~_LOW, place, out=place)
+    least = window_minima(place, W)  # hash and place of the minimizer of the string at each position
+    valid = np.maximum(ends - starts - WIDTH + 1, 0)
+    rest = ends - starts - valid
+    inside = np.repeat(np.tile([True, False], len(starts)), np.stack([valid, rest], 1).ravel())[:len(least)]
+    new = np.empty(len(least), bool)
+    new[0] = True
+    np.not_equal(least[1:], least[:-1], out=new[1:])
+    new[starts[valid > 0]] = True
+    new &= inside
+    stop = ~inside
+    stop[starts[(starts < len(stop)) & (valid > 0)]] = True
+    last = inside.copy()
+    last[:-1] &= new[1:] | stop[1:]
     first = np.flatnonzero(new)
-    owner = np.cumsum(new)[inside] - 1
-    return first, np.bincount(owner, minlength=len(first)), at[first], hashed[at[first]]
+    at = (_LOW - (least[first] & _LOW)).astype(np.int64)
+    return first, np.flatnonzero(last) - first + 1, at, hashed[at]
 
 
 class Part:
@@ -113,61 +120,64 @@ def slim(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 # ---- one bucket -----------------------------------------------------------------------
 
-def words_at(body: np.ndarray, at: np.ndarray, n: int = 8) -> np.ndarray:
-    """The n <= 8 bytes at each place as one number that sorts like them."""
-    out = np.zeros(len(at), np.uint64)
-    for k in range(n):
-        out = (out << np.uint64(8)) | body[at + k]
-    return out
+def words_of(body: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as one number that sorts like them (zeros follow
+    the last byte)."""
+    x = np.concatenate((body.astype(np.uint64), np.zeros(7, np.uint64)))
+    for step in (1, 2, 4):
+        x = (x[:-step] << np.uint64(8 * step)) | x[step:]
+    return x
 
 
-def dense(*columns: np.ndarray) -> np.ndarray:
-    """Rank of each row, equal rows alike."""
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), bool)
-    for c in columns:
-        s = c[order]
-        new[1:] |= s[1:] != s[:-1]
+def dense(values: np.ndarray) -> np.ndarray:
+    """Rank of each value, equal values alike."""
+    order = np.argsort(values)
+    s = values[order]
     out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(new)
+    out[order] = np.cumsum(np.concatenate(([False], s[1:] != s[:-1])))[:len(s)]
     return out
 
 
+def both(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Rank by the first, then by the second of two ranks (-1 comes before all)."""
+    return dense(first * (int(second.max(initial=0)) + 2) + second + 1)
+
+
 def sort_bucket(head: np.ndarray, body: np.ndarray) -> tuple[np.ndarray, ...]:
     """The suffix array of a bucket's stretches, by key, place and first WIDTH bytes:
     (stretch and offset of each suffix, their order, number of the string at each rank)."""
-    size = head["size"].astype(np.int64)
-    begin = np.cumsum(size) - size
+    size = head["size"].astype(np.int32)
+    begin = np.cumsum(size, dtype=np.int32) - size
     many = size - WIDTH + 1
-    which = np.repeat(np.arange(len(head)), many)
-    offset = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-    place = offset - head["lead"].astype(np.int64)[which]  # relative to the minimizer
+    which = np.repeat(np.arange(len(head), dtype=np.int32), many)
+    offset = np.arange(len(which), dtype=np.int32) - np.repeat(np.cumsum(many, dtype=np.int32) - many, many)
+    place = offset - head["lead"].astype(np.int32)[which]  # relative to the minimizer
     spot = begin[which] + offset
-    # ranks of the difference cover {0, 1, 3} modulo 7 of the places, by 42 bytes
-    owner = np.repeat(np.arange(len(head)), size)
-    along = np.arange(len(body)) - begin[owner]
-    residue = (along - head["lead"].astype(np.int64)[owner]) % 7
-    cover = np.flatnonzero(((residue == 0) | (residue == 1) | (residue == 3)) & (along <= size[owner] - 7))
-    index = np.full(len(body), -1, np.int64)
-    index[cover] = np.arange(len(cover))
-
-    def further(rank: np.ndarray, step: int) -> np.ndarray:
-        """Rank of the suffix ``step`` bytes on; -1 where the stretch ends before."""
-        inside = along[cover] + step <= size[owner[cover]] - 7
-        return np.where(inside, rank[index[np.where(inside, cover + step, cover)]], -1)
-
-    rank7 = dense(words_at(body, cover, 7))
-    rank14 = dense(rank7, further(rank7, 7))
-    rank28 = dense(rank14, further(rank14, 14))
-    rank42 = dense(rank28, further(rank14, 28))
+    # ranks of the difference cover {0, 1, 3} modulo 7 of the places, by 42 bytes; the
+    # longer ranks only where a suffix may look for one, at most 3 bytes past its start
+    along = np.arange(len(body), dtype=np.int32) - np.repeat(begin, size)
+    residue = (along - np.repeat(head["lead"].astype(np.int32), size)) % 7
+    room = np.repeat(size, size) - along
+    cover = np.flatnonzero(((residue == 0) | (residue == 1) | (residue == 3)) & (room >= 7))
+    text = words_of(body)
+    ranked = np.full(len(body), -1, np.int64)
+
+    def longer(at: np.ndarray, rank: np.ndarray, step: int, tail: np.ndarray) -> np.ndarray:
+        """Rank by ``rank`` at each place of the cover, then by ``tail`` ``step`` bytes on."""
+        out = np.full(len(body), -1, np.int64)
+        out[at] = both(rank[at], tail[at + step])
+        return out
+
+    ranked[cover] = dense(text[cover] >> np.uint64(8))
+    rank14 = longer(cover[room[cover] >= 14], ranked, 7, ranked)
+    asked = cover[room[cover] >= 42]
+    rank28 = longer(asked, rank14, 14, rank14)
+    rank42 = longer(asked, rank28, 28, rank14)
     ahead = np.array([0, 0, 1, 0, 3, 2, 1])[place % 7]  # to the next cover place: residues 0, 1, 3
-    columns = (dense(head["key"])[which] * 128 + place + 64, words_at(body, spot), rank42[index[spot + ahead]], words_at(body, spot + WIDTH - 8))
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), bool)
-    for c in columns:
-        c = c[order]
-        new[1:] |= c[1:] != c[:-1]
-    return which, offset, order, np.cumsum(new)
+    rank = both(dense(dense(head["key"])[which] * 128 + place + 64), dense(text[spot]))
+    rank = both(both(rank, rank42[spot + ahead]), dense(text[spot + WIDTH - 8]))
+    order = np.argsort(rank)
+    return which, offset, order, rank[order]
 
 
 def repeated(head: np.ndarray, body: np.ndarray) -> np.ndarray:
@@ -177,10 +187,33 @@ def repeated(head: np.ndarray, body: np.ndarray) -> np.ndarray:
     first = np.flatnonzero(np.concatenate(([True], string[1:] != string[:-1])))
     least = np.minimum.reduceat(doc[order], first)
     marked = np.zeros(len(doc), bool)
-    marked[order] = doc[order] > least[string]
+    marked[order] = doc[order] > least[string]  # ranks are dense: 0, 1, 2, ...
     return spans_of(head["doc"], head["text"], head["start"].astype(np.int64), which, offset, marked)
 
 
+def blocks(head: np.ndarray, body: np.ndarray) -> list[np.ndarray]:
+    """``repeated`` for the blocks of a bucket, which hold whole keys."""
+    order = np.argsort(head["key"], kind="stable")
+    size = head["size"].astype(np.int64)
+    begin = (np.cumsum(size) - size)[order]
+    head, size = head[order], size[order]
+    after = np.cumsum(size)
+    edge = np.flatnonzero(head["key"][1:] != head["key"][:-1]) + 1
+    out, a = [], 0
+    while a < len(head):
+        last = int(np.searchsorted(after, after[a] - size[a] + BLOCK, "right"))
+        if last >= len(head):
+            b = len(head)
+        else:  # the last edge before it, or else the next one
+            k = int(np.searchsorted(edge, last, "right"))
+            b = int(edge[k - 1]) if k and edge[k - 1] > a else int(edge[k]) if k < len(edge) else len(head)
+        n = size[a:b]
+        into = np.repeat((begin[a:b] - (after[a:b] - n - (after[a] - size[a]))).astype(np.int32), n) + np.arange(int(n.sum()), dtype=np.int32)
+        out.append(repeated(head[a:b], body[into]))
+        a = b
+    return out
+
+
 def spans_of(doc, text, start, which, offset, marked) -> np.ndarray:
     """Runs of marked offsets in each stretch, as spans of bytes."""
     begins = marked.copy()
@@ -219,7 +252,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 yield from pack.add(h[once])
         yield from pack.out()
 
-    bits, often, _ = map_and_top(docs.mapInArrow(held, SCHEMA), lambda n, low, high: n > 1, OFTEN, buckets, "suffix-minimizers")
+    bits, often, *_ = map_and_top(docs.mapInArrow(held, SCHEMA), lambda n, low, high: n > 1, OFTEN, buckets, "suffix-minimizers")
     shared = sc.broadcast((bits, often))
 
     def units_of(p: Part, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -228,7 +261,7 @@ def spans(docs: DataFrame) -> DataFrame:
         place = np.arange(len(run)) - np.repeat(np.cumsum(p.many[runs]) - p.many[runs], p.many[runs]) + p.first[run]
         return run, place, grams(p.body, WIDTH)[place] if len(run) else np.zeros(0, np.uint64)
 
-    table = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    table = (np.zeros(MAP_BITS >> 3, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.int64))
     if len(often):
         def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pack = Packed(buckets, least=True)
@@ -238,8 +271,8 @@ def spans(docs: DataFrame) -> DataFrame:
                     yield from pack.add(h, p.docs[p.row[run]])
             yield from pack.out()
 
-        hashes, _, low = most_frequent(docs.mapInArrow(units, SCHEMA), OFTEN_UNITS)
-        table = (hashes, low)
+        bits, hashes, _, low = map_and_top(docs.mapInArrow(units, SCHEMA), lambda n, low, high: n > 1, OFTEN_UNITS, buckets, "suffix-units")
+        table = (bits, hashes, low)
     settled = sc.broadcast(table)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,14 +280,14 @@ def spans(docs: DataFrame) -> DataFrame:
         waiting, size = [], 0
 
         def out():
-            head, body = np.concatenate([h for h, _ in waiting]), np.concatenate([b for _, b in waiting])
-            order = np.lexsort((head["doc"], head["key"]))
+            key, head, body = (np.concatenate(c) for c in zip(*waiting))
+            order = np.argsort(key)
             begin = np.cumsum(head["size"].astype(np.int64)) - head["size"]
             head, begin = head[order], begin[order]
             n = head["size"].astype(np.int64)
             after = np.cumsum(n) - n
-            body = body[np.repeat(begin - after, n) + np.arange(int(n.sum()))]
-            ids, heads, cuts = blobs(head["key"] >> shift, head)
+            body = body[np.repeat((begin - after).astype(np.int32), n) + np.arange(int(n.sum()), dtype=np.int32)]
+            ids, heads, cuts = blobs(key[order] >> shift, head)
             ends = np.append(after, len(body))
             yield pa.RecordBatch.from_arrays([ids, pa.array(heads, pa.binary()), pa.array([body[ends[a]:ends[b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
                                              names=["bucket", "head", "body"])
@@ -263,9 +296,9 @@ def spans(docs: DataFrame) -> DataFrame:
             nonlocal waiting, size
             head = np.zeros(len(run), HEAD)
             row = p.row[run]
-            head["key"], head["doc"], head["text"], head["start"], head["lead"], head["size"] = key, p.docs[row], p.marks[row], p.base + place - p.starts[row], lead, size_
+            head["key"], head["doc"], head["text"], head["start"], head["lead"], head["size"] = (key << (np.uint64(64) - shift)) >> np.uint64(32), p.docs[row], p.marks[row], p.base + place - p.starts[row], lead, size_
             after = np.cumsum(size_) - size_
-            waiting.append((head, p.body[np.repeat(place - after, size_) + np.arange(int(size_.sum()))]))
+            waiting.append((key, head, p.body[np.repeat((place - after).astype(np.int32), size_) + np.arange(int(size_.sum()), dtype=np.int32)]))
             size += len(head)
 
         for p in parts(batches):
@@ -278,7 +311,7 @@ def spans(docs: DataFrame) -> DataFrame:
             hot = np.flatnonzero(hot)
             if len(hot):
                 run, place, h = units_of(p, hot)
-                hashes, low = settled.value
+                twice, hashes, low = settled.value
                 known, at = look_up(hashes, h)
                 marked = np.zeros(len(h), bool)
                 marked[known] = p.docs[p.row[run[known]]] > low[at[known]]
@@ -291,10 +324,10 @@ def spans(docs: DataFrame) -> DataFrame:
                                     np.arange(len(rest)) - begin[rest], marked)
                     yield pa.RecordBatch.from_arrays([pa.array([int(top_bits(h[:1])[0]) % buckets], pa.int32()), pa.array([done.tobytes()], pa.binary()), pa.array([None], pa.binary())],
                                                      names=["bucket", "head", "body"])
-                new = np.flatnonzero(~known)
+                new = np.flatnonzero(~known & in_map(twice, top_bits(h)))
                 # a lone string is its own bucket key; the hash of its minimizer keeps keys apart
                 stretch(p, mix64(h[new] ^ p.hash[run[new]]), run[new], place[new], np.full(len(new), WIDTH), p.at[run[new]] - place[new])
-            if size > 300_000:
+            if size > 50_000:
                 yield from out()
                 waiting, size = [], 0
         if size:
@@ -314,8 +347,8 @@ def spans(docs: DataFrame) -> DataFrame:
             found += [np.frombuffer(r[0], SPAN) for r in rows if r[1] is None]
             some = [r for r in rows if r[1]]
             if some:
-                found.append(repeated(np.concatenate([np.frombuffer(r[0], HEAD) for r in some]), np.concatenate([np.frombuffer(r[1], np.uint8) for r in some])))
-            n += sum(map(len, found[-len(rows):]))
+                found += blocks(np.concatenate([np.frombuffer(r[0], HEAD) for r in some]), np.concatenate([np.frombuffer(r[1], np.uint8) for r in some]))
+            n = sum(map(len, found))
             if n > 1 << 19:
                 yield out()
                 found, n = [], 0
