@@ -12,7 +12,7 @@ shingles last, so that passages which many documents share do not fill the prefi
    large cluster of near copies is never expanded into pairs.
 3. The prefix join proper: shingle counts fix the order; prefix elements that only one
    group, or only one component, holds are left out; the others form posting lists,
-   whose pairs pass the size and position filters. The longest lists beyond ``LIST``
+   whose pairs pass the size, position and parity filters (all exact). The longest lists beyond ``LIST``
    members are dealt over a triangle of blocks; any other list holds less than a fixed
    small share of all postings.
 4. Candidate pairs whose parity maps differ too much are dropped (an exact bound), the
@@ -45,7 +45,7 @@ from .words import shingle_sets
 
 TIMES, OUT_OF = 75, 100
 KEYS, VOTES = 8, 3
-PARITY = 2048
+PARITY, FOLDED = 2048, 512
 HOT, FREQUENT = 1 << 19, 24
 BITS = 1 << 26
 LIST = 8192
@@ -215,13 +215,15 @@ def frequent(docs: DataFrame, groups_map, buckets: int) -> Order:
 
 # ---- the prefix join -----------------------------------------------------------------
 
-POSTING = np.dtype([("cell", "<u8"), ("hash", "<u8"), ("id", "<i8"), ("component", "<i8"), ("n", "<i4"), ("at", "<i4"), ("block", "<i4"), ("low", "<i4"), ("high", "<i4")])
+POSTING = np.dtype([("cell", "<u8"), ("hash", "<u8"), ("id", "<i8"), ("component", "<i8"), ("n", "<i4"), ("at", "<i4"), ("block", "<i4"), ("low", "<i4"), ("high", "<i4"), ("parity", "<u8", (FOLDED // 64,))])
 
 
 def list_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
     """Candidate pairs (a, b), a > b, of one posting list (one block pair of it)."""
     rows = np.sort(rows, order=["n", "id"])
-    n, end = rows["n"].astype(np.int64), np.searchsorted(rows["n"], OUT_OF * rows["n"].astype(np.int64) // TIMES, "right")
+    n = rows["n"].astype(np.int64)
+    # the largest partner that what is left behind the smaller set's place allows
+    end = np.searchsorted(n, (OUT_OF + TIMES) * (n - rows["at"]) // TIMES - n, "right")
     low, high = rows["low"][0], rows["high"][0]
     step = max(1, (1 << 20) // len(rows))
     for a in range(0, len(rows), step):
@@ -234,6 +236,11 @@ def list_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
         ok = (rows["component"][left] != rows["component"][right]) & (rest >= overlap(n[left], n[right]))
         if low != high:  # pairs inside one block belong to its own cell
             ok &= rows["block"][left] != rows["block"][right]
+        left, right = left[ok], right[ok]
+        differ = np.zeros(len(left), np.int64)
+        for k in range(rows["parity"].shape[1]):
+            differ += np.bitwise_count(rows["parity"][left, k] ^ rows["parity"][right, k])
+        ok = differ <= n[left] + n[right] - 2 * overlap(n[left], n[right])
         x, y = rows["id"][left[ok]], rows["id"][right[ok]]
         yield np.stack([np.maximum(x, y), np.minimum(x, y)])
 
@@ -253,7 +260,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                 yield from pack.add(np.concatenate(heads))
         yield from pack.out()
 
-    bits, _, _ = map_and_top(docs.mapInArrow(all_prefixes, SCHEMA), lambda n, low, high: n > 1, LIST, buckets, "jaccard-shared")
+    bits, *_ = map_and_top(docs.mapInArrow(all_prefixes, SCHEMA), lambda n, low, high: n > 1, LIST, buckets, "jaccard-shared")
     shared = sc.broadcast(bits)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,10 +274,10 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.binary()), pa.array(at, pa.binary())],
                                              names=["id", "n", "hash", "at"])
 
-    standing_rows = groups.select("id", "n").join(labels.select(F.col("node").alias("id"), "component"), "id", "left") \
-        .select("id", F.col("n").alias("size"), F.coalesce("component", "id").alias("component"))
+    standing_rows = groups.select("id", "n", "parity").join(labels.select(F.col("node").alias("id"), "component"), "id", "left") \
+        .select("id", F.col("n").alias("size"), "parity", F.coalesce("component", "id").alias("component"))
     heads = stored(docs.mapInArrow(prefixes, "id long, n long, hash binary, at binary").where(F.octet_length("hash") > 0)
-                   .join(standing_rows, "id").where("n = size").select("id", "n", "component", "hash", "at"), spark, "jaccard-prefixes")
+                   .join(standing_rows, "id").where("n = size").select("id", "n", "component", "hash", "at", "parity"), spark, "jaccard-prefixes")
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = Packed(buckets)
@@ -281,19 +288,20 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
         yield from pack.out()
 
     across = sc.broadcast(map_and_top(heads.select("component", "hash").mapInArrow(tagged, SCHEMA), lambda n, low, high: low < high, LIST, buckets,
-                                      "jaccard-across"))
+                                      "jaccard-across")[:3])
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, long, size = across.value
         shift = bucket_shift(buckets)
         for b in batches:
             rows = []
-            for id_, n, component, blob, at in zip(*(c.to_pylist() for c in b.columns)):
+            for id_, n, component, blob, at, parity in zip(*(c.to_pylist() for c in b.columns)):
                 h, at = np.frombuffer(blob, np.uint64), np.frombuffer(at, "<i4")
                 keep = in_map(bits, top_bits(h))
                 h, at = h[keep], at[keep]
                 row = np.zeros(len(h), POSTING)
                 row["hash"], row["id"], row["component"], row["n"], row["at"], row["cell"] = h, id_, component, n, at, h >> shift
+                row["parity"] = np.bitwise_xor.reduce(np.frombuffer(parity, np.uint64).reshape(-1, FOLDED // 64), 0)
                 is_long, place = look_up(long, h)
                 rows.append(row[~is_long])
                 for i in np.flatnonzero(is_long):  # a member of block i meets every block j in cell {i, j}
