@@ -31,12 +31,12 @@ and cannot clash.
 """
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -46,7 +46,7 @@ from .jaccard import BITS, id_map
 from .packed import MAP_BITS, SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
 from .winnow import grams, window_minima
 
-WIDTH, K = 50, 16
+WIDTH, K = 50, 24
 W = WIDTH - K + 1
 OFTEN, OFTEN_UNITS = 8192, 64
 #: Bytes of a bucket that are sorted together, about; a bucket is cut between its keys.
@@ -236,6 +236,15 @@ def blobs(bucket: np.ndarray, rows: np.ndarray) -> tuple[pa.Array, list[bytes],
     return pa.array(heads.astype(np.int32)), [rows[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], cuts
 
 
+def columns(head: np.ndarray) -> bytes:
+    """HEAD rows by columns and bytes of each column, which compresses better."""
+    return np.ascontiguousarray(head.view(np.uint8).reshape(-1, HEAD.itemsize).T).tobytes()
+
+
+def rows_of(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(HEAD.itemsize, -1).T).ravel().view(HEAD)
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """(bucket, spans): packed SPAN rows, bucketed by document; ``docs`` is ``slim``."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
@@ -289,7 +298,9 @@ def spans(docs: DataFrame) -> DataFrame:
             body = body[np.repeat((begin - after).astype(np.int32), n) + np.arange(int(n.sum()), dtype=np.int32)]
             ids, heads, cuts = blobs(key[order] >> shift, head)
             ends = np.append(after, len(body))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(heads, pa.binary()), pa.array([body[ends[a]:ends[b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
+            small = zstandard.ZstdCompressor(level=3).compress
+            yield pa.RecordBatch.from_arrays([ids, pa.array([small(columns(np.frombuffer(h, HEAD))) for h in heads], pa.binary()),
+                                              pa.array([small(body[ends[a]:ends[b]].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
                                              names=["bucket", "head", "body"])
 
         def stretch(p: Part, key, run, place, size_, lead):
@@ -347,7 +358,8 @@ def spans(docs: DataFrame) -> DataFrame:
             found += [np.frombuffer(r[0], SPAN) for r in rows if r[1] is None]
             some = [r for r in rows if r[1]]
             if some:
-                found += blocks(np.concatenate([np.frombuffer(r[0], HEAD) for r in some]), np.concatenate([np.frombuffer(r[1], np.uint8) for r in some]))
+                large = zstandard.ZstdDecompressor().decompress
+                found += blocks(np.concatenate([rows_of(large(r[0])) for r in some]), np.concatenate([np.frombuffer(large(r[1]), np.uint8) for r in some]))
             n = sum(map(len, found))
             if n > 1 << 19:
                 yield out()
