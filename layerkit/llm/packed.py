@@ -31,7 +31,7 @@ class Packed:
     packed bytes: distinct (hash, tag) pairs with how often they came, or with
     ``least`` each hash once with its smallest tag."""
 
-    def __init__(self, buckets: int, least: bool = False, most: int = 1 << 19):
+    def __init__(self, buckets: int, least: bool = False, most: int = 1 << 18):
         self.shift, self.least, self.most = bucket_shift(buckets), least, most
         self.held: list[tuple[np.ndarray, ...]] = []
         self.size = 0

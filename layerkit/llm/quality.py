@@ -112,7 +112,7 @@ def grow(x: np.ndarray, y: np.ndarray, *, bins: int = BINS, trees: int = TREES,
     n = len(y)
     mean = float(y.mean()) if n else 0.5
     none = np.zeros(0, np.int64)
-    if not 0 < mean < 1:
+    if not n or not 0 < mean < 1:
         edge = float(np.clip(mean, 0.02, 0.98))
         return Forest(np.log(edge / (1 - edge)), none, none, none.astype(float), none, none, none.astype(float), 0)
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]

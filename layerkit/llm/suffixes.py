@@ -43,7 +43,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .common import mix64, quoted, stored, text_blocks
 from .jaccard import BITS, id_map
-from .packed import MAP_BITS, SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
+from .packed import SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
 from .winnow import grams, window_minima
 
 WIDTH, K = 50, 24
@@ -270,7 +270,7 @@ def spans(docs: DataFrame) -> DataFrame:
         place = np.arange(len(run)) - np.repeat(np.cumsum(p.many[runs]) - p.many[runs], p.many[runs]) + p.first[run]
         return run, place, grams(p.body, WIDTH)[place] if len(run) else np.zeros(0, np.uint64)
 
-    table = (np.zeros(MAP_BITS >> 3, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    table = (np.zeros(0, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.int64))  # without hot minimizers
     if len(often):
         def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pack = Packed(buckets, least=True)
@@ -338,7 +338,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 new = np.flatnonzero(~known & in_map(twice, top_bits(h)))
                 # a lone string is its own bucket key; the hash of its minimizer keeps keys apart
                 stretch(p, mix64(h[new] ^ p.hash[run[new]]), run[new], place[new], np.full(len(new), WIDTH), p.at[run[new]] - place[new])
-            if size > 50_000:
+            if size > 25_000:
                 yield from out()
                 waiting, size = [], 0
         if size:
