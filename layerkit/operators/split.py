@@ -21,17 +21,18 @@ def split_rows(df: DataFrame, rule: Column, strict: bool = False) -> tuple[DataF
 
 
 def split_chunks(df: DataFrame, order_by: list[str], n: int = 8,
-                 keep_remainder: bool = False, name: str = "chunk") -> DataFrame:
+                 keep_remainder: bool = True, name: str = "chunk") -> DataFrame:
     """Tag rows with chunk ``0..n-1`` of ``floor(count/n)`` consecutive rows each.
 
-    The rows past ``n * floor(count/n)`` are dropped, as the original split does;
-    ``keep_remainder`` puts them into the last chunk instead. Positions come from
-    the parallel surrogate-key assignment, the count from a scalar subquery.
+    The rows past ``n * floor(count/n)`` go to the last chunk (all rows do when there
+    are fewer than ``n``); ``keep_remainder=False`` drops them, as the original split
+    does. Positions come from the parallel surrogate-key assignment, the count from a
+    scalar subquery.
     """
     pos = add_surrogate_key(df, order_by, "__pos", start=0)
     per = F.floor(df.select(F.count(F.lit(1))).scalar() / F.lit(n))
     chunk = F.when(per > 0, F.floor(F.col("__pos") / per))
     if keep_remainder:
-        chunk = F.least(chunk, F.lit(n - 1))
+        chunk = F.coalesce(F.least(chunk, F.lit(n - 1)), F.lit(n - 1))
     out = pos.withColumn(name, chunk.cast("int")).filter(F.col(name) < n)
     return out.drop("__pos")

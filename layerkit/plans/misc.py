@@ -19,7 +19,7 @@ PEOPLE_COLUMNS = ["FirstName", "LastName", "Phone", "Address"]
 
 
 def m_split_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders split into 8 JSON chunk folders of floor(n/8) rows (remainder dropped)."""
+    """Orders split into 8 JSON chunk folders of floor(n/8) rows, the remainder in the last."""
     out = f"{new_run_dir(spark, 'chunks')}/orders"
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     write_json(split_chunks(o, ["o_orderkey"], CHUNKS), out, partition_by="chunk")

@@ -381,9 +381,9 @@ MISC = {
     "m_split_chunks": """
         WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders),
         per AS (SELECT count(*) // 8 AS k FROM orders)
-        SELECT CAST(pos // k AS INTEGER) AS chunk, count(*) AS n_rows,
+        SELECT CAST(CASE WHEN k > 0 THEN least(pos // k, 7) ELSE 7 END AS INTEGER) AS chunk, count(*) AS n_rows,
                min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
-        FROM n, per WHERE k > 0 AND pos // k < 8 GROUP BY 1""",
+        FROM n, per GROUP BY 1""",
     "c_clean_text": f"""
         SELECT DISTINCT {_cap(_strip('FirstName'))} AS FirstName, {_cap(_strip('LastName'))} AS LastName,
                replace({_strip('Phone')}, '-', '') AS Phone,

@@ -20,9 +20,12 @@ from ..sources.tables import load
 EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def run_available_now(query: StreamingQuery, timeout_s: float = 600.0) -> StreamingQuery:
-    """Wait for an availableNow query to drain its backlog (bounded wait, no polling loop)."""
-    if not query.awaitTermination(timeout_s):
+def run_available_now(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait for an availableNow query to drain its backlog, however long that takes;
+    a limit in seconds is opt-in."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError(f"stream {query.name} did not finish in {timeout_s}s")
     if query.exception() is not None:
@@ -31,7 +34,8 @@ def run_available_now(query: StreamingQuery, timeout_s: float = 600.0) -> Stream
 
 
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """``recentProgress`` as rows (batch id, input rows) for monitoring."""
+    """``recentProgress`` as rows (batch id, input rows) for monitoring: Spark keeps the
+    latest updates only; ``batch_counts`` has every batch."""
     rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
     return spark.createDataFrame(rows, "batch_id BIGINT, num_input_rows BIGINT")
 
@@ -39,6 +43,11 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 BATCH_COL = "_batch_id"
 
 
+def batch_counts(spark: SparkSession, sink_table: str) -> DataFrame:
+    """Rows of every stored micro-batch, from the sink itself."""
+    return spark.table(sink_table).groupBy(F.col(BATCH_COL).alias("batch_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def write_batch_idempotent(batch: DataFrame, batch_id: int, sink_table: str) -> None:
     """Store one micro-batch as the ``_batch_id = batch_id`` partition of the sink.
 
@@ -126,9 +135,8 @@ def s_drip_feed(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events")
     bounds = events.agg(F.min("ts"), F.max("ts")).first()
     _land_events(events, src, bounds[0], bounds[1] + dt.timedelta(seconds=1))
-    q = stream_new_records(spark, src, EVENTS_DDL + ", day STRING", sink, f"{root}/checkpoint",
-                           max_files=4, transform=lambda s: s.select("event_id", "event_type", "value"))
-    progress = progress_frame(spark, q)
-    if progress.agg(F.sum("num_input_rows")).first()[0] != spark.table(sink).count():
-        raise AssertionError("progress and sink disagree")
+    stream_new_records(spark, src, EVENTS_DDL + ", day STRING", sink, f"{root}/checkpoint",
+                       max_files=4, transform=lambda s: s.select("event_id", "event_type", "value"))
+    if batch_counts(spark, sink).agg(F.sum("n_rows")).first()[0] != events.count():
+        raise AssertionError("the stored batches do not add up to the landed events")
     return spark.table(sink).drop(BATCH_COL)
