@@ -14,6 +14,10 @@ buckets and one bucket is sorted at a time:
   of their WIDTH bytes; long ties cost no further comparison. Memory is bounded by the
   bucket.
 
+A text that a document with a smaller id has as a whole, too, is removed whole and takes
+no further part: whatever its strings would mark, those of the smaller id mark as well.
+This holds for the ``packed.TOP`` largest groups of copies; others go the general way.
+
 Only minimizers that two documents hold can matter: a counting pass over all documents
 leaves a bit map of fixed size, and other suffixes stay where they are. The most
 frequent minimizers (at most ``packed.TOP``, of ``OFTEN`` documents or more) would make
@@ -37,13 +41,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .common import mix64, quoted, stored, text_blocks
 from .jaccard import BITS, id_map
-from .packed import SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
+from .packed import SCHEMA, TOP, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
 from .winnow import grams, window_minima
 
 WIDTH, K = 50, 24
@@ -52,7 +55,9 @@ OFTEN, OFTEN_UNITS = 8192, 64
 #: Bytes of a bucket that are sorted together, about; a bucket is cut between its keys.
 BLOCK = 1 << 19
 #: Bytes looked at together; a longer text is cut into stretches that overlap by WIDTH - 1.
-STRETCH = 1 << 22
+STRETCH = 1 << 19
+#: Buckets of documents come from the id modulo this prime.
+PRIME = 1_000_003
 _LOW = np.uint64((1 << 24) - 1)
 _LAST = np.iinfo(np.int64).max
 HEAD = np.dtype([("key", "<u4"), ("doc", "<i8"), ("text", "<u4"), ("start", "<u4"), ("lead", "u1"), ("size", "u1")])
@@ -113,9 +118,28 @@ def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[Part]:
 
 
 def slim(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """id, mark (tells texts of equal id apart), text."""
+    """id, mark (tells texts of equal id apart), text, and its 128-bit digest."""
     words = F.coalesce(quoted(text).cast("string"), F.lit(""))
-    return docs.select(quoted(key).cast("long").alias("id"), F.pmod(F.xxhash64(words), F.lit(1 << 32)).alias("mark"), words.alias("text"))
+    return docs.select(quoted(key).cast("long").alias("id"), F.pmod(F.xxhash64(words), F.lit(1 << 32)).alias("mark"), words.alias("text"), *digest(words))
+
+
+def digest(words: Column) -> list[Column]:
+    return [F.xxhash64(words).alias("d1"), F.xxhash64(F.lit(PRIME), words).alias("d2")]
+
+
+def copied(frame: DataFrame) -> DataFrame:
+    """(d1, d2, least): smallest id of the largest groups of equal texts of WIDTH bytes
+    or more, ``TOP`` rows at most."""
+    number = F.coalesce("id", F.lit(_LAST))
+    groups = (frame.where(F.octet_length("text") >= WIDTH).groupBy("d1", "d2")
+              .agg(F.min(number).alias("least"), F.max(number).alias("most"), F.count(F.lit(1)).alias("many")).where("least < most"))
+    return stored(groups.orderBy(F.col("many").desc(), "d1", "d2").limit(TOP).select("d1", "d2", "least"), frame.sparkSession, "suffix-copies")
+
+
+def with_later(frame: DataFrame, copies: DataFrame) -> DataFrame:
+    """The rows with ``later``: a smaller id is known to have the same text."""
+    later = F.coalesce(F.coalesce("id", F.lit(_LAST)) > F.col("least"), F.lit(False))
+    return frame.join(F.broadcast(copies), ["d1", "d2"], "left").withColumn("later", later)
 
 
 # ---- one bucket -----------------------------------------------------------------------
@@ -349,7 +373,7 @@ def spans(docs: DataFrame) -> DataFrame:
 
         def out():
             rows = np.concatenate(found)
-            bucket = mix64(rows["doc"].view(np.uint64)) >> shift
+            bucket = np.mod(rows["doc"], PRIME) % buckets
             order = np.argsort(bucket, kind="stable")
             ids, packed, _ = blobs(bucket[order], rows[order])
             return pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], names=["bucket", "spans"])
@@ -371,18 +395,23 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct document ids of a task's spans."""
+    seen = np.zeros(0, np.int64)
     for b in batches:
-        rows = [np.frombuffer(v.as_buffer(), SPAN)["doc"] for v in b.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(rows)) if rows else np.zeros(0, np.int64))], names=["id"])
+        seen = np.unique(np.concatenate([seen, *(np.frombuffer(v.as_buffer(), SPAN)["doc"] for v in b.column(0))]))
+        if len(seen) > 1 << 18:
+            yield pa.RecordBatch.from_arrays([pa.array(seen)], names=["id"])
+            seen = seen[:0]
+    yield pa.RecordBatch.from_arrays([pa.array(seen)], names=["id"])
 
 
 def removed(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """row (the document's other columns), id, n_bytes, n_removed, n_spans, kept (bytes)."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     buckets = bucket_count(spark)
-    shift = bucket_shift(buckets)
     frame = slim(docs, text, key)
-    marks = spans(frame)
+    copies = copied(frame)
+    marks = spans(with_later(frame, copies).where("not later").select("id", "mark", "text"))
     touched = sc.broadcast(id_map(marks.select("spans").mapInArrow(_ids, "id long")))
 
     @F.pandas_udf("boolean")
@@ -391,17 +420,16 @@ def removed(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> Data
 
     others = [c for c in docs.columns if c != text]
     words = F.coalesce(quoted(text).cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*[quoted(c).alias(c) for c in others]).alias("row"), quoted(key).cast("long").alias("id"), words.alias("text"))
-    whole = rows.where(~may_change(F.coalesce("id", F.lit(_LAST)))).select("row", "id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
-                                                 F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"))
-
-    def bucket_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column(1).fill_null(_LAST).to_numpy()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array((mix64(ids.view(np.uint64)) >> shift).astype(np.int32))], names=[*b.schema.names, "bucket"])
-
-    part = rows.where(may_change(F.coalesce("id", F.lit(_LAST)))).withColumn("mark", F.pmod(F.xxhash64("text"), F.lit(1 << 32)))
-    dealt = part.mapInArrow(bucket_of, StructType([*part.schema.fields, StructField("bucket", IntegerType())]))
+    rows = with_later(docs.select(F.struct(*[quoted(c).alias(c) for c in others]).alias("row"), quoted(key).cast("long").alias("id"), words.alias("text"),
+                                  *digest(words)), copies).select("row", "id", "text", "later")
+    number = F.coalesce("id", F.lit(_LAST))
+    size = F.octet_length("text").cast("long")
+    whole = rows.where(F.col("later") | ~may_change(number)).select(
+        "row", "id", size.alias("n_bytes"), F.when(F.col("later"), size).otherwise(0).cast("long").alias("n_removed"),
+        F.col("later").cast("long").alias("n_spans"), F.when(F.col("later"), F.lit("")).otherwise(F.col("text")).cast("binary").alias("kept"))
+
+    dealt = (rows.where(~F.col("later")).where(may_change(number)).drop("later").withColumn("mark", F.pmod(F.xxhash64("text"), F.lit(1 << 32)))
+             .withColumn("bucket", (F.pmod(number, F.lit(PRIME)) % buckets).cast("int")))
     both = dealt.withColumn("spans", F.lit(None).cast("binary")).unionByName(
         marks.select(F.lit(None).cast(rows.schema["row"].dataType).alias("row"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("text"),
                      F.lit(None).cast("long").alias("mark"), "bucket", "spans"))
