@@ -18,9 +18,9 @@ A text that a document with a smaller id has as a whole, too, is removed whole a
 no further part: whatever its strings would mark, those of the smaller id mark as well.
 This holds for the ``packed.TOP`` largest groups of copies; others go the general way.
 
-Only minimizers that two documents hold can matter: a counting pass over all documents
+Only minimizers that occur twice can matter: a counting pass over all documents
 leaves a bit map of fixed size, and other suffixes stay where they are. The most
-frequent minimizers (at most ``packed.TOP``, of ``OFTEN`` documents or more) would make
+frequent minimizers (at most ``packed.TOP``, ``OFTEN`` runs or more, in one text or in many) would make
 hot buckets; their suffixes are counted and, where they occur twice, bucketed one by one
 by the hash of all their bytes; the most frequent of those are settled by a table of
 smallest ids of fixed size. Any
@@ -278,11 +278,8 @@ def spans(docs: DataFrame) -> DataFrame:
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = Packed(buckets)
         for p in parts(batches):
-            order = np.lexsort((p.row, p.hash))
-            h, row = p.hash[order], p.row[order]
-            once = np.concatenate(([True], (h[1:] != h[:-1]) | (row[1:] != row[:-1]))) if len(h) else np.zeros(0, bool)
-            if len(h):
-                yield from pack.add(h[once])
+            if len(p.hash):
+                yield from pack.add(p.hash)
         yield from pack.out()
 
     bits, often, *_ = map_and_top(docs.mapInArrow(held, SCHEMA), lambda n, low, high: n > 1, OFTEN, buckets, "suffix-minimizers")
