@@ -9,6 +9,7 @@ longer depends on the files it replaces. Single writer per table is assumed.
 from __future__ import annotations
 
 import threading
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +21,28 @@ def _key_list(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def one_per_key(src: DataFrame, key) -> DataFrame:
+    """One row for each key, null keys included: of repeated ones the row with the
+    largest other columns (compared in order, nulls first), whatever the partitioning."""
+    keys = _key_list(key)
+    rest = [c for c in src.columns if c not in keys]
+    if not rest:
+        return src.distinct()
+    best = src.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__best"))
+    return best.select(*keys, "__best.*").select(*src.columns)
+
+
 def merge_update(target: DataFrame, src: DataFrame, key, set_cols: dict[str, Column | str]) -> DataFrame:
-    """WHEN MATCHED THEN UPDATE SET ...; source keys are de-duplicated first.
+    """WHEN MATCHED THEN UPDATE SET ...; repeated source keys are reduced by ``one_per_key``.
 
     ``set_cols`` maps target column -> source column name or expression on ``src``.
     A matched row takes the source value even when it is null.
     """
     keys = _key_list(key)
     exprs = {c: (F.col(v) if isinstance(v, str) else v) for c, v in set_cols.items()}
-    s = src.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                   *[e.alias(f"__s_{c}") for c, e in exprs.items()]).dropDuplicates(
-                       [f"__k_{k}" for k in keys])
+    s = one_per_key(src.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
+                               *[e.alias(f"__s_{c}") for c, e in exprs.items()]),
+                    [f"__k_{k}" for k in keys])
     s = s.withColumn("__hit", F.lit(True))
     cond = None
     for k in keys:
@@ -51,10 +63,15 @@ def merge_insert(target: DataFrame, src: DataFrame, key) -> DataFrame:
 
 
 def merge_upsert(target: DataFrame, src: DataFrame, key) -> DataFrame:
-    """Insert or replace by key: ``(target - matched keys) UNION ALL src``."""
+    """Insert or replace by key: ``(target - matched keys) UNION ALL src``.
+
+    A source with repeated keys is reduced by ``one_per_key``; null keys match each
+    other, so that a replayed increment replaces its rows instead of adding them."""
     keys = _key_list(key)
-    kept = target.join(src.select(*keys), keys, "left_anti")
-    return kept.unionByName(src.select(*target.columns))
+    new = one_per_key(src.select(*target.columns), keys)
+    wanted = new.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    cond = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys])
+    return target.join(wanted, cond, "left_anti").unionByName(new)
 
 
 def merge_delete(target: DataFrame, src: DataFrame, key) -> DataFrame:

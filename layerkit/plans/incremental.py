@@ -3,6 +3,7 @@ key-based merges, and the typed JSON-shredding copy."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,22 +105,22 @@ def load_orders_window(spark: SparkSession, table: str, orders: DataFrame, linei
     2. load orders dated in ``(start, start+days]`` (or ``[start, start+days]`` with
        ``include_start``) with their totals (with tax when asked);
     3. keys already present are skipped (MERGE ... WHEN NOT MATCHED INSERT) or,
-       with ``on_conflict='error'``, abort the load before anything is written.
+       with ``on_conflict='error'``, abort the load before anything is deleted or written.
     """
-    drop_partitions_where(spark, table, "OrderDate", F.col("OrderDate") < F.lit(start.isoformat()))
     first = start if include_start else start + dt.timedelta(days=1)
     last = start + dt.timedelta(days=days)
     rows = ods_order_rows(orders, lineitem, _day_range(first, last + dt.timedelta(days=1)), with_tax)
     # An order keeps its date, so a key can only collide inside the window's partitions.
     present = spark.table(table).filter(
         (F.col("OrderDate") >= ts_lit(first)) & (F.col("OrderDate") <= ts_lit(last)))
+    new = rows
     if on_conflict == "error":
         clash = rows.join(present.select("OrderID"), "OrderID", "left_semi").limit(1).count()
         if clash:
             raise KeyConflict(f"window load into {table} would repeat existing OrderID values")
-        new = rows
     else:
         new = rows.join(present.select("OrderID"), "OrderID", "left_anti")
+    drop_partitions_where(spark, table, "OrderDate", F.col("OrderDate") < F.lit(start.isoformat()))
     append_rows(new, table)
 
 
@@ -169,6 +170,7 @@ def q22_shred_json(spark, sf):
 
 # High-water-mark incremental extract (G-6) --------------------------------------------------------
 WATERMARK_DDL = "TableName STRING, WatermarkValue TIMESTAMP_NTZ"
+INCREMENT = "increment_after"  # partition column of a sink: the old mark of each increment
 INITIAL_MARK = dt.datetime(2001, 1, 1)
 
 
@@ -181,13 +183,11 @@ def extract_increment(source: DataFrame, wm_col: str, old_mark):
     when nothing is new. Both marks are single values; the range predicate
     reaches the scan (parquet statistics / JDBC WHERE). Rows with a null mark
     never load."""
-    new = source.agg(F.max(wm_col)).first()[0]
-    if new is None or (old_mark is not None and new <= old_mark):
+    fresh = source if old_mark is None else source.filter(F.col(wm_col) > _mark_lit(old_mark))
+    new = fresh.agg(F.max(wm_col)).first()[0]
+    if new is None:
         return None, old_mark
-    cond = F.col(wm_col) <= _mark_lit(new)
-    if old_mark is not None:
-        cond = cond & (F.col(wm_col) > _mark_lit(old_mark))
-    return source.filter(cond), new
+    return fresh.filter(F.col(wm_col) <= _mark_lit(new)), new
 
 
 def read_marks(spark: SparkSession, control_path: str) -> dict:
@@ -199,17 +199,21 @@ def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm
                      control_path: str, sink_path: str | None = None, write_fn=None) -> int:
     """Copy rows with ``old_mark < wm <= new_mark`` and then store the new mark.
 
-    The rows go to ``write_fn`` (e.g. an upsert) or are appended to ``sink_path``.
-    The mark is written only after the rows are committed, so a failed run is
-    simply repeated. Returns 1 when rows were copied, 0 when there was nothing new.
+    The rows go to ``write_fn`` (e.g. an upsert) or to the folder of ``sink_path`` that
+    is named after the old mark, which they overwrite. The mark is written only after
+    the rows are committed; a run that failed in between is simply repeated: it starts
+    from the same old mark and so replaces what it had written, also when more rows
+    have arrived. Returns 1 when rows were copied, 0 when there was nothing new.
     """
-    rows, new = extract_increment(source, wm_col, read_marks(spark, control_path).get(table_name))
+    old = read_marks(spark, control_path).get(table_name)
+    rows, new = extract_increment(source, wm_col, old)
     if rows is None:
         return 0
     if write_fn is not None:
         write_fn(rows)
     else:
-        rows.write.mode("append").parquet(sink_path)
+        after = "start" if old is None else re.sub("[^0-9A-Za-z]", "-", str(old))
+        rows.write.mode("overwrite").parquet(f"{sink_path}/{INCREMENT}={after}")
     set_marks(spark, control_path, {table_name: new})
     return 1
 
@@ -223,7 +227,7 @@ def set_marks(spark: SparkSession, control_path: str, marks: dict) -> None:
     """
     current = read_marks(spark, control_path)
     current.update(marks)
-    spark.createDataFrame(sorted(current.items()), WATERMARK_DDL) \
+    spark.createDataFrame(sorted(current.items()), spark.read.parquet(control_path).schema) \
          .coalesce(1).write.mode("overwrite").parquet(control_path)
 
 
@@ -235,25 +239,28 @@ def i_watermark_increment(spark, sf):
     orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     incremental_load(spark, orders, "orders", "o_orderdate", control, sink)
     incremental_load(spark, orders, "orders", "o_orderdate", control, sink)  # nothing new
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).drop(INCREMENT)
 
 
 # Key-based merges on order snapshots (G-2, G-3, G-4) ----------------------------------------------
-def _orders_between(spark, sf, lo, hi):
-    o = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return o.filter((F.col("o_orderdate") >= ts_lit(lo)) & (F.col("o_orderdate") < ts_lit(hi)))
+def _orders(spark, sf):
+    return load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+
+
+def _before(day: dt.datetime) -> Column:
+    return F.col("o_orderdate") < ts_lit(day)
 
 
 def i_upsert(spark, sf):
-    target = _orders_between(spark, sf, dt.datetime(1995, 1, 1), dt.datetime(2000, 1, 1))
-    src = (_orders_between(spark, sf, dt.datetime(1999, 7, 1), dt.datetime(2000, 7, 1))
+    target = _orders(spark, sf).filter(_before(dt.datetime(2000, 1, 1)))
+    src = (_orders(spark, sf).filter(~_before(dt.datetime(1999, 7, 1)))
            .withColumn("o_orderstatus", F.lit("U")))
     return merge_upsert(target, src, "o_orderkey")
 
 
 def i_insert_missing(spark, sf):
-    target = _orders_between(spark, sf, dt.datetime(1995, 1, 1), dt.datetime(1998, 1, 1))
-    src = _orders_between(spark, sf, dt.datetime(1997, 7, 1), dt.datetime(1998, 7, 1))
+    target = _orders(spark, sf).filter(_before(dt.datetime(1998, 1, 1)))
+    src = _orders(spark, sf).filter(~_before(dt.datetime(1997, 7, 1)))
     return merge_insert(target, src, "o_orderkey")
 
 

@@ -247,24 +247,30 @@ class MedallionRun:
         assert_schema(self.spark.table(f"{self.db}.movie_genres"), parse_ddl(self.spark, JUNCTION_DDL))
         assert_schema(self.spark.table(f"{self.db}.languages"), parse_ddl(self.spark, LANGUAGE_DDL))
         # statuses are set only after every sink has been written
-        update_status(self.spark, self.bronze, [(self.spark.table(self.silver), LOADED),
-                                                (self.spark.table(self.quarantine), QUARANTINED)])
+        update_status(self.spark, self.bronze, [(clean, LOADED), (bad, QUARANTINED)])
         return self
 
     def repair(self) -> "MedallionRun":
         bad = parse_bronze(self.spark.table(self.bronze).filter(F.col("Status") == QUARANTINED))
         fixed, _still_bad = clean_and_quarantine(repair_negative(bad))
-        cols = self.spark.table(self.silver).columns
-        fixed.select(*cols).write.insertInto(self.silver)
+        fixed = fixed.checkpoint(eager=True)
+        _append(fixed, self.silver, "p_ReleaseYear")
+        held = self.spark.table(self.quarantine)
+        left = held.join(fixed.select("record_key"), "record_key", "left_anti").select(*held.columns)
+        left.checkpoint(eager=True).write.insertInto(self.quarantine, overwrite=True)
+        # the status comes last: a repair that failed before it is simply repeated
         update_status(self.spark, self.bronze, [(fixed, LOADED)], from_status=(QUARANTINED,))
         return self
 
 
 def _append(df: DataFrame, table: str, partition_col: str | None = None) -> None:
-    """Append to a table, creating it on the first run."""
+    """Append the records that a table does not hold yet, creating it on the first run.
+    A record keeps its partition value, so only the partitions that may hold it are read."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.insertInto(table)
+        key = ["record_key"] + ([partition_col] if partition_col else [])
+        new = df.join(spark.table(table).select(*key), key, "left_anti")
+        new.select(*spark.table(table).columns).write.insertInto(table)
     elif partition_col:
         df.write.partitionBy(partition_col).saveAsTable(table)
     else:

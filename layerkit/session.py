@@ -54,8 +54,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def workspace(spark: SparkSession) -> str:
     """Shared folder for tables and checkpoints: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder is created and
-    registered as the checkpoint directory.
+    Only a session on one machine (``local`` / ``local[n]``) may have none: a private
+    folder is created there and registered as the checkpoint directory. On a cluster
+    executors would not see it, so a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -65,11 +66,11 @@ def workspace(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = sc.master if sc is not None else ""
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="layerkit-ws-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-        else:
-            spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

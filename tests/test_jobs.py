@@ -167,3 +167,55 @@ def test_second_medallion_run_adds_only_new_records(spark):
     assert genres.count() == genres.select("Genre_Id").distinct().count()
     pairs = spark.table(f"{first.db}.movie_genres")
     assert pairs.count() == pairs.distinct().count()
+
+
+def test_watermark_load_repeats_after_a_lost_mark(spark, monkeypatch):
+    root = new_run_dir(spark, "t_wm_crash")
+    control, sink = f"{root}/control", f"{root}/sink"
+    spark.createDataFrame([("t", dt.datetime(2000, 1, 1))], inc.WATERMARK_DDL).write.parquet(control)
+    src = spark.createDataFrame([(d, dt.datetime(2000, 1, d)) for d in range(1, 6)], "id INT, wm TIMESTAMP_NTZ")
+
+    def lost(*_):
+        raise OSError("lost before the mark")
+    with monkeypatch.context() as m:
+        m.setattr(inc, "set_marks", lost)
+        with pytest.raises(OSError):
+            inc.incremental_load(spark, src.filter("id < 4"), "t", "wm", control, sink)
+    assert inc.incremental_load(spark, src, "t", "wm", control, sink) == 1  # more rows have come meanwhile
+    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == [2, 3, 4, 5]
+
+
+def test_refused_window_deletes_nothing(spark):
+    table = inc.create_ods_orders(spark, new_database(spark, "t_ods"))
+    o, l = load(spark, SF_SMALL, "orders"), load(spark, SF_SMALL, "lineitem")
+    days = [r[0].date() for r in o.select("o_orderdate").distinct().orderBy("o_orderdate").limit(3).collect()]
+    inc.load_orders_for_dates(spark, table, o, l, days)
+    n = spark.table(table).count()
+    with pytest.raises(inc.KeyConflict):
+        inc.load_orders_window(spark, table, o, l, days[1], include_start=True, on_conflict="error")
+    assert spark.table(table).count() == n
+
+
+def test_medallion_repeats_after_a_lost_status_and_a_second_delivery(spark, monkeypatch):
+    run = med.MedallionRun(spark, SF_SMALL).ingest()
+
+    def lost(*_, **__):
+        raise OSError("lost before the status")
+
+    def content():
+        return [sorted(r[0] for r in spark.table(t).select("record_key").collect()) for t in (run.silver, run.quarantine)]
+    for step in (run.to_silver, run.repair):
+        with monkeypatch.context() as m:
+            m.setattr(med, "update_status", lost)
+            with pytest.raises(OSError):
+                step()
+        once = content()
+        step()
+        assert content() == once
+    silver, held = content()
+    assert len(set(silver)) == len(silver) and not set(silver) & set(held)
+    med.raw_to_bronze(spark, run.raw_path, run.bronze, dt.datetime(2024, 2, 1, 9, 0, 0))
+    run.to_silver()
+    run.repair()
+    assert content() == [silver, held]
+    assert spark.table(run.bronze).filter(F.col("Status") == "New").count() == 0

@@ -140,3 +140,13 @@ def test_pivot_sum(spark):
     out = pivot_sum(df, ["g"], "yr", [2000, 2001], "q", names=["y2000", "y2001"])
     assert out.columns == ["g", "y2000", "y2001"]
     assert rows(out, "g", "y2000", "y2001") == [("x", 3, None), ("y", None, 5)]
+
+
+def test_upsert_repeats_without_growing(spark):
+    t = spark.createDataFrame([(1, "a"), (None, "n"), (2, "b")], "k INT, v STRING")
+    s = spark.createDataFrame([(2, "x"), (2, "y"), (None, "m"), (3, None), (3, "z")], "k INT, v STRING")
+    once = merge_upsert(t, s, "k")
+    want = {(1, "a"), (2, "y"), (None, "m"), (3, "z")}
+    assert {(r.k, r.v) for r in once.collect()} == want and once.count() == 4
+    again = merge_upsert(once, s.repartition(3), "k")
+    assert {(r.k, r.v) for r in again.collect()} == want and again.count() == 4
