@@ -33,6 +33,15 @@ def stored(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, most: int = 1024) -> None:
+    """Arrow batches of at most ``most`` rows from now on in this session: whole texts
+    travel in them, so their size is what each task holds beside its own work."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > most:
+        spark.conf.set(name, str(most))
+
+
 def fold(key: str = "doc_id") -> Column:
     """crc32 of the key as text, modulo 5 (null: of the empty text)."""
     return F.crc32(F.coalesce(quoted(key).cast("string"), F.lit("")).cast("binary")) % 5

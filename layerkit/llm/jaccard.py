@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_row, mix64, quoted, stored, text_blocks
+from .common import as_row, bounded_batches, mix64, quoted, stored, text_blocks
 from .components import components
 from .packed import SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, most_frequent, top_bits
 from .words import shingle_sets
@@ -293,8 +293,17 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, long, size = across.value
         shift = bucket_shift(buckets)
+
+        def out(rows):
+            every = np.concatenate(rows)
+            every = every[np.argsort(every["cell"], kind="stable")]
+            heads_, first = np.unique(every["cell"], return_index=True)
+            cuts = np.append(first, len(every))
+            return pa.RecordBatch.from_arrays([pa.array(heads_.astype(np.int32)), pa.array([every[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary())],
+                                              names=["bucket", "rows"])
+
+        rows, held = [], 0
         for b in batches:
-            rows = []
             for id_, n, component, blob, at, parity in zip(*(c.to_pylist() for c in b.columns)):
                 h, at = np.frombuffer(blob, np.uint64), np.frombuffer(at, "<i4")
                 keep = in_map(bits, top_bits(h))
@@ -313,12 +322,12 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                     mixed = mix64(spread["hash"] + (spread["low"].astype(np.uint64) << np.uint64(32)) + spread["high"].astype(np.uint64))
                     spread["cell"] = mixed >> shift
                     rows.append(spread)
-            every = np.concatenate(rows) if rows else np.zeros(0, POSTING)
-            every = every[np.argsort(every["cell"], kind="stable")]
-            heads_, first = np.unique(every["cell"], return_index=True)
-            cuts = np.append(first, len(every))
-            yield pa.RecordBatch.from_arrays([pa.array(heads_.astype(np.int32)), pa.array([every[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary())],
-                                             names=["bucket", "rows"])
+                held += len(h)
+                if held > 1 << 17:
+                    yield out(rows)
+                    rows, held = [], 0
+        if held:
+            yield out(rows)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(blobs):
@@ -350,6 +359,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
 def join(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(id, n_shingles, component_id) for every row."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = slim(docs, text, key)
     sketch = stored(sketches(texts), spark, "jaccard-sketches")
     # equal sets are one group; its smallest id stands for it

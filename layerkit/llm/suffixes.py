@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, quoted, stored, text_blocks
+from .common import bounded_batches, mix64, quoted, stored, text_blocks
 from .jaccard import BITS, id_map
 from .packed import SCHEMA, TOP, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
 from .winnow import grams, window_minima
@@ -406,6 +406,7 @@ def removed(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> Data
     """row (the document's other columns), id, n_bytes, n_removed, n_spans, kept (bytes)."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     buckets = bucket_count(spark)
+    bounded_batches(spark)
     frame = slim(docs, text, key)
     copies = copied(frame)
     marks = spans(with_later(frame, copies).where("not later").select("id", "mark", "text"))
