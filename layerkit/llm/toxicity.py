@@ -39,7 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import labelled
-from .common import fold, quoted
+from .common import byte_hashes, fold, mix64, quoted, text_blocks
+from .words import shingle_sets
 
 # Seed words of each class, lower case.
 INSULT = ("idiot idiots moron morons stupid loser losers scum trash pathetic worthless disgusting imbecile "
@@ -56,6 +57,9 @@ WORDS = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 ENDS = re.compile(r"[.!?;:\n]")
 #: How much more often (by rate) a learned word must occur in toxic than in clean texts.
 RATIO = 8
+#: Toxic texts are copies from this Jaccard similarity of their five-word shingles on. It is
+#: taken from the smallest hashes, for texts that share many of their min-hashes.
+COPY, SKETCH, MARKS, MARKS_ALIKE = 0.8, 256, 64, 36
 SYMBOLS = ("INSULT", "THREAT", "TARGET", "NEGATION", "REPORT", "OTHER")
 MARKED = ("INSULT", "THREAT")
 
@@ -212,24 +216,52 @@ def features(text: str) -> set[str]:
     return found | {w[:n] + "*" for w in found for n in range(4, 9) if len(w) > n}
 
 
-def signature(text: str) -> int:
-    """Smallest hash of a text's words: near copies mostly share it."""
-    return min((hash_word(w) for w in set(WORDS.findall(text.lower()))), default=0)
+def sketches(texts: list[str]) -> Iterator[np.ndarray]:
+    """The SKETCH smallest hashes of each text's shingles, sorted: all of a short text's."""
+    for _, body, offsets in text_blocks([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])], "text"):
+        for shingles in shingle_sets(body, offsets):
+            yield shingles[:SKETCH].copy()
 
 
-def hash_word(word: str) -> int:
-    import zlib
-    return (zlib.crc32(word.encode()) * 0x9E3779B1) & 0xFFFFFFFF
+def resemblance(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two texts' shingles: exact if both sketches are whole."""
+    union = np.union1d(a, b)
+    if max(len(a), len(b)) == SKETCH:
+        union = union[:SKETCH]
+    return float((np.isin(union, a) & np.isin(union, b)).mean()) if len(union) else 1.0
+
+
+def apart(found: list[np.ndarray]) -> list[int]:
+    """Indices of the sketches that are no near copy of one kept before: copies have
+    MARKS_ALIKE of MARKS min-hashes in common and a Jaccard similarity of COPY."""
+    seeds_ = byte_hashes(11)[:MARKS]
+    marks = np.zeros((len(found), MARKS), np.uint16)
+    kept: list[int] = []
+    for i, shingles in enumerate(found):
+        if len(shingles):
+            marks[len(kept)] = mix64(shingles[:, None] * seeds_).min(0).astype(np.uint16)
+        else:
+            marks[len(kept)] = 0
+        common = (marks[:len(kept)] == marks[len(kept)]).sum(1)
+        if not any(resemblance(found[kept[j]], shingles) >= COPY for j in np.flatnonzero(common >= MARKS_ALIKE)):
+            kept.append(i)
+    return kept
 
 
 def learn(rows: DataFrame, candidates: int = 20_000, need: int = 4) -> Grammar:
     """Grammar from (label, text) rows. Counts are made on the executors; the driver
-    sees at most ``candidates`` features and their places in the bounded sample."""
+    sees at most ``candidates`` features, their places in the bounded sample, and the
+    sketches of its toxic texts, of which copies count once."""
+    def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            yield pd.DataFrame({"mark": pdf["mark"], "sketch": [s.tobytes() for s in sketches(pdf["text"].to_list())]})
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both = (Counter(), Counter())
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                both[label].update(features(text))
+            for label, text, mark in zip(*(c.to_pylist() for c in batch.columns)):
+                if not label or mark in distinct:
+                    both[label].update(features(text))
             for label, counts in enumerate(both):
                 n = pa.array(counts.values(), pa.int64())
                 none = pa.array(np.zeros(len(counts), np.int64))
@@ -238,11 +270,16 @@ def learn(rows: DataFrame, candidates: int = 20_000, need: int = 4) -> Grammar:
 
     totals = dict(rows.groupBy("label").count().collect())
     lexicon = seeds()
-    toxic, clean = totals.get(1, 0), totals.get(0, 0)
-    if not toxic or not clean:
+    clean = totals.get(0, 0)
+    if not totals.get(1, 0) or not clean:
         return Grammar(lexicon)
+    marked = rows.select("label", "text", F.md5(F.col("text").cast("binary")).alias("mark"))
+    ones = marked.where("label = 1").dropDuplicates(["mark"])  # exact copies count once
+    seen = sorted(ones.mapInPandas(sketched, "mark string, sketch binary").collect())
+    distinct = {seen[i]["mark"] for i in apart([np.frombuffer(bytes(r["sketch"]), np.uint64) for r in seen])}
+    toxic = len(distinct)
     odds = lambda t, c: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
-    found = (rows.select("label", "text").mapInArrow(counted, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    found = (marked.where("label = 0").unionByName(ones).mapInArrow(counted, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
              .where((F.col("toxic") >= 2) & (F.col("clean") * toxic * RATIO <= F.col("toxic") * clean))
              .orderBy(F.col("toxic").desc(), "feature").limit(candidates).collect())
     weight = {r["feature"]: odds(r["toxic"], r["clean"]) for r in found}
@@ -251,12 +288,11 @@ def learn(rows: DataFrame, candidates: int = 20_000, need: int = 4) -> Grammar:
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            yield pd.DataFrame({"mark": [signature(t) for t in pdf["text"]],
-                                "has": [sorted(index[f] for f in features(t) if f in index) for t in pdf["text"]]})
+            pdf = pdf[pdf["mark"].isin(distinct)]
+            yield pd.DataFrame({"mark": pdf["mark"], "has": [sorted(index[f] for f in features(t) if f in index) for t in pdf["text"]]})
 
-    texts = rows.where("label = 1").mapInPandas(placed, "mark long, has array<int>").collect()
-    distinct = {r["mark"]: r["has"] for r in sorted(texts, key=lambda r: (r["mark"], len(r["has"])))}  # one of near copies
-    sets = [np.array(h, np.int64) for _, h in sorted(distinct.items())]
+    texts = ones.mapInPandas(placed, "mark string, has array<int>").collect()
+    sets = [np.array(r["has"], np.int64) for r in sorted(texts, key=lambda r: r["mark"])]
     # greedy cover: every toxic text should hold `need` chosen words, most shared words first
     missing = np.full(len(sets), need)
     gain = np.bincount(np.concatenate(sets) if sets else np.zeros(0, np.int64), minlength=len(names))

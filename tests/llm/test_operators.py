@@ -105,6 +105,28 @@ def test_grammar_weighs_clauses():
     assert 0 <= g.score("") < g.score("you idiot, you moron")
 
 
+def made_words(n, seed=5):
+    rng = np.random.default_rng(seed)
+    return sorted({"".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(n)})
+
+
+def test_toxic_texts_that_share_a_word_all_teach():
+    rng = np.random.default_rng(6)
+    body = [" ".join(["es", *rng.choice(made_words(500), 30)]) for _ in range(60)]
+    copies = [b + " tail" for b in body[:20]] + body[:10]
+    assert toxicity.apart(list(toxicity.sketches(body + copies))) == list(range(60))
+    long = " ".join(rng.choice(made_words(500), 3000))
+    found = list(toxicity.sketches([long, long + " end", long[:len(long) // 2], "", " "]))
+    assert toxicity.apart(found) == [0, 2, 3] and abs(toxicity.resemblance(found[0], found[2]) - 0.5) < 0.1
+
+
+def test_toxic_words_are_learned_from_texts_with_one_common_word(spark):
+    rng = np.random.default_rng(7)
+    shared, *others = sorted(made_words(300), key=lambda w: zlib.crc32(w.encode()) * 0x9E3779B1 & 0xFFFFFFFF)
+    rows = [(y, " ".join([shared, *rng.choice(others, 20), *["zorg"] * y])) for y in [1] * 40 + [0] * 200]
+    assert any(w.startswith("zor") for w in toxicity.learn(spark.createDataFrame(rows, "label int, text string")).lexicon)
+
+
 @pytest.mark.parametrize("operator", [toxicity, quality])
 def test_classifiers_on_held_out_rows_and_odd_ones(spark, docs, operator):
     sf = "/root/testdata/sf0.1"
