@@ -106,16 +106,25 @@ class Forest:
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def grow(x: np.ndarray, y: np.ndarray, *, bins: int = BINS, trees: int = TREES, depth: int = DEPTH, rate: float = RATE,
+def quantiles(x: np.ndarray, weight: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Quantiles of weighted values, between neighbours by straight lines."""
+    order = np.argsort(x, kind="stable")
+    before = np.cumsum(weight[order]) - weight[order]
+    return np.interp(at * before[-1], before, x[order])
+
+
+def grow(x: np.ndarray, y: np.ndarray, weight: np.ndarray, *, bins: int = BINS, trees: int = TREES, depth: int = DEPTH, rate: float = RATE,
          leaf: float = LEAF, ridge: float = 1.0) -> Forest:
-    """Boosted trees for labels 0 and 1 by second-order gains on histograms."""
+    """Boosted trees for labels 0 and 1 by second-order gains on histograms of weighted
+    rows. The weights are scaled to a mean of 1: ``leaf`` and ``ridge`` are in rows seen."""
     n = len(y)
-    mean = float(y.mean()) if n else 0.5
+    weight = weight / weight.mean() if n else weight
+    mean = float(np.average(y, weights=weight)) if n else 0.5
     none = np.zeros(0, np.int64)
     if not n or not 0 < mean < 1:
         edge = float(np.clip(mean, 0.02, 0.98))
         return Forest(np.log(edge / (1 - edge)), none, none, none.astype(float), none, none, none.astype(float), 0)
-    cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
+    cuts = [np.unique(quantiles(x[:, f], weight, np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     coded = np.stack([np.searchsorted(c, x[:, f], "left") for f, c in enumerate(cuts)], 1)  # bin b: x <= cuts[b]
     many = x.shape[1]
     cell = coded + np.arange(many) * bins
@@ -132,7 +141,7 @@ def grow(x: np.ndarray, y: np.ndarray, *, bins: int = BINS, trees: int = TREES,
 
     for _ in range(trees):
         p = 1 / (1 + np.exp(-raw))
-        g, h = y - p, p * (1 - p)
+        g, h = weight * (y - p), weight * p * (1 - p)
         root = node()
         roots.append(root)
         at, level = np.zeros(n, np.int64), [root]
@@ -180,16 +189,17 @@ def grow(x: np.ndarray, y: np.ndarray, *, bins: int = BINS, trees: int = TREES,
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, body, offsets in text_blocks(batches, "text"):
         rows = statistics(body, offsets)
-        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(list(rows), pa.list_(pa.float64()))], names=["key", "label", "x"])
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(3), pa.array(list(rows), pa.list_(pa.float64()))],
+                                         names=["key", "label", "weight", "x"])
 
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Forest:
     rows = labelled.sample(docs, labels, "quality", tag="quality-sample")
     kind = rows.schema["key"].dataType.simpleString()
-    seen = rows.select("key", "label", "text").mapInArrow(_measured, f"key {kind}, label int, x array<double>").toPandas()  # the bounded sample
+    seen = rows.select("key", "label", "text", "weight").mapInArrow(_measured, f"key {kind}, label int, weight double, x array<double>").toPandas()  # the bounded sample
     seen = seen.sort_values(["key", "label"], kind="stable")
     x = np.array(seen["x"].to_list(), float).reshape(-1, len(STATISTICS))
-    return grow(x, seen["label"].to_numpy(float))
+    return grow(x, seen["label"].to_numpy(float), seen["weight"].to_numpy(float))
 
 
 def score(docs: DataFrame, forest: Forest, *, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -249,7 +249,7 @@ def apart(found: list[np.ndarray]) -> list[int]:
 
 
 def learn(rows: DataFrame, candidates: int = 20_000, need: int = 4) -> Grammar:
-    """Grammar from (label, text) rows. Counts are made on the executors; the driver
+    """Grammar from (label, text, weight) rows. Counts are made on the executors; the driver
     sees at most ``candidates`` features, their places in the bounded sample, and the
     sketches of its toxic texts, of which copies count once."""
     def sketched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -324,20 +324,22 @@ def learn(rows: DataFrame, candidates: int = 20_000, need: int = 4) -> Grammar:
 
     def measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            yield pd.DataFrame({"label": pdf["label"], "x": [list(grammar.inputs(t)) for t in pdf["text"]]})
+            yield pd.DataFrame({"label": pdf["label"], "weight": pdf["weight"], "x": [list(grammar.inputs(t)) for t in pdf["text"]]})
 
-    seen = rows.mapInPandas(measured, "label int, x array<double>").collect()  # three numbers for each row of the sample
-    grammar.curve = curve(np.array([r["label"] for r in seen], float), np.array([[1.0, *r["x"]] for r in seen]))
+    seen = rows.mapInPandas(measured, "label int, weight double, x array<double>").collect()  # four numbers for each row of the sample
+    grammar.curve = curve(np.array([r["label"] for r in seen], float), np.array([[1.0, *r["x"]] for r in seen]),
+                          np.array([r["weight"] for r in seen]))
     return grammar
 
 
-def curve(y: np.ndarray, design: np.ndarray, ridge: float = 1e-3) -> tuple[float, ...]:
-    """Intercept and slopes of a logistic curve, by damped Newton steps."""
+def curve(y: np.ndarray, design: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> tuple[float, ...]:
+    """Intercept and slopes of a logistic curve over weighted rows, by damped Newton steps."""
+    share = weight / weight.sum()
     w = np.zeros(design.shape[1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        slope = design.T @ (y - p) / len(y) - ridge * w
-        bend = (design * (p * (1 - p))[:, None]).T @ design / len(y) + ridge * np.eye(len(w))
+        slope = design.T @ (share * (y - p)) - ridge * w
+        bend = (design * (share * p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(w))
         step = np.linalg.solve(bend, slope)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from layerkit.llm import chat, graph, jaccard, mixing, packing, quality, queries, suffixes, toxicity, warc, winnow
+from layerkit.llm import chat, graph, jaccard, labelled, mixing, packing, quality, queries, suffixes, toxicity, warc, winnow
 from layerkit.llm.common import stored
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
@@ -124,7 +124,24 @@ def test_toxic_words_are_learned_from_texts_with_one_common_word(spark):
     rng = np.random.default_rng(7)
     shared, *others = sorted(made_words(300), key=lambda w: zlib.crc32(w.encode()) * 0x9E3779B1 & 0xFFFFFFFF)
     rows = [(y, " ".join([shared, *rng.choice(others, 20), *["zorg"] * y])) for y in [1] * 40 + [0] * 200]
-    assert any(w.startswith("zor") for w in toxicity.learn(spark.createDataFrame(rows, "label int, text string")).lexicon)
+    assert any(w.startswith("zor") for w in toxicity.learn(spark.createDataFrame(rows, "label int, text string").withColumn("weight", F.lit(1.0))).lexicon)
+
+
+@pytest.mark.parametrize("operator", [toxicity, quality])
+def test_a_small_sample_gives_the_scores_of_the_whole_fit(spark, operator, monkeypatch):
+    monkeypatch.setattr(toxicity, "features", lambda text: set())  # seeds alone: the sample moves the curve only
+    rng = np.random.default_rng(8)
+    name, rare, mark = ("toxic", 1, "you idiot") if operator is toxicity else ("quality", 0, "## $$ ## $$")
+    rows, vocabulary = [], made_words(200)
+    for i in range(6000):  # the mark is a hint only: borderline texts of both labels
+        y = int(rng.random() < 0.1)
+        rows.append((i, " ".join(rng.choice(vocabulary, 25)) + (" " + mark if rng.random() < (0.5 if y else 0.1) else ""), rare if y else 1 - rare))
+    table = stored(spark.createDataFrame(rows, f"doc_id long, text string, {name} int"), spark, "test-weights")
+    mean = []
+    for most in (6000, 400):
+        monkeypatch.setitem(labelled.sample.__kwdefaults__, "most", most)
+        mean.append({r[0]: r[1] for r in operator.query(table, table).join(table, "doc_id").groupBy(F.contains("text", F.lit(mark))).agg(F.avg("score")).collect()})
+    assert all(abs(mean[0][k] - mean[1][k]) < 0.12 for k in (False, True)), mean
 
 
 @pytest.mark.parametrize("operator", [toxicity, quality])
