@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -57,6 +58,9 @@ WORDS = re.compile(r"[^\W_]+(?:['’][^\W_]+)?")
 ENDS = re.compile(r"[.!?;:\n]")
 #: How much more often (by rate) a learned word must occur in toxic than in clean texts.
 RATIO = 8
+#: In how many distinct toxic texts a learned word must occur, whatever the size of the sample,
+#: and how likely a word that is as frequent in both kinds may at most split so by chance.
+TEXTS, CHANCE = 4, 1e-5
 #: Toxic texts are copies from this Jaccard similarity of their five-word shingles on. It is
 #: taken from the smallest hashes, for texts that share many of their min-hashes.
 COPY, SKETCH, MARKS, MARKS_ALIKE = 0.8, 256, 64, 36
@@ -279,8 +283,11 @@ def learn(rows: DataFrame, candidates: int = 20_000, need: int = 4) -> Grammar:
     distinct = {seen[i]["mark"] for i in apart([np.frombuffer(bytes(r["sketch"]), np.uint64) for r in seen])}
     toxic = len(distinct)
     odds = lambda t, c: math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
+    n, t, c = F.col("toxic") + F.col("clean"), F.col("toxic"), F.col("clean")
+    # Chernoff's bound of the binomial tail, as an exponent
+    surprise = t * F.log(t / n * ((toxic + clean) / toxic)) + F.when(c > 0, c * F.log(c / n * ((toxic + clean) / clean))).otherwise(0.0)
     found = (marked.where("label = 0").unionByName(ones).mapInArrow(counted, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-             .where((F.col("toxic") >= 2) & (F.col("clean") * toxic * RATIO <= F.col("toxic") * clean))
+             .where((F.col("toxic") >= TEXTS) & (F.col("clean") * toxic * RATIO <= F.col("toxic") * clean) & (surprise >= -math.log(CHANCE)))
              .orderBy(F.col("toxic").desc(), "feature").limit(candidates).collect())
     weight = {r["feature"]: odds(r["toxic"], r["clean"]) for r in found}
     names = sorted(weight)
@@ -297,14 +304,13 @@ def learn(rows: DataFrame, candidates: int = 20_000, need: int = 4) -> Grammar:
     missing = np.full(len(sets), need)
     gain = np.bincount(np.concatenate(sets) if sets else np.zeros(0, np.int64), minlength=len(names))
     covers = gain.copy()
-    least = max(2, round(0.03 * len(sets)))
     length = np.array([len(f) for f in names])
     shut = np.zeros(len(names), bool)
     holders: list[list[int]] = [[] for _ in names]
     for i, held in enumerate(sets):
         for f in held:
             holders[f].append(i)
-    while len(names) and gain.max() >= least:
+    while len(names) and gain.max() > 0:
         close = np.flatnonzero(gain >= 0.95 * gain.max())
         best = int(close[np.argmax(length[close])])  # of about equals the longest
         word = names[best].rstrip("*")
@@ -315,8 +321,10 @@ def learn(rows: DataFrame, candidates: int = 20_000, need: int = 4) -> Grammar:
                 if not missing[i]:
                     np.subtract.at(gain, sets[i][~shut[sets[i]]], 1)
         # longer words with the chosen beginning, and beginnings that say no more than it
-        for j, f in enumerate(names):
-            if not shut[j] and (names[best].endswith("*") and f.startswith(word) or f.endswith("*") and word.startswith(f[:-1]) and covers[j] <= 1.2 * covers[best]):
+        if names[best].endswith("*"):
+            shut[bisect_left(names, word):bisect_left(names, word + chr(0x10FFFF))] = True
+        for j in (index.get(word[:n] + "*") for n in range(4, 9)):
+            if j is not None and covers[j] <= 1.2 * covers[best]:
                 shut[j] = True
         shut[best] = True
         gain[shut] = 0

@@ -127,6 +127,15 @@ def test_toxic_words_are_learned_from_texts_with_one_common_word(spark):
     assert any(w.startswith("zor") for w in toxicity.learn(spark.createDataFrame(rows, "label int, text string").withColumn("weight", F.lit(1.0))).lexicon)
 
 
+def test_a_word_of_a_small_share_of_the_toxic_texts_is_learned(spark):
+    rng = np.random.default_rng(9)
+    words = made_words(900)
+    rows = [(y, " ".join([*rng.choice(words, 20), *["zorg" if i < 20 else "grob"] * y]), 1.0) for y in (0, 1) for i in range(1000)]
+    learned = set(toxicity.learn(spark.createDataFrame(rows, "label int, text string, weight double")).lexicon) - set(toxicity.seeds())
+    assert any(w.startswith("zor") for w in learned) and any(w.startswith("gro") for w in learned)  # zorg: 2%
+    assert len(learned) <= 6  # words that chance puts into toxic texts are not
+
+
 @pytest.mark.parametrize("operator", [toxicity, quality])
 def test_a_small_sample_gives_the_scores_of_the_whole_fit(spark, operator, monkeypatch):
     monkeypatch.setattr(toxicity, "features", lambda text: set())  # seeds alone: the sample moves the curve only
