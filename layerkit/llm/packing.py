@@ -42,24 +42,28 @@ class Encoder:
 
     The file is read by ``tokenizers``; the merges run in ``tiktoken``, which gives the
     same ids several times faster: a token's id is its merge rank in such vocabularies.
-    The strings of special tokens in a text are ordinary text.
+    ``ids`` gives what the file's tokenizer gives by default: the string of an added token
+    is that token. A call takes such strings as ordinary text.
     """
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
-        special = {t["content"] for t in json.loads(tokenizer.to_str())["added_tokens"]}
+        special = {t["content"]: t["id"] for t in json.loads(tokenizer.to_str())["added_tokens"]}
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         # fixed values: printable bytes stand for themselves, the others for 256, 257, ...
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         letters = {chr(x): x for x in plain} | {chr(256 + i): x for i, x in enumerate(sorted({*range(256)} - {*plain}))}
         ranks = {bytes(letters[c] for c in token): rank for token, rank in vocabulary.items() if token not in special}
-        self.encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def __call__(self, text: str) -> np.ndarray:
         return np.array(self.encoding.encode_ordinary(text), "<u4")
 
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.encoding.encode(text, allowed_special="all"), "<u4")
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -78,7 +82,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str = "d
         for part, _, _ in text_blocks(batches, "text", 1 << 20):
             row, piece, start, size, crc, body = [], [], [], [], [], []
             for i, words in enumerate(part.column(1).to_pylist()):
-                ids = np.append(enc(words or ""), np.array(end_id, "<u4"))
+                ids = np.append(enc.ids(words or ""), np.array(end_id, "<u4"))
                 cuts = range((len(ids) - 1) % length + 1, len(ids) + 1, length)
                 a = 0
                 for k, b in enumerate(cuts):

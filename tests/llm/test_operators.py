@@ -217,6 +217,18 @@ def test_packing_is_gapless_and_tight(docs):
     assert first[doc, 0]["ids_crc32"] == zlib.crc32(ids.tobytes())
 
 
+def test_packing_gives_the_ids_of_the_tokenizer_by_default(spark):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    made = [t for t in texts() if t] + ["<|endoftext|>", "a <|endoftext|> b", "<|endoftext|><|endoftext|>\n x", "<|endoftext| >", " <|endoftext|>\n\n c"]
+    table = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    got = {r["key"]: b"" for r in table.select(F.col("doc_id").alias("key")).collect()}
+    for r in packing.pieces(table, queries.tokenizer_path(), with_ids=True).orderBy("key", "piece").collect():
+        got[r["key"]] += bytes(r["ids"])
+    for i, t in enumerate(made):
+        assert np.frombuffer(got[i], "<u4").tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, packing.END_ID], t
+
+
 def brute_components(pairs):
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = {}
