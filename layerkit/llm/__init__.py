@@ -10,5 +10,6 @@ jaccard     7  grouped prefix join on word shingles
 quality     8  histogram gradient-boosted trees over document statistics
 graph       9  robust-pruned search graphs, one for each shard
 warc        10 chunked WARC record table
+bpe         12 BPE encoding and decoding with a merge queue
 queries        the registered queries and their SQL
 """

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load
-from . import chat, graph, jaccard, mixing, packing, quality, suffixes, toxicity, warc, winnow
+from . import bpe, chat, graph, jaccard, mixing, packing, quality, suffixes, toxicity, warc, winnow
 from .common import stored
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(stored(warc.write(load(spark, sf_dir, "pages")), spark, "warc"))
 
 
-NAMES = ("op1_mixing", "op2_suffixes", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op7_jaccard", "op8_quality", "op9_graph", "op10_warc")
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.query(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+NAMES = ("op1_mixing", "op2_suffixes", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op7_jaccard", "op8_quality", "op9_graph", "op10_warc", "op12_bpe")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
