@@ -10,6 +10,8 @@ jaccard     7  grouped prefix join on word shingles
 quality     8  histogram gradient-boosted trees over document statistics
 graph       9  robust-pruned search graphs, one for each shard
 warc        10 chunked WARC record table
+lexical     11 ranked lexical search over K2-treaps
 bpe         12 BPE encoding and decoding with a merge queue
+variants    13 spelling variants found with pivotal grams
 queries        the registered queries and their SQL
 """

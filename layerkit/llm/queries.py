@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import load
-from . import bpe, chat, graph, jaccard, mixing, packing, quality, suffixes, toxicity, warc, winnow
+from . import bpe, chat, graph, jaccard, lexical, mixing, packing, quality, suffixes, toxicity, variants, warc, winnow
 from .common import stored
 
 
@@ -56,11 +56,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(stored(warc.write(load(spark, sf_dir, "pages")), spark, "warc"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.query(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.query(load(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-NAMES = ("op1_mixing", "op2_suffixes", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op7_jaccard", "op8_quality", "op9_graph", "op10_warc", "op12_bpe")
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.query(load(spark, sf_dir, "documents"))
+
+
+NAMES = ("op1_mixing", "op2_suffixes", "op3_chat", "op4_toxicity", "op5_winnow", "op6_packing", "op7_jaccard", "op8_quality", "op9_graph", "op10_warc", "op11_lexical", "op12_bpe", "op13_variants")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -68,4 +76,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": mixing.SQL, "op3_chat": chat.SQL, "op10_warc": warc.SQL}
+    return {"op1_mixing": mixing.SQL, "op3_chat": chat.SQL, "op10_warc": warc.SQL, "op11_lexical": lexical.SQL,
+            "op13_variants": variants.SQL}
