@@ -1,26 +1,28 @@
 """BPE encoding and decoding with the rules of a public tokenizer file.
 
-``encode`` turns every text into token ids. A text is cut at the strings of added tokens,
-normalised (NFC, white space to blanks, lower case), split into words, and each word's
-UTF-8 bytes become the symbols of a doubly linked list, the last one carrying the word-end
-mark. A priority queue holds the merge ranks of neighbouring symbols; the smallest rank,
+``encode`` turns every text into token ids. A text is split at white space; a run between
+is cut at the strings of added tokens, normalised (NFC, lower case) and split into words,
+and each word's UTF-8 bytes become the symbols of a doubly linked list, the last one
+carrying the word-end mark. A priority queue holds the merge ranks of neighbouring symbols; the smallest rank,
 leftmost first, is merged and its two new pairs are queued. An entry whose symbols have
 changed since it was queued is stale and skipped. ``decode`` takes the vocabulary string of
 every id and concatenates them with a blank in between, as a file without a decoder asks.
 
 Ids are those of the ``tokenizers`` library for files of this kind (byte-level BPE with a
-word-end mark); any other kind raises ``ValueError``. Texts that hold code points from
+word-end mark); any other kind raises ``ValueError``. Runs that hold code points from
 U+0530 on, whose classes differ between Unicode versions, are normalised and split by the
-library's own components; the merges are those above for every text.
+library's own components; the merges are those above for every word. The different runs of
+a slice of texts are worked on once, and their ids put in place for all texts together.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; rows that
-repeat are encoded each; a very long text is worked through in stretches that end at a
-blank, so beside its ids only a stretch is held (a longer unbroken run is one stretch); an
+repeat are encoded each; a very long text is worked through in stretches that end at
+white space, so beside its ids only a stretch is held (a longer run is one stretch); an
 empty table gives an empty result; rows keep all their columns in ``row``, so the added
 columns cannot clash with them.
 """
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -33,19 +35,23 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import as_row, quoted, text_blocks
+from .common import SPACES, as_row, quoted
+from .runs import runs, stretches
 
 # What the file's steps call white space, and what they take as words.
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 STEPS = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
 
-STRETCH = 1 << 18     # characters of a text worked on at a time
-REMEMBERED = 1 << 19  # distinct words whose ids a process keeps; a bound on memory, not on results
+#: Bytes that are no ASCII white space: nothing composes, merges or matches across the others.
+RUN = np.array([b not in SPACES for b in range(256)])
+STRETCH = 1 << 21     # bytes of text worked on at a time
+JOINED = 1 << 18      # ids made into strings at a time
+REMEMBERED = 1 << 18  # distinct runs and words whose ids a process keeps; a bound on memory, not on results
 
 
 def byte_letters() -> list[str]:
@@ -68,7 +74,7 @@ class Codec:
         spec = json.loads(library.to_str())
         model, added = spec["model"], spec["added_tokens"]
         kinds = {k: [s["type"] for s in spec[k].get("normalizers", spec[k].get("pretokenizers", [spec[k]]))] for k in STEPS if spec[k]}
-        plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
+        plain = not any(re.search(r"\s", t["content"]) or t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
         if model["type"] != "BPE" or kinds != STEPS or spec["decoder"] or not model["end_of_word_suffix"] or not plain \
                 or spec["pre_tokenizer"]["pretokenizers"][0]["pattern"] != {"Regex": WORDS}:
             raise ValueError(f"not a byte-level BPE tokenizer with a word-end mark: {path}")
@@ -88,8 +94,7 @@ class Codec:
         if sorted(every.values()) != list(range(len(every))):
             raise ValueError(f"token ids are not 0 to {len(every) - 1}")
         self.words = regex.compile(WORDS.replace(r"\s", BLANK))
-        # 0x1C to 0x1F separate words for ``str.split``, but not in the file
-        self.newer = re.compile("[\x1c-\x1f\u0530-\U0010ffff]")
+        self.newer = re.compile("[\u0530-\U0010ffff]")
         self.normalizer = library.normalizer
         from tokenizers import Regex, pre_tokenizers
         self.splitter = pre_tokenizers.Split(Regex(WORDS), "removed", invert=True)
@@ -122,61 +127,48 @@ class Codec:
 
     def _word(self, word: str) -> tuple[int, ...]:
         ids = self.known.get(word)
-        if ids is None:
-            ids = tuple(self.merged(word))
-            if len(word) <= 64:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[word] = ids
+        return self._remember(word, tuple(self.merged(word))) if ids is None else ids
+
+    def _remember(self, word: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        if len(word) <= 64:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[word] = ids
         return ids
 
-    def _stretch(self, text: str, out: array) -> None:
+    def _words(self, text: str) -> list[str]:
         if self.newer.search(text):
-            for word, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text)):
-                out.extend(self._word(word))
-            return
+            return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # a last sigma is not special in the file
-        known = self.known
-        for run in text.lower().split():
-            ids = known.get(run)  # most runs between blanks are words
-            if ids is not None:
-                out.extend(ids)
-            else:
-                for word in self.words.findall(run):
-                    out.extend(self._word(word))
-
-    def _plain(self, text: str, out: array) -> None:
-        a, n = 0, len(text)
-        while a < n:
-            b = min(a + STRETCH, n)
-            if b < n:  # cut after a blank: nothing composes, merges or matches across one
-                near = max(text.rfind(" ", a, b), text.rfind("\n", a, b)) + 1
-                if near <= a:
-                    ahead = [x for x in (text.find(" ", b), text.find("\n", b)) if x >= 0]
-                    near = min(ahead) + 1 if ahead else n
-                b = near
-            self._stretch(text[a:b], out)
-            a = b
-
-    def encode(self, text: str) -> array:
-        out = array("i")
-        for part in self.cut.split(text) if self.cut else [text]:
-            if part in self.added:
-                out.append(self.added[part])
-            else:
-                self._plain(part, out)
-        return out
-
-    def decode(self, ids: pa.Array, offsets: np.ndarray) -> Iterator[str]:
-        """The text of each list of ids; the lists lie at ``offsets`` of ``ids``."""
-        for a, b in zip(offsets[:-1], offsets[1:]):
-            parts = []
-            for i in range(a, b, STRETCH):
-                some = self.strings.take(ids.slice(i, min(STRETCH, b - i)))
-                whole = pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)
-                parts.append(pc.binary_join(whole, " ")[0].as_py())
-            yield " ".join(parts)
+        return self.words.findall(text.lower())
+
+    def run(self, text: str) -> tuple[int, ...]:
+        """Ids of a text without ASCII white space."""
+        whole = text.isascii() and text.isalpha() and text.islower()  # then it is a word of its own
+        ids = self.known.get(text) if whole else None
+        if ids is None:
+            ids = self._word(text) if whole else tuple(
+                i for part in (self.cut.split(text) if self.cut else [text])
+                for i in ([self.added[part]] if part in self.added else [i for word in self._words(part) for i in self._word(word)]))
+        return ids
+
+    def encode(self, body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each text's ids begin and end) of texts that lie at ``offsets`` of ``body``."""
+        values, _, heads = runs(body, offsets, RUN, lower=False)
+        if not len(values):
+            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+        coded = values.dictionary_encode()
+        flat, size = array("i"), np.empty(len(coded.dictionary), np.int64)
+        for k, text in enumerate(coded.dictionary.cast(pa.large_string()).to_pylist()):
+            ids = self.run(text)
+            flat.extend(ids)
+            size[k] = len(ids)
+        code = coded.indices.to_numpy()
+        ends = np.append(0, np.cumsum(size[code]))
+        begin = np.append(0, np.cumsum(size)[:-1])
+        place = np.repeat(begin[code] - ends[:-1], size[code]) + np.arange(ends[-1])
+        return np.frombuffer(flat, np.int32)[place], ends[heads]
 
 
 @lru_cache(maxsize=2)
@@ -191,49 +183,73 @@ def encode(docs: DataFrame, tokenizer: str, *, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = codec(tokenizer)
-        for part, _, _ in text_blocks(batches, "text", 1 << 20):
-            ids, offsets = array("i"), [0]
-            for one in part.column(1):
-                ids.extend(made.encode(one.as_py() or ""))
-                offsets.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(ids, np.int32) if ids else [], pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["row", "ids"])
+
+        def out(group: list) -> pa.RecordBatch:
+            part, ids = group[0][0], np.concatenate([g[1] for g in group])
+            offsets = group[0][2] if len(group) == 1 else np.array([0, len(ids)])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            return pa.RecordBatch.from_arrays([part.column(0), lists], names=["row", "ids"])
+
+        held: list = []
+        for part, body, offsets in stretches(batches, "text", RUN, STRETCH):
+            if held and held[0][0] is not part:  # a longer text comes in several stretches
+                yield out(held)
+                held = []
+            held.append((part, *made.encode(body, offsets)))
+        if held:
+            yield out(held)
 
     return rows.mapInArrow(run, schema)
 
 
-def _each_list(lists: pa.Array, work: Callable[[pa.Array, np.ndarray], Iterator[str]]) -> pa.Array:
-    lists = lists.cast(pa.large_list(pa.int32())) if not pa.types.is_large_list(lists.type) else lists
-    offsets = lists.offsets.to_numpy()
-    return pa.array(work(lists.values, offsets), pa.string())
+def joined(lists: pa.Array, strings: Callable[[pa.Array], pa.Array]) -> Iterator[Iterator[str]]:
+    """For each list of ids (a null is empty) its strings with a blank in between, in
+    pieces to be joined by a blank; about ``JOINED`` ids are worked on at a time."""
+    lists = lists.cast(pa.large_list(pa.int32()))
+    ids, ends = lists.flatten(), np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)))
+
+    def text(offsets: np.ndarray) -> pa.Array:
+        some = strings(ids.slice(offsets[0], offsets[-1] - offsets[0]))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), some), " ")
+
+    a = 0
+    while a < len(lists):
+        b = int(np.searchsorted(ends, ends[a] + JOINED, "right")) - 1
+        if b > a:
+            yield from ([one] for one in text(ends[a:b + 1]).to_pylist())
+        else:
+            b = a + 1
+            yield (text(np.array([i, min(i + JOINED, ends[b])]))[0].as_py() for i in range(ends[a], ends[b], JOINED))
+        a = b
 
 
 def decode(encoded: DataFrame, tokenizer: str, *, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``encoded`` with one more column: the text of its token ids (null: empty)."""
     @arrow_udf("string")
-    def strings(lists: pa.Array) -> pa.Array:
-        return _each_list(lists, codec(tokenizer).decode)
+    def text(lists: pa.Array) -> pa.Array:
+        return pa.array((" ".join(pieces) for pieces in joined(lists, codec(tokenizer).strings.take)), pa.string())
+
+    return encoded.withColumn(to, text(quoted(ids)))
 
-    return encoded.withColumn(to, strings(F.coalesce(quoted(ids), F.array().cast("array<int>"))))
 
+def ids_digest(ids: Column) -> Column:
+    """SHA-256 (lower-case hex) of decimal ids joined by one blank."""
+    @arrow_udf("string")
+    def digest(lists: pa.Array) -> pa.Array:
+        out = []
+        for pieces in joined(lists, lambda some: some.cast(pa.string())):
+            made = hashlib.sha256()
+            for i, piece in enumerate(pieces):
+                made.update((" " + piece if i else piece).encode())
+            out.append(made.hexdigest())
+        return pa.array(out, pa.string())
 
-def _ids_digest(values: pa.Array, offsets: np.ndarray) -> Iterator[str]:
-    """SHA-256 of each list's decimal numbers, joined by one blank."""
-    import hashlib
-    for a, b in zip(offsets[:-1], offsets[1:]):
-        digest = hashlib.sha256()
-        for i in range(a, b, STRETCH):
-            digest.update((" " if i > a else "").encode() + " ".join(map(str, values.slice(i, min(STRETCH, b - i)).to_pylist())).encode())
-        yield digest.hexdigest()
+    return digest(ids)
 
 
 def query(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Key, number of tokens, and the digests of the ids and of the decoded text."""
-    @arrow_udf("string")
-    def digest(lists: pa.Array) -> pa.Array:
-        return _each_list(lists, _ids_digest)
-
     only = docs.select(quoted(key).alias("doc_id"), quoted(text).alias("text"))
     out = decode(encode(only, tokenizer, text="text").select(F.col("row.doc_id").alias("doc_id"), "ids"), tokenizer)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest("ids").alias("ids_sha256"),
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_digest(F.col("ids")).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -30,9 +30,9 @@ def stretches(batches: Iterator[pa.RecordBatch], column: str, inside: np.ndarray
             a = b
 
 
-def runs(body: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(the runs as binary values with A-Z lower-cased, their first bytes, index of each
-    text's first run with one more at the end). No run goes on into the next text."""
+def runs(body: np.ndarray, offsets: np.ndarray, inside: np.ndarray, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(the runs as binary values, with A-Z lower-cased if ``lower``, their first bytes, index
+    of each text's first run with one more at the end). No run goes on into the next text."""
     flag = inside[body]
     n = len(flag)
     if n == 0:
@@ -49,6 +49,6 @@ def runs(body: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[pa.
     size = np.flatnonzero(last) + 1 - starts
     bounds = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(size, out=bounds[1:])
-    kept = np.ascontiguousarray(_LOWER[body[flag]])
+    kept = _LOWER[body[flag]] if lower else body[flag]
     values = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(kept)])
     return values, starts, np.searchsorted(starts, offsets)

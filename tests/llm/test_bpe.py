@@ -2,6 +2,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from layerkit.llm import bpe, queries
@@ -22,21 +24,34 @@ def made(n, most, seed):
     return ["".join(rng.choices(PARTS, k=rng.randint(0, most))) for _ in range(n)]
 
 
-def test_ids_are_those_of_the_library_in_any_stretches(library, monkeypatch):
+def ids_of(codec, texts):
+    raw = [t.encode() for t in texts]
+    ids, ends = codec.encode(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])))
+    return [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
+
+
+def test_ids_are_those_of_the_library(library, monkeypatch):
     codec = bpe.Codec(PATH)
-    for text in made(2000, 40, 1):
-        assert list(codec.encode(text)) == library.encode(text, add_special_tokens=False).ids, repr(text)
-    monkeypatch.setattr(bpe, "STRETCH", 7)
+    texts = made(2000, 40, 1)
+    assert ids_of(codec, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
     monkeypatch.setattr(bpe, "REMEMBERED", 5)
-    for text in made(1000, 60, 2):
-        assert list(codec.encode(text)) == library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert ids_of(codec, texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_every_code_point_is_read_as_the_library_reads_it(library):
     codec = bpe.Codec(PATH)
     texts = [f"A{chr(x)}'S b{chr(x)}{chr(x)}.re1" for x in range(0x20000) if not 0xD800 <= x < 0xE000]
-    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
-        assert list(codec.encode(text)) == want.ids, repr(text)
+    for text, got, want in zip(texts, ids_of(codec, texts), library.encode_batch(texts, add_special_tokens=False)):
+        assert got == want.ids, repr(text)
+
+
+def test_pieces_of_long_lists(monkeypatch):
+    lists = pa.array([[1, 2, 3, 4, 5, 6, 7], None, [], [8], [9, 10], [11, 12, 13, 14]], pa.list_(pa.int32()))
+    want = [" ".join(map(str, x or [])) for x in lists.to_pylist()]
+    for most in (1, 2, 3, 100):
+        monkeypatch.setattr(bpe, "JOINED", most)
+        assert [" ".join(p) for p in bpe.joined(lists, lambda a: a.cast(pa.string()))] == want
+        assert [" ".join(p) for p in bpe.joined(lists.slice(1, 4), lambda a: a.cast(pa.string()))] == want[1:5]
 
 
 def test_another_kind_of_file_is_refused():
@@ -45,7 +60,7 @@ def test_another_kind_of_file_is_refused():
 
 
 def test_query_on_odd_rows(spark, library):
-    texts = made(60, 50, 3) + [None, "", "   ", "x" * 3000, "<|endoftext|>", "word, " * 90_000, " " * 700_000 + "end"]
+    texts = made(60, 50, 3) + [None, "", "   ", "x" * 3000, "<|endoftext|>", "word, " * 500_000, " " * 700_000 + "end"]
     rows = [(i, t, "row", "ids") for i, t in enumerate(texts)] + [(3, texts[3], None, None), (None, "A null id", None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, row string, ids string").repartition(4)
 
