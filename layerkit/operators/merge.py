@@ -2,19 +2,19 @@
 
 The ``merge_*`` functions are pure DataFrame -> DataFrame: they describe the new
 content of the target. ``apply_merge`` and friends write that content back to a
-partitioned catalog table touching only the affected partitions (dynamic
-partition overwrite), with the new rows checkpointed first so that the write no
-longer depends on the files it replaces. Single writer per table is assumed.
+partitioned catalog table touching only the affected partitions: to a fresh folder,
+then one catalog update for each partition (``versions.replace_partitions``), so no
+file is overwritten and no session setting changes. Single writer per table is assumed.
 """
 from __future__ import annotations
 
-import threading
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OVERWRITE_LOCK = threading.Lock()
+from .versions import NULL_PARTITION, replace_partitions
 
 
 def _key_list(key) -> list[str]:
@@ -117,25 +117,14 @@ def drop_partitions_where(spark: SparkSession, table: str, partition_col: str,
     return len(parts)
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite).
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
-    ``insertInto`` does not read the per-writer ``partitionOverwriteMode`` option,
-    so the session setting is switched to dynamic for this insert and restored
-    afterwards; in static mode the insert would replace the whole table.
-    """
-    spark = df.sparkSession
-    cols = spark.table(table).columns
-    key = "spark.sql.sources.partitionOverwriteMode"
-    # the setting is session-wide: concurrent writers (thread pools) take turns so
-    # none can restore 'static' while another overwrite is running
-    with _OVERWRITE_LOCK:
-        before = spark.conf.get(key)
-        spark.conf.set(key, "dynamic")
-        try:
-            df.select(*cols).write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(key, before)
+
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace exactly the partitions present in ``df``; concurrent writers of other
+    tables do not touch each other."""
+    replace_partitions(df, table, partition_columns(df.sparkSession, table))
 
 
 def append_rows(df: DataFrame, table: str) -> None:
@@ -148,27 +137,19 @@ def apply_merge(spark: SparkSession, table: str, partition_cols, new_content: Da
     """Write the merged content of the touched partitions back to ``table``.
 
     ``new_content`` is the full new content of the partitions that may change
-    (typically built with ``merge_*`` from a partition-filtered read); it is
-    checkpointed to the shared checkpoint folder so the overwrite cannot re-read
-    files it is replacing, then written with dynamic partition overwrite.
+    (typically built with ``merge_*`` from a partition-filtered read). It is written
+    beside the files it may be read from; partitions switch to it afterwards.
     ``affected`` (a DataFrame holding the partition columns) names the partitions
-    that were read for the merge; those left without rows are dropped, since a
-    dynamic overwrite only replaces partitions that still receive rows.
+    that were read for the merge; those left without rows are dropped last: a failure
+    in between can leave a row in both its old and new partition (the next merge
+    resolves it), never in neither.
     """
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    staged = new_content.checkpoint(eager=True)
     emptied = []
     if affected is not None:
-        # decided before anything changes: ``affected`` reads the current table
-        emptied = (affected.select(*cols).distinct()
-                   .join(staged.select(*cols).distinct(), cols, "left_anti")
-                   .collect())
-    # New content first, drops last: a failure in between can leave a row in both
-    # its old and new partition (the next merge resolves it), never in neither.
-    overwrite_partitions(staged, table)
-    for row in emptied:
-        spec = ", ".join(f"{c}='{row[c]}'" for c in cols)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        emptied = [{c: NULL_PARTITION if r[c] is None else quote(str(r[c]), safe="") for c in cols}
+                   for r in affected.select(*cols).distinct().collect()]
+    replace_partitions(new_content, table, cols, emptied)
 
 
 def upsert_into_table(spark: SparkSession, table: str, rows: DataFrame, key,
@@ -177,12 +158,13 @@ def upsert_into_table(spark: SparkSession, table: str, rows: DataFrame, key,
 
     The table is partitioned by a hash bucket of the key, so a key always lives in
     the same bucket: only buckets that receive a key are read, merged and
-    rewritten (copy-on-write per bucket), the rest of the table is untouched.
+    rewritten (copy-on-write per bucket), the rest of the table is untouched. An
+    increment that reaches all buckets rewrites all; ``increments.load_increment`` does not.
     """
     keys = _key_list(key)
     src = rows.withColumn(bucket_col, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)))
     if not spark.catalog.tableExists(table):
-        src.write.partitionBy(bucket_col).saveAsTable(table)
+        one_per_key(src, keys).write.partitionBy(bucket_col).saveAsTable(table)
         return
     touched = src.select(bucket_col).distinct()
     current = spark.table(table).join(touched, bucket_col, "left_semi")

@@ -12,6 +12,7 @@ from ..functions.dates import ts_lit
 from ..functions.json import json_value
 from ..operators.merge import (append_rows, create_partitioned_table, drop_partitions_where,
                                merge_delete, merge_insert, merge_upsert, partition_values)
+from ..operators.versions import publish, read_published
 from ..schemas import conform
 from ..session import new_database
 from ..sources.tables import load
@@ -192,7 +193,7 @@ def extract_increment(source: DataFrame, wm_col: str, old_mark):
 
 def read_marks(spark: SparkSession, control_path: str) -> dict:
     """The control table (one row per source table) as a dict on the driver."""
-    return {r["TableName"]: r["WatermarkValue"] for r in spark.read.parquet(control_path).collect()}
+    return {r["TableName"]: r["WatermarkValue"] for r in read_published(spark, control_path).collect()}
 
 
 def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm_col: str,
@@ -221,14 +222,14 @@ def incremental_load(spark: SparkSession, source: DataFrame, table_name: str, wm
 def set_marks(spark: SparkSession, control_path: str, marks: dict) -> None:
     """Replace the marks of the given tables in the control table.
 
-    The control table holds one row per source table, so its rows are read on
-    the driver and the new version is written from them: the overwrite never
-    depends on the files it replaces.
+    The control table holds one row per source table, so its rows are read on the driver.
+    They are written as a new version beside the old one, and a pointer is switched last:
+    a failure leaves the old marks readable, and the load is simply repeated.
     """
     current = read_marks(spark, control_path)
     current.update(marks)
-    spark.createDataFrame(sorted(current.items()), spark.read.parquet(control_path).schema) \
-         .coalesce(1).write.mode("overwrite").parquet(control_path)
+    schema = read_published(spark, control_path).schema
+    publish(spark.createDataFrame(sorted(current.items()), schema), control_path)
 
 
 def i_watermark_increment(spark, sf):

@@ -21,6 +21,7 @@ from ..operators.aggregates import dedup_keep_first
 from ..operators.keys import add_surrogate_key
 from ..operators.projection import map_columns
 from ..operators.merge import apply_merge, create_partitioned_table, merge_update, merge_upsert
+from ..operators.versions import replace_table
 from ..operators.split import split_rows
 from ..schemas import MOVIE, assert_schema, parse_ddl
 from ..session import new_database, new_run_dir
@@ -40,6 +41,9 @@ BRONZE_DDL = "Movies STRING, record_key STRING, Ingesttime TIMESTAMP, p_Ingestda
 # 'Quarantined') rows prunes to those folders, so a run costs what arrived, not
 # the whole history.
 BRONZE_PARTITIONS = ["p_Ingestdate", "Status"]
+LEDGER_DDL = "record_key STRING, p_prefix STRING"
+LEDGER_DIGITS = 1  # 16 folders; two digits make 256 for a ledger of billions of records
+QUARANTINE_PARTITION = "p_Ingestdate"
 # Expected layer schemas, checked after each write.
 SILVER_DDL = ("record_key STRING, Id BIGINT, Title STRING, Overview STRING, OriginalLanguage STRING, "
               "Price DOUBLE, ReleaseDate TIMESTAMP, Budget DOUBLE, Revenue DOUBLE, RunTime BIGINT, "
@@ -115,19 +119,52 @@ def create_bronze(spark: SparkSession, db: str) -> str:
     return table
 
 
-def raw_to_bronze(spark: SparkSession, raw_path: str, table: str, run_ts: dt.datetime = RUN_TS) -> None:
+def create_ledger(spark: SparkSession, db: str) -> str:
+    """Keys of all records ever delivered, partitioned by their first hex digits."""
+    table = f"{db}.movies_ledger"
+    create_partitioned_table(spark, table, LEDGER_DDL, "p_prefix")
+    return table
+
+
+def _with_prefix(keys: DataFrame) -> DataFrame:
+    return keys.withColumn("p_prefix", F.substring("record_key", 1, LEDGER_DIGITS))
+
+
+def raw_to_bronze(spark: SparkSession, raw_path: str, table: str, run_ts: dt.datetime = RUN_TS,
+                  ledger: str | None = None) -> None:
+    """Append the raw documents' records to bronze. With a ``ledger`` a record that an
+    earlier delivery brought is not taken again (copies within one delivery are).
+
+    Bronze is written before the ledger. What a failure in between left out of the
+    ledger still has the status 'New', so those folders count as delivered, too, and
+    the next run enters them. Only the ledger folders that the new keys fall into are read.
+    """
     bronze = stamp_ingest(read_json_array(spark, raw_path, "movie", "STRING", "Movies"), run_ts)
     cols = spark.table(table).columns
-    # no shuffle on the ingest date: a whole run shares one value
-    bronze.select(*cols).write.insertInto(table)
+    if ledger is None:
+        # no shuffle on the ingest date: a whole run shares one value
+        bronze.select(*cols).write.insertInto(table)
+        return
+    waiting = spark.table(table).filter(F.col("Status") == NEW).select("record_key")
+    held = spark.table(ledger).select("p_prefix", "record_key")
+    fresh = _with_prefix(bronze).join(held, ["p_prefix", "record_key"], "left_anti").join(waiting, "record_key", "left_anti")
+    fresh.select(*cols).write.insertInto(table)
+    enter_ledger(spark, table, ledger)
+
+
+def enter_ledger(spark: SparkSession, bronze: str, ledger: str) -> None:
+    """Enter the keys of bronze rows with status 'New' that the ledger does not hold."""
+    keys = _with_prefix(spark.table(bronze).filter(F.col("Status") == NEW).select("record_key").distinct())
+    held = spark.table(ledger).select("p_prefix", "record_key")
+    keys.join(held, ["p_prefix", "record_key"], "left_anti").select(*spark.table(ledger).columns).write.insertInto(ledger)
 
 
 # ------------------------------------------------------------------ silver
 def parse_bronze(bronze: DataFrame) -> DataFrame:
     """Typed movie columns from the raw text (PERMISSIVE: a bad field is null),
-    plus the release-year partition value; exact repeats are removed."""
-    parsed = bronze.select("record_key", F.from_json("Movies", MOVIE).alias("m"))
-    flat = parsed.select("record_key", "m.*")
+    the ingest date, and the release-year partition value; exact repeats are removed."""
+    parsed = bronze.select("record_key", "p_Ingestdate", F.from_json("Movies", MOVIE).alias("m"))
+    flat = parsed.select("record_key", "p_Ingestdate", "m.*")
     flat = flat.withColumn("p_ReleaseYear", F.year(F.col("ReleaseDate").cast("date")))
     return flat.dropDuplicates(["record_key"])
 
@@ -204,6 +241,7 @@ class MedallionRun:
         self.raw_path = raw_path or f"{self.root}/raw"
         self._fresh_raw = raw_path is None  # a new run folder holds no documents yet
         self.bronze = create_bronze(spark, self.db)
+        self.ledger = create_ledger(spark, self.db)
         self.silver = f"{self.db}.movies_silver"
         self.quarantine = f"{self.db}.movies_quarantine"
 
@@ -212,7 +250,7 @@ class MedallionRun:
         are given) unless the raw folder already holds some, then load bronze."""
         if records is not None or self._fresh_raw or not self._raw_exists():
             write_raw_documents(self.spark, self.sf, self.raw_path, records=records)
-        raw_to_bronze(self.spark, self.raw_path, self.bronze, self.run_ts)
+        raw_to_bronze(self.spark, self.raw_path, self.bronze, self.run_ts, self.ledger)
         assert_schema(self.spark.table(self.bronze), parse_ddl(self.spark, BRONZE_DDL))
         return self
 
@@ -232,10 +270,9 @@ class MedallionRun:
         cols = SILVER_COLUMNS + ["p_ReleaseYear"]
         sinks = [
             lambda: _append(clean.select("record_key", *cols), self.silver, "p_ReleaseYear"),
-            lambda: _append(bad.select("record_key", *cols), self.quarantine),
+            lambda: _append(bad.select("record_key", *cols, QUARANTINE_PARTITION), self.quarantine, QUARANTINE_PARTITION, moves=True),
             lambda: _upsert_lookup(genre_table(parsed), f"{self.db}.genres", ["Genre_Id"]),
-            lambda: _upsert_lookup(movie_genre_table(parsed), f"{self.db}.movie_genres",
-                                   ["Movie_Id", "Genre_Id"]),
+            lambda: _append_unseen(movie_genre_table(parsed), f"{self.db}.movie_genres"),
             lambda: _upsert_lookup(language_table(parsed), f"{self.db}.languages", ["Language_Code"]),
         ]
         # independent sinks run as concurrent Spark jobs; any failure is raised here
@@ -254,21 +291,24 @@ class MedallionRun:
         bad = parse_bronze(self.spark.table(self.bronze).filter(F.col("Status") == QUARANTINED))
         fixed, _still_bad = clean_and_quarantine(repair_negative(bad))
         fixed = fixed.checkpoint(eager=True)
-        _append(fixed, self.silver, "p_ReleaseYear")
+        _append(fixed.select("record_key", *SILVER_COLUMNS, "p_ReleaseYear"), self.silver, "p_ReleaseYear")
+        # only the ingest dates with repaired rows are written anew, beside the old files
         held = self.spark.table(self.quarantine)
-        left = held.join(fixed.select("record_key"), "record_key", "left_anti").select(*held.columns)
-        left.checkpoint(eager=True).write.insertInto(self.quarantine, overwrite=True)
+        scope = held.join(fixed.select(QUARANTINE_PARTITION).distinct(), QUARANTINE_PARTITION, "left_semi")
+        left = scope.join(fixed.select("record_key"), "record_key", "left_anti").select(*held.columns)
+        apply_merge(self.spark, self.quarantine, QUARANTINE_PARTITION, left, affected=scope)
         # the status comes last: a repair that failed before it is simply repeated
         update_status(self.spark, self.bronze, [(fixed, LOADED)], from_status=(QUARANTINED,))
         return self
 
 
-def _append(df: DataFrame, table: str, partition_col: str | None = None) -> None:
+def _append(df: DataFrame, table: str, partition_col: str | None = None, moves: bool = False) -> None:
     """Append the records that a table does not hold yet, creating it on the first run.
-    A record keeps its partition value, so only the partitions that may hold it are read."""
+    A record keeps its partition value, so only the partitions that may hold it are read,
+    unless it ``moves``: delivered again on another day."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        key = ["record_key"] + ([partition_col] if partition_col else [])
+        key = ["record_key"] + ([partition_col] if partition_col and not moves else [])
         new = df.join(spark.table(table).select(*key), key, "left_anti")
         new.select(*spark.table(table).columns).write.insertInto(table)
     elif partition_col:
@@ -277,15 +317,24 @@ def _append(df: DataFrame, table: str, partition_col: str | None = None) -> None
         df.write.saveAsTable(table)
 
 
-def _upsert_lookup(df: DataFrame, table: str, key: list[str]) -> None:
-    """Keyed upsert of a small lookup table (bounded by its domain: genres,
-    languages, movie-genre pairs), rewritten whole from a checkpointed merge."""
+def _append_unseen(df: DataFrame, table: str) -> None:
+    """Append the rows that a table does not hold yet (null-safe on all columns)."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         df.write.saveAsTable(table)
         return
-    merged = merge_upsert(spark.table(table), df.select(*spark.table(table).columns), key)
-    merged.checkpoint(eager=True).write.mode("overwrite").saveAsTable(table)
+    held = spark.table(table)
+    cond = reduce(Column.__and__, [df[c].eqNullSafe(held[c]) for c in held.columns])
+    df.join(held, cond, "left_anti").select(*held.columns).write.insertInto(table)
+
+
+def _upsert_lookup(df: DataFrame, table: str, key: list[str]) -> None:
+    """Keyed upsert of a small lookup table (bounded by its domain: genres, languages):
+    a new version is written whole, then the table's location switches to it."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        df = merge_upsert(spark.table(table), df.select(*spark.table(table).columns), key)
+    replace_table(df, table)
 
 
 def _silver_view(df: DataFrame) -> DataFrame:
