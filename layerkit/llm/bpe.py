@@ -49,9 +49,9 @@ STEPS = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split
 
 #: Bytes that are no ASCII white space: nothing composes, merges or matches across the others.
 RUN = np.array([b not in SPACES for b in range(256)])
-STRETCH = 1 << 21     # bytes of text worked on at a time
+STRETCH = 1 << 22     # bytes of text worked on at a time
 JOINED = 1 << 18      # ids made into strings at a time
-REMEMBERED = 1 << 18  # distinct runs and words whose ids a process keeps; a bound on memory, not on results
+REMEMBERED = 1 << 17  # distinct words of a generation, two of which a process keeps; a bound on memory, not on results
 
 
 def byte_letters() -> list[str]:
@@ -89,6 +89,7 @@ class Codec:
         self.added = {t["content"]: t["id"] for t in added}
         names = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+        self.marked = self.cut.search if names else None
         every = {**self.vocabulary, **self.added}
         self.strings = pa.array([s for s, _ in sorted(every.items(), key=lambda kv: kv[1])], pa.string())
         if sorted(every.values()) != list(range(len(every))):
@@ -98,7 +99,9 @@ class Codec:
         self.normalizer = library.normalizer
         from tokenizers import Regex, pre_tokenizers
         self.splitter = pre_tokenizers.Split(Regex(WORDS), "removed", invert=True)
+        #: words met lately, and those met before as many others
         self.known: dict[str, tuple[int, ...]] = {}
+        self.earlier: dict[str, tuple[int, ...]] = {}
 
     def merged(self, word: str) -> list[int]:
         """Ids of one word."""
@@ -127,48 +130,43 @@ class Codec:
 
     def _word(self, word: str) -> tuple[int, ...]:
         ids = self.known.get(word)
-        return self._remember(word, tuple(self.merged(word))) if ids is None else ids
-
-    def _remember(self, word: str, ids: tuple[int, ...]) -> tuple[int, ...]:
-        if len(word) <= 64:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = ids
+        if ids is None:
+            ids = self.earlier.get(word)
+            if ids is None:
+                ids = tuple(self.merged(word))
+            if len(word) <= 64:
+                if len(self.known) >= REMEMBERED:
+                    self.known, self.earlier = {}, self.known
+                self.known[word] = ids
         return ids
 
-    def _words(self, text: str) -> list[str]:
-        if self.newer.search(text):
-            return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # a last sigma is not special in the file
-        return self.words.findall(text.lower())
-
     def run(self, text: str) -> tuple[int, ...]:
         """Ids of a text without ASCII white space."""
-        whole = text.isascii() and text.isalpha() and text.islower()  # then it is a word of its own
-        ids = self.known.get(text) if whole else None
-        if ids is None:
-            ids = self._word(text) if whole else tuple(
-                i for part in (self.cut.split(text) if self.cut else [text])
-                for i in ([self.added[part]] if part in self.added else [i for word in self._words(part) for i in self._word(word)]))
-        return ids
-
-    def encode(self, body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts = self.cut.split(text) if self.cut and self.marked(text) else [text]
+        if len(parts) > 1:
+            return tuple(i for p in parts for i in ([self.added[p]] if p in self.added else self.run(p) if p else []))
+        if not text.isascii():
+            if self.newer.search(text):
+                return tuple(i for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text)) for i in self._word(w))
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # a last sigma is not special in the file
+        text = text.lower()
+        if text.isalpha():  # below U+0530 the same as the class of letters: most runs are one word,
+            return self._word(text)
+        if text[:-1].isalpha() and text[-1].isascii():  # or one word and a sign
+            return self._word(text[:-1]) + self._word(text[-1])
+        return tuple(i for word in self.words.findall(text) for i in self._word(word))
+
+    def encode(self, body: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         """(ids, where each text's ids begin and end) of texts that lie at ``offsets`` of ``body``."""
         values, _, heads = runs(body, offsets, RUN, lower=False)
-        if not len(values):
-            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         coded = values.dictionary_encode()
-        flat, size = array("i"), np.empty(len(coded.dictionary), np.int64)
-        for k, text in enumerate(coded.dictionary.cast(pa.large_string()).to_pylist()):
-            ids = self.run(text)
-            flat.extend(ids)
-            size[k] = len(ids)
-        code = coded.indices.to_numpy()
-        ends = np.append(0, np.cumsum(size[code]))
-        begin = np.append(0, np.cumsum(size)[:-1])
-        place = np.repeat(begin[code] - ends[:-1], size[code]) + np.arange(ends[-1])
-        return np.frombuffer(flat, np.int32)[place], ends[heads]
+        flat, ends = array("i"), [0]
+        for text in coded.dictionary.cast(pa.large_string()).to_pylist():
+            flat.extend(self.run(text))
+            ends.append(len(flat))
+        known = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+        placed = known.take(coded.indices)
+        return placed.flatten(), np.append(0, np.cumsum(np.diff(placed.offsets.to_numpy())))[heads]
 
 
 @lru_cache(maxsize=2)
@@ -185,9 +183,9 @@ def encode(docs: DataFrame, tokenizer: str, *, text: str = "text") -> DataFrame:
         made = codec(tokenizer)
 
         def out(group: list) -> pa.RecordBatch:
-            part, ids = group[0][0], np.concatenate([g[1] for g in group])
+            part, ids = group[0][0], pa.concat_arrays([g[1] for g in group])
             offsets = group[0][2] if len(group) == 1 else np.array([0, len(ids)])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
             return pa.RecordBatch.from_arrays([part.column(0), lists], names=["row", "ids"])
 
         held: list = []

@@ -27,7 +27,7 @@ def made(n, most, seed):
 def ids_of(codec, texts):
     raw = [t.encode() for t in texts]
     ids, ends = codec.encode(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])))
-    return [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
+    return [ids[a:b].to_pylist() for a, b in zip(ends[:-1], ends[1:])]
 
 
 def test_ids_are_those_of_the_library(library, monkeypatch):
