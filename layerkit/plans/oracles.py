@@ -397,17 +397,34 @@ MISC = {
         GROUP BY 1, 2 HAVING count(*) > 1""",
 }
 
+def _loop_part(name, key, time, text, amount, first):
+    # rows after the first mark; those of the last 30 days were delivered again, edited
+    return f"""
+        SELECT '{name}' AS TABLE_NAME, {key} AS row_key, CAST({time} AS TIMESTAMP) AS row_time,
+               {text} || CASE WHEN {time} > (SELECT max({time}) FROM {name}) - INTERVAL 30 DAY THEN '*' ELSE '' END AS row_text,
+               CAST({amount} AS DOUBLE) AS amount
+        FROM {name} WHERE {time} > least(TIMESTAMP '{first}', (SELECT max({time}) FROM {name}) - INTERVAL 30 DAY)"""
+
+
+_TABLE_LOOP = " UNION ALL ".join([
+    _loop_part("orders", "CAST(o_orderkey AS VARCHAR)", "o_orderdate", "o_orderstatus", "o_totalprice", "2000-06-30"),
+    _loop_part("lineitem", "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber)", "l_shipdate", "l_returnflag",
+               "l_extendedprice", "2001-01-31"),
+    _loop_part("events", "CAST(event_id AS VARCHAR)", "ts", "event_type", "value", "2024-01-20 12:00:00")])
+
 PIPELINES = {
-    "g07_config_loop": """
-        SELECT 'orders' AS TABLE_NAME, count(*) AS n_rows FROM orders
-        WHERE o_orderdate > TIMESTAMP '2000-05-31'
-        UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_shipdate > TIMESTAMP '2001-01-01'
-        UNION ALL SELECT 'events', count(*) FROM events WHERE ts > TIMESTAMP '2023-12-21 12:00:00'""",
+    "g07_config_loop": _TABLE_LOOP,
+    "g03_upsert_compacted": _TABLE_LOOP,
     "g08_ods_to_parquet": """
-        SELECT 'orders' AS table_name, count(*) AS n_rows,
-               CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS money_total FROM orders
-        UNION ALL SELECT 'customer', count(*), CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) FROM customer
-        UNION ALL SELECT 'part', count(*), CAST(SUM(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) FROM part""",
+        SELECT 'orders' AS table_name, o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice,
+               CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderdate, o_orderpriority,
+               NULL::BIGINT AS c_custkey, NULL::VARCHAR AS c_name, NULL::INTEGER AS c_nationkey, NULL::DOUBLE AS c_acctbal, NULL::VARCHAR AS c_mktsegment,
+               NULL::BIGINT AS p_partkey, NULL::VARCHAR AS p_name, NULL::VARCHAR AS p_brand, NULL::VARCHAR AS p_type, NULL::INTEGER AS p_size,
+               NULL::DOUBLE AS p_retailprice FROM orders
+        UNION ALL SELECT 'customer', NULL, NULL, NULL, NULL, NULL, NULL, c_custkey, c_name, CAST(c_nationkey AS INTEGER),
+               CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE), c_mktsegment, NULL, NULL, NULL, NULL, NULL, NULL FROM customer
+        UNION ALL SELECT 'part', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, p_partkey, p_name, p_brand, p_type,
+               CAST(p_size AS INTEGER), CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) FROM part""",
     "g14_gdpr_delete": """
         SELECT o_orderkey, o_custkey FROM orders
         WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",

@@ -10,7 +10,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,8 @@ from ..session import new_database, new_run_dir
 from ..sources.files import layer_path, read_config
 from ..sources.tables import load
 from ..sources.writers import write_parquet
-from ..operators.merge import upsert_into_table
+from ..operators.increments import compact, latest, load_increment
+from ..operators.versions import publish
 from .incremental import WATERMARK_DDL, extract_increment, read_marks, set_marks
 
 # The tables the control file lists, with watermark columns, merge
@@ -47,57 +50,92 @@ MERGE_PROCEDURES = {
     "usp_upsert_events": ["event_id"],
 }
 REPLAY_DAYS = 30
-# Hash buckets of an ODS table (the unit an upsert rewrites). Size it so a bucket
-# stays around a few GB: 8 for these test tables, thousands for 100 TB tables.
-ODS_BUCKETS = 8
+ODS_GRAIN = "month"
+MOST_AT_ONCE = 8  # tables loaded side by side, however long the list
 
 
 def run_table_list(spark: SparkSession, sf: str, config: DataFrame, control_path: str,
-                   db: str) -> list[tuple[str, str]]:
+                   db: str, source: Callable[[str], DataFrame] | None = None) -> list[tuple[str, str]]:
     """One watermark load per configured table, upserted by the named procedure.
 
     The configuration holds a handful of rows, so it is walked on the driver; the
-    tables are extracted concurrently (one Spark job chain per table). Each
-    increment is merged into its ODS table on the procedure's key, which makes
-    loading the same window twice harmless; so the new marks are written once,
-    after every table succeeded, and a failure anywhere just repeats the window.
+    tables are extracted side by side (one Spark job chain per table). Each increment is
+    added to its ODS table under the procedure's key and writes its own files only
+    (``operators.increments``), which makes loading the same window twice harmless; so
+    the new marks are written once, after every table succeeded, and a failure anywhere
+    just repeats the window. ``source`` names the tables (default: the driver tables).
     """
     rows = config.collect()
     marks = read_marks(spark, control_path)
+    source = source or (lambda name: load(spark, sf, name))
 
     def load_one(row):
-        source = load(spark, sf, row["TABLE_NAME"])
         keys = MERGE_PROCEDURES[row["StoredProcedureNameForMergeOperation"]]
         target = f"{db}.{row['SinkTableName']}"
-        increment, new = extract_increment(source, row["WaterMark_Column"], marks.get(row["TABLE_NAME"]))
+        increment, new = extract_increment(source(row["TABLE_NAME"]), row["WaterMark_Column"], marks.get(row["TABLE_NAME"]))
         if increment is not None:
-            upsert_into_table(spark, target, increment, keys, buckets=ODS_BUCKETS)
+            load_increment(spark, target, increment, keys, row["WaterMark_Column"], grain=ODS_GRAIN)
         return row["TABLE_NAME"], target, new
 
-    with ThreadPoolExecutor(max_workers=max(1, len(rows))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(len(rows), MOST_AT_ONCE))) as pool:
         done = [f.result() for f in [pool.submit(load_one, r) for r in rows]]
     set_marks(spark, control_path, {name: new for name, _, new in done if new is not None})
     return [(name, target) for name, target, _ in done]
 
 
-def g07_config_loop(spark: SparkSession, sf: str) -> DataFrame:
-    """Two passes of the table loop; the second re-extracts from marks REPLAY_DAYS
-    earlier, so its window overlaps rows the first pass already loaded."""
+# What the rows of each ODS table are compared by (key parts, time, text, amount).
+ODS_VIEW = {
+    "orders": (["o_orderkey"], "o_orderdate", "o_orderstatus", "o_totalprice"),
+    "lineitem": (["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], "l_shipdate", "l_returnflag", "l_extendedprice"),
+    "events": (["event_id"], "ts", "event_type", "value"),
+}
+
+
+def _as_delivered_later(df: DataFrame, name: str) -> DataFrame:
+    """Stand-in for a second delivery: the source as it is after its rows were edited."""
+    column = ODS_VIEW[name][2]
+    return df.withColumn(column, F.concat(F.col(column), F.lit("*")))
+
+
+def _table_loop(spark: SparkSession, sf: str) -> list[tuple[str, str]]:
+    """Two passes of the table loop; the second delivers edited rows and re-extracts from
+    marks REPLAY_DAYS earlier, so its window overlaps rows the first pass loaded."""
     root = new_run_dir(spark, "tablelist")
     db = new_database(spark, "ods_loop")
     cfg_path = f"{root}/config/table_list.json"
     spark.createDataFrame(TABLE_LIST).coalesce(1).write.json(cfg_path)
     control = f"{root}/control"
-    spark.createDataFrame(list(FIRST_MARKS.items()), WATERMARK_DDL).write.parquet(control)
+    publish(spark.createDataFrame(list(FIRST_MARKS.items()), WATERMARK_DDL), control)
     run_table_list(spark, sf, read_config(spark, cfg_path), control, db)
-    set_marks(spark, control, {t: m - dt.timedelta(days=REPLAY_DAYS) for t, m in FIRST_MARKS.items()})
-    loaded = run_table_list(spark, sf, read_config(spark, cfg_path), control, db)
-    counts = None
+    late = {t: mark for t, mark in read_marks(spark, control).items()}
+    set_marks(spark, control, {t: mark - dt.timedelta(days=REPLAY_DAYS) for t, mark in late.items()})
+    return run_table_list(spark, sf, read_config(spark, cfg_path), control, db,
+                          lambda name: _as_delivered_later(load(spark, sf, name), name))
+
+
+def _ods_rows(spark: SparkSession, loaded: list[tuple[str, str]]) -> DataFrame:
+    """Every row of the ODS tables in one shape."""
+    out = []
     for name, table in loaded:
-        c = spark.table(table).agg(F.count(F.lit(1)).alias("n_rows")) \
-                 .select(F.lit(name).alias("TABLE_NAME"), "n_rows")
-        counts = c if counts is None else counts.unionByName(c)
-    return counts
+        key, time, text, amount = ODS_VIEW[name]
+        merge_key = next(MERGE_PROCEDURES[t["StoredProcedureNameForMergeOperation"]] for t in TABLE_LIST if t["TABLE_NAME"] == name)
+        out.append(latest(spark, table, merge_key).select(
+            F.lit(name).alias("TABLE_NAME"), F.concat_ws("|", *[F.col(k).cast("string") for k in key]).alias("row_key"),
+            F.col(time).alias("row_time"), F.col(text).alias("row_text"), F.col(amount).alias("amount")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def g07_config_loop(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of every ODS table after two passes of the table loop."""
+    return _ods_rows(spark, _table_loop(spark, sf))
+
+
+def g03_upsert_compacted(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows after the increments were folded into their base."""
+    loaded = _table_loop(spark, sf)
+    for t in TABLE_LIST:
+        compact(spark, dict(loaded)[t["TABLE_NAME"]], MERGE_PROCEDURES[t["StoredProcedureNameForMergeOperation"]])
+    return _ods_rows(spark, loaded)
 
 
 # Declared ODS schemas: money as DECIMAL(18,2), dates as DATE.
@@ -109,9 +147,6 @@ ODS_SCHEMAS = {
     "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
             "p_retailprice DECIMAL(18,2)",
 }
-MONEY = {"orders": "o_totalprice", "customer": "c_acctbal", "part": "p_retailprice"}
-
-
 def copy_to_parquet(spark: SparkSession, sf: str, table: str, root: str) -> str:
     path = layer_path(root, "ODS", table)
     write_parquet(conform(load(spark, sf, table), ODS_SCHEMAS[table]), path)
@@ -119,15 +154,13 @@ def copy_to_parquet(spark: SparkSession, sf: str, table: str, root: str) -> str:
 
 
 def g08_ods_to_parquet(spark: SparkSession, sf: str) -> DataFrame:
+    """The written rows of every ODS copy, read back with the declared types."""
     root = new_run_dir(spark, "ods_copy")
     out = None
     for table in ODS_SCHEMAS:
         path = copy_to_parquet(spark, sf, table, root)
-        c = spark.read.parquet(path).agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.sum(MONEY[table]).cast("double").alias("money_total")) \
-            .select(F.lit(table).alias("table_name"), "n_rows", "money_total")
-        out = c if out is None else out.unionByName(c)
+        c = spark.read.schema(ODS_SCHEMAS[table]).parquet(path).select(F.lit(table).alias("table_name"), "*")
+        out = c if out is None else out.unionByName(c, allowMissingColumns=True)
     return out
 
 

@@ -25,7 +25,7 @@ NAMES = (
     "m_bronze_status", "m_repaired", "m_repaired_status", "x_null_profile",
     "w_pipeline", "w_customer_dim", "w_employee_dim", "w_stockitem_dim", "w_order_fact", "w_sales",
     "m_split_chunks", "c_clean_text", "k_surrogate_key", "x_union_by_name", "x_pk_check",
-    "g07_config_loop", "g08_ods_to_parquet", "g14_gdpr_delete", "a13_activity_parts",
+    "g07_config_loop", "g03_upsert_compacted", "g08_ods_to_parquet", "g14_gdpr_delete", "a13_activity_parts",
     "s_new_only", "s_drip_feed",
 )
 
