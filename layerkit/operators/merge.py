@@ -80,6 +80,50 @@ def merge_delete(target: DataFrame, src: DataFrame, key) -> DataFrame:
     return target.join(src.select(*keys), keys, "left_anti")
 
 
+# What a marked row asks for.
+INSERT, UPDATE, DELETE, UPSERT = "insert", "update", "delete", "upsert"
+
+
+def apply_actions(target: DataFrame, marked: DataFrame, key, action: str = "_action", order_by=()) -> DataFrame:
+    """New content of ``target`` after the rows of ``marked`` did what their ``action`` says,
+    in one pass: one full outer join on the key (null keys match).
+
+    update and delete change rows that are there, insert adds a row whose key is not (an
+    existing one stays as it is), upsert does either. Of several rows for one key the last
+    by ``order_by`` counts, ties and no order: the largest row. Other actions raise.
+    """
+    keys = _key_list(key)
+    columns = target.columns
+    rest = [c for c in columns if c not in keys]
+    last = marked.groupBy(*keys).agg(F.max(F.struct(
+        *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)], F.col(action).alias("__a"),
+        *[F.col(c).alias(f"__v{i}") for i, c in enumerate(rest)])).alias("__m"))
+    last = last.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__m")
+    known = F.col("__m.__a").isin(INSERT, UPDATE, DELETE, UPSERT)
+    last = last.where(F.when(known, F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("unknown action: "), F.coalesce("__m.__a", F.lit("null")))).cast("boolean")))
+    cond = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    both = target.withColumn("__t", F.lit(True)).join(last, cond, "full_outer")
+    there, what = F.coalesce("__t", F.lit(False)), F.coalesce("__m.__a", F.lit(""))
+    new = F.when(there, what.isin(UPDATE, UPSERT)).otherwise(what.isin(INSERT, UPSERT))
+    stays = F.when(there, what != DELETE).otherwise(what.isin(INSERT, UPSERT))
+    values = {**{k: f"__k{i}" for i, k in enumerate(keys)}, **{c: f"__m.__v{i}" for i, c in enumerate(rest)}}
+    return both.where(stays).select(*[F.when(new, F.col(values[c])).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c) for c in columns])
+
+
+def apply_actions_to(spark: SparkSession, table: str, marked: DataFrame, key, action: str = "_action", order_by=()) -> None:
+    """``apply_actions`` on a partitioned catalog table: reads and replaces the partitions
+    that hold a marked key or receive a row, no others. A row may change its partition."""
+    keys, parts = _key_list(key), partition_columns(spark, table)
+    current = spark.table(table)
+    wanted = marked.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct()
+    cond = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    held = current.join(wanted, cond, "left_semi").select(*parts)
+    named = held.unionByName(marked.select(*parts)).distinct().select(*[F.col(p).alias(f"__p{i}") for i, p in enumerate(parts)])
+    inside = reduce(Column.__and__, [F.col(p).eqNullSafe(F.col(f"__p{i}")) for i, p in enumerate(parts)])
+    scope = current.join(F.broadcast(named), inside, "left_semi")  # one row for each partition touched
+    apply_merge(spark, table, parts, apply_actions(scope, marked, keys, action, order_by), affected=scope)
+
+
 def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
     """DELETE ... WHERE predicate (rows with a null predicate stay)."""
     return target.filter(~F.coalesce(predicate, F.lit(False)))

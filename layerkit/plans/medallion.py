@@ -19,8 +19,8 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from ..functions.dates import ts_lit
 from ..operators.aggregates import dedup_keep_first
 from ..operators.keys import add_surrogate_key
-from ..operators.projection import map_columns
-from ..operators.merge import apply_merge, create_partitioned_table, merge_update, merge_upsert
+from ..operators.projection import map_columns, mark_rows
+from ..operators.merge import apply_actions_to, apply_merge, create_partitioned_table, merge_update, merge_upsert
 from ..operators.versions import replace_table
 from ..operators.split import split_rows
 from ..schemas import MOVIE, assert_schema, parse_ddl
@@ -302,6 +302,21 @@ class MedallionRun:
         return self
 
 
+def repair_by_action(run: MedallionRun) -> MedallionRun:
+    """The repair as marked rows: each quarantined record is marked by what it asks of a
+    table, and one pass over the touched partitions applies the marks. A repaired record
+    that now passes the rule is inserted into silver and deleted from quarantine; any other
+    is updated in quarantine."""
+    spark = run.spark
+    held = spark.table(run.quarantine)
+    fixed = repair_negative(held).checkpoint(eager=True)  # read by both merges
+    good = quality_rule()
+    apply_actions_to(spark, run.silver, mark_rows(fixed.filter(good), F.lit(False)).drop(QUARANTINE_PARTITION), "record_key")
+    apply_actions_to(spark, run.quarantine, mark_rows(fixed, good, when_true="delete", when_false="update"), "record_key")
+    update_status(spark, run.bronze, [(fixed.filter(good), LOADED)], from_status=(QUARANTINED,))
+    return run
+
+
 def _append(df: DataFrame, table: str, partition_col: str | None = None, moves: bool = False) -> None:
     """Append the records that a table does not hold yet, creating it on the first run.
     A record keeps its partition value, so only the partitions that may hold it are read,
@@ -415,3 +430,25 @@ def m_repaired_status(spark, sf):
     run = MedallionRun(spark, sf).ingest().to_silver().repair()
     return (spark.table(run.bronze)
             .select(F.get_json_object("Movies", "$.Id").cast("long").alias("Id"), "Status"))
+
+
+def m_repair_by_action(spark, sf):
+    run = repair_by_action(MedallionRun(spark, sf).ingest().to_silver())
+    layers = [_silver_view(spark.table(t)).withColumn("layer", F.lit(name)) for t, name in ((run.silver, "silver"), (run.quarantine, "quarantine"))]
+    return layers[0].unionByName(layers[1])
+
+
+def m_rerun(spark, sf):
+    """Three deliveries: the later two bring part of the earlier documents again, under new
+    names and on other days. Every record of bronze with its status and where it went."""
+    run = MedallionRun(spark, sf)
+    records = movie_records(spark, sf)
+    deliveries = (F.col("Id") % 5 != 0, (F.col("Id") % 5 == 0) | (F.col("Id") % 3 == 0), F.lit(True))
+    for day, part in enumerate(deliveries):
+        path = f"{run.root}/delivery-{day}"
+        write_raw_documents(spark, sf, path, records=records.filter(part))
+        raw_to_bronze(spark, path, run.bronze, RUN_TS + dt.timedelta(days=day), run.ledger)
+        run.to_silver()
+    layers = [spark.table(t).select("record_key", F.lit(name).alias("layer")) for t, name in ((run.silver, "silver"), (run.quarantine, "quarantine"))]
+    return (spark.table(run.bronze).join(layers[0].unionByName(layers[1]), "record_key", "left")
+            .select(F.get_json_object("Movies", "$.Id").cast("long").alias("Id"), "Status", "layer"))

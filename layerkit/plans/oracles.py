@@ -273,6 +273,14 @@ MEDALLION = {
     "m_bronze_status": f"""
         SELECT Id, CASE WHEN coalesce({_RULE}, false) THEN 'Loaded' ELSE 'Quarantined' END AS Status
         FROM ({_BRONZE_ROWS})""",
+    "m_rerun": f"""
+        SELECT Id, CASE WHEN coalesce({_RULE}, false) THEN 'Loaded' ELSE 'Quarantined' END AS Status,
+               CASE WHEN coalesce({_RULE}, false) THEN 'silver' ELSE 'quarantine' END AS layer
+        FROM ({_BRONZE_ROWS})""",
+    "m_repair_by_action": f"""
+        SELECT Id, Title, OriginalLanguage, Price, ReleaseDate, abs(RunTime) AS RunTime, CAST(year(ReleaseDate) AS INTEGER) AS p_ReleaseYear,
+               CASE WHEN ReleaseDate IS NOT NULL AND RunTime IS NOT NULL THEN 'silver' ELSE 'quarantine' END AS layer
+        FROM ({_MOVIES})""",
     "m_repaired": f"""
         SELECT Id, Title, OriginalLanguage, Price, ReleaseDate, abs(RunTime) AS RunTime,
                CAST(year(ReleaseDate) AS INTEGER) AS p_ReleaseYear
@@ -425,6 +433,9 @@ PIPELINES = {
                CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE), c_mktsegment, NULL, NULL, NULL, NULL, NULL, NULL FROM customer
         UNION ALL SELECT 'part', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, p_partkey, p_name, p_brand, p_type,
                CAST(p_size AS INTEGER), CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) FROM part""",
+    "g05_retention_delete": """
+        SELECT o_orderkey, o_orderdate, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1996-07-01'""",
     "g14_gdpr_delete": """
         SELECT o_orderkey, o_custkey FROM orders
         WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",

@@ -17,12 +17,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import ts_lit
 from ..schemas import conform
 from ..session import new_database, new_run_dir
 from ..sources.files import layer_path, read_config
 from ..sources.tables import load
 from ..sources.writers import write_parquet
 from ..operators.increments import compact, latest, load_increment
+from ..operators.rewrite import delete_matching, delete_where_in, read_files
 from ..operators.versions import publish
 from .incremental import WATERMARK_DDL, extract_increment, read_marks, set_marks
 
@@ -175,9 +177,33 @@ def apply_deletions(df: DataFrame, key: str, requests: DataFrame) -> DataFrame:
     return df.join(requests, df[key] == requests["key"], "left_anti")
 
 
+def write_by_key(df: DataFrame, key: str, path: str, files: int) -> None:
+    """A folder of files with disjoint key ranges: a deletion list touches few of them."""
+    df.repartitionByRange(files, key).sortWithinPartitions(key).write.parquet(path)
+
+
+CUSTOMER_FILES = 16
+
+
 def g14_gdpr_delete(spark: SparkSession, sf: str) -> DataFrame:
-    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return apply_deletions(o, "o_custkey", deletion_requests(load(spark, sf, "customer")))
+    """Orders written by customer, then the requested customers' rows deleted from the
+    files that hold them; what the folder holds afterwards."""
+    path = f"{new_run_dir(spark, 'gdpr')}/orders"
+    write_by_key(load(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", path, CUSTOMER_FILES)
+    delete_matching(spark, path, "o_custkey", deletion_requests(load(spark, sf, "customer")))
+    return read_files(spark, path)
+
+
+RETAINED_FROM = dt.datetime(1996, 7, 1)
+
+
+def g05_retention_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders partitioned by year; rows before a day inside a year are deleted."""
+    path = f"{new_run_dir(spark, 'retention')}/orders"
+    o = load(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", F.year("o_orderdate").alias("o_year"))
+    write_parquet(o, path, partition_by="o_year")
+    delete_where_in(spark, path, F.col("o_orderdate") < ts_lit(RETAINED_FROM))
+    return read_files(spark, path)
 
 
 def activity_parts(df: DataFrame, time_col: str) -> DataFrame:

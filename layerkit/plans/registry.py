@@ -22,10 +22,10 @@ NAMES = (
     "i_watermark_increment", "i_upsert", "i_insert_missing", "i_delete_matched", "x_topn",
     "m_bronze", "m_silver_clean", "m_quarantine", "m_genres", "m_genres_by_name", "m_unroll_genres", "m_junction",
     "m_languages",
-    "m_bronze_status", "m_repaired", "m_repaired_status", "x_null_profile",
+    "m_bronze_status", "m_repaired", "m_repaired_status", "m_rerun", "m_repair_by_action", "x_null_profile",
     "w_pipeline", "w_customer_dim", "w_employee_dim", "w_stockitem_dim", "w_order_fact", "w_sales",
     "m_split_chunks", "c_clean_text", "k_surrogate_key", "x_union_by_name", "x_pk_check",
-    "g07_config_loop", "g03_upsert_compacted", "g08_ods_to_parquet", "g14_gdpr_delete", "a13_activity_parts",
+    "g07_config_loop", "g03_upsert_compacted", "g08_ods_to_parquet", "g05_retention_delete", "g14_gdpr_delete", "a13_activity_parts",
     "s_new_only", "s_drip_feed",
 )
 
