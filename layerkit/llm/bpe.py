@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -49,7 +49,7 @@ STEPS = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split
 
 #: Bytes that are no ASCII white space: nothing composes, merges or matches across the others.
 RUN = np.array([b not in SPACES for b in range(256)])
-STRETCH = 1 << 22     # bytes of text worked on at a time
+STRETCH = 1 << 20     # bytes of text worked on at a time
 JOINED = 1 << 18      # ids made into strings at a time
 REMEMBERED = 1 << 17  # distinct words of a generation, two of which a process keeps; a bound on memory, not on results
 
@@ -174,30 +174,31 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+def encoded(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+    """(row, ids) of batches (row, text), a slice of texts at a time."""
+    made = codec(tokenizer)
+
+    def out(group: list) -> pa.RecordBatch:
+        part, ids = group[0][0], pa.concat_arrays([g[1] for g in group])
+        offsets = group[0][2] if len(group) == 1 else np.array([0, len(ids)])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
+        return pa.RecordBatch.from_arrays([part.column(0), lists], names=["row", "ids"])
+
+    held: list = []
+    for part, body, offsets in stretches(batches, "text", RUN, STRETCH):
+        if held and held[0][0] is not part:  # a longer text comes in several stretches
+            yield out(held)
+            held = []
+        held.append((part, *made.encode(body, offsets)))
+    if held:
+        yield out(held)
+
+
 def encode(docs: DataFrame, tokenizer: str, *, text: str = "text") -> DataFrame:
     """``row`` (all columns of a row) and ``ids`` (array of int), one row for each row."""
     rows = docs.select(as_row(docs), quoted(text).cast("string").alias("text"))
     schema = rows.select("row", F.lit(None).cast("array<int>").alias("ids")).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = codec(tokenizer)
-
-        def out(group: list) -> pa.RecordBatch:
-            part, ids = group[0][0], pa.concat_arrays([g[1] for g in group])
-            offsets = group[0][2] if len(group) == 1 else np.array([0, len(ids)])
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)
-            return pa.RecordBatch.from_arrays([part.column(0), lists], names=["row", "ids"])
-
-        held: list = []
-        for part, body, offsets in stretches(batches, "text", RUN, STRETCH):
-            if held and held[0][0] is not part:  # a longer text comes in several stretches
-                yield out(held)
-                held = []
-            held.append((part, *made.encode(body, offsets)))
-        if held:
-            yield out(held)
-
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lambda batches: encoded(batches, tokenizer), schema)
 
 
 def joined(lists: pa.Array, strings: Callable[[pa.Array], pa.Array]) -> Iterator[Iterator[str]]:
@@ -221,33 +222,40 @@ def joined(lists: pa.Array, strings: Callable[[pa.Array], pa.Array]) -> Iterator
         a = b
 
 
-def decode(encoded: DataFrame, tokenizer: str, *, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """``encoded`` with one more column: the text of its token ids (null: empty)."""
+def texts(lists: pa.Array, tokenizer: str) -> Iterator[Iterator[str]]:
+    """The text of each list of token ids, in pieces to be joined by a blank."""
+    return joined(lists, codec(tokenizer).strings.take)
+
+
+def decode(rows: DataFrame, tokenizer: str, *, ids: str = "ids", to: str = "decoded") -> DataFrame:
+    """``rows`` with one more column: the text of its token ids (null: empty)."""
     @arrow_udf("string")
     def text(lists: pa.Array) -> pa.Array:
-        return pa.array((" ".join(pieces) for pieces in joined(lists, codec(tokenizer).strings.take)), pa.string())
+        return pa.array((" ".join(pieces) for pieces in texts(lists, tokenizer)), pa.string())
 
-    return encoded.withColumn(to, text(quoted(ids)))
+    return rows.withColumn(to, text(quoted(ids)))
 
 
-def ids_digest(ids: Column) -> Column:
-    """SHA-256 (lower-case hex) of decimal ids joined by one blank."""
-    @arrow_udf("string")
-    def digest(lists: pa.Array) -> pa.Array:
-        out = []
-        for pieces in joined(lists, lambda some: some.cast(pa.string())):
-            made = hashlib.sha256()
-            for i, piece in enumerate(pieces):
-                made.update((" " + piece if i else piece).encode())
-            out.append(made.hexdigest())
-        return pa.array(out, pa.string())
-
-    return digest(ids)
+def _digest(pieces: Iterator[str]) -> str:
+    """SHA-256 (lower-case hex) of pieces joined by one blank."""
+    made = hashlib.sha256()
+    for i, piece in enumerate(pieces):
+        made.update((" " + piece if i else piece).encode())
+    return made.hexdigest()
 
 
 def query(docs: DataFrame, tokenizer: str, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Key, number of tokens, and the digests of the ids and of the decoded text."""
-    only = docs.select(quoted(key).alias("doc_id"), quoted(text).alias("text"))
-    out = decode(encode(only, tokenizer, text="text").select(F.col("row.doc_id").alias("doc_id"), "ids"), tokenizer)
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_digest(F.col("ids")).alias("ids_sha256"),
-                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    """Key, number of tokens, and the digests of the ids and of the decoded text. Encoding,
+    decoding and the digests follow each other on a slice of texts within one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in encoded(batches, tokenizer):
+            ids = batch.column(1)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pc.list_value_length(ids).cast(pa.int64()),
+                pa.array((_digest(p) for p in joined(ids, lambda some: some.cast(pa.string()))), pa.string()),
+                pa.array((_digest(p) for p in texts(ids, tokenizer)), pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(quoted(key).alias("row"), quoted(text).cast("string").alias("text"))
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
