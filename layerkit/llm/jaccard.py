@@ -215,6 +215,9 @@ def frequent(docs: DataFrame, groups_map, buckets: int) -> Order:
 
 # ---- the prefix join -----------------------------------------------------------------
 
+#: Pairs looked at, and found pairs held, at a time: a bound on a task's memory.
+PAIRS_HELD = 1 << 17
+
 POSTING = np.dtype([("cell", "<u8"), ("hash", "<u8"), ("id", "<i8"), ("component", "<i8"), ("n", "<i4"), ("at", "<i4"), ("block", "<i4"), ("low", "<i4"), ("high", "<i4"), ("parity", "<u8", (FOLDED // 64,))])
 
 
@@ -225,7 +228,7 @@ def list_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
     # the largest partner that what is left behind the smaller set's place allows
     end = np.searchsorted(n, (OUT_OF + TIMES) * (n - rows["at"]) // TIMES - n, "right")
     low, high = rows["low"][0], rows["high"][0]
-    step = max(1, (1 << 20) // len(rows))
+    step = max(1, PAIRS_HELD // len(rows))
     for a in range(0, len(rows), step):
         left = np.repeat(np.arange(a, min(a + step, len(rows))), np.maximum(end[a:a + step] - np.arange(a, min(a + step, len(rows))) - 1, 0))
         if not len(left):
@@ -340,7 +343,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                 for some in list_pairs(rows[a:b]) if b - a > 1 else ():
                     held.append(some)
                     n += some.shape[1]
-                    if n > 1 << 20:
+                    if n > PAIRS_HELD:
                         yield batch(held)
                         held, n = [], 0
             if held:
