@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import avg_int, days_between, ts_lit, year_range
 from ..functions.json import json_value, nested_json
 from ..operators.aggregates import pivot_sum, top_per_group
-from ..operators.joins import anti_join_not_in, or_join
+from ..operators.joins import anti_join_not_in, or_join, skew_join
 from ..sources.tables import load
 
 # Query parameters of the exercises, restated for the driver tables.
@@ -56,16 +56,15 @@ def q01_or_join(spark: SparkSession, sf: str) -> DataFrame:
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     s = _t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     return or_join(c, s, [("c_custkey", "s_suppkey"), ("c_nationkey", "s_nationkey")],
-                   how="left").select("c_custkey", "c_name", "s_suppkey", "s_name")
+                   how="left", heavy=True).select("c_custkey", "c_name", "s_suppkey", "s_name")
 
 
 # Q2: inner join plus a column-to-column predicate -----------------------------
 def q02_join_residual(spark, sf):
-    c = _t(spark, sf, "customer")
-    s = _t(spark, sf, "supplier")
-    j = s.join(c, s.s_nationkey == c.c_nationkey)
-    return (j.filter(F.substring(s.s_name, -2, 2) == F.substring(c.c_name, -2, 2))
-             .select("c_custkey", "c_name", "s_suppkey"))
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", F.substring("c_name", -2, 2).alias("c_end"))
+    s = _t(spark, sf, "supplier").select("s_suppkey", "s_nationkey", F.substring("s_name", -2, 2).alias("s_end"))
+    return (skew_join(c, s, [("c_nationkey", "s_nationkey"), ("c_end", "s_end")])
+            .select("c_custkey", "c_name", "s_suppkey"))
 
 
 # Q3: NOT IN subquery ------------------------------------------------------------
