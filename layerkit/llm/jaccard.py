@@ -380,10 +380,12 @@ def join(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFra
 
 def keep_one(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents without near copies: of each component one row of its smallest id;
-    rows with a null id stay."""
+    rows with a null id stay. Rows that share that id are told apart by their text: each
+    different text stays once, so none is lost that another document was dropped for."""
     chosen = join(docs, text=text, key=key).where("id = component_id").select(F.col("id").alias("_kept")).distinct()
     rows = docs.select(as_row(docs), quoted(key).cast("long").alias("_id"))
-    kept = rows.where(F.col("_id").isNotNull()).join(chosen, F.col("_id") == F.col("_kept"), "left_semi").dropDuplicates(["_id"])
+    kept = rows.where(F.col("_id").isNotNull()).join(chosen, F.col("_id") == F.col("_kept"), "left_semi") \
+        .withColumn("_text", F.sha2(F.coalesce(F.col("row").getField(text).cast("string"), F.lit("")).cast("binary"), 256)).dropDuplicates(["_id", "_text"]).drop("_text")
     return kept.unionByName(rows.where(F.col("_id").isNull())).select("row.*")
 
 

@@ -26,3 +26,10 @@ def test_stages_take_effect(spark):
     before, after = seen["suffixes"]
     assert before.count() == after.count() and after.agg(F.sum(F.length("text"))).first()[0] <= before.agg(F.sum(F.length("text"))).first()[0]
     assert P.STAGES[-1][1](spark, docs, SF_SMALL).count() == packing.pieces(docs, queries.tokenizer_path()).count()
+
+
+def test_rows_that_share_an_id_are_told_apart_by_their_text(spark):
+    from layerkit.llm import jaccard
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, a), (1, b), (1, a), (2, b + " x"), (3, a)], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.keep_one(docs).collect())) == [(1, a), (1, b)]
