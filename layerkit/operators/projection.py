@@ -1,8 +1,13 @@
 """Column mapping (``mapColumn(new = old, ...)``) and row action marking."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, NullType
+
+from ..schemas import wider_type
 
 
 def map_columns(df: DataFrame, mapping: dict[str, str | Column] | list[tuple[str, str | Column]],
@@ -33,3 +38,28 @@ def mark_rows(df: DataFrame, condition: Column, when_true: str = "update",
     """Alter-row marking: tag each row with the action a following write applies."""
     return df.withColumn(name, F.when(F.coalesce(condition, F.lit(False)), F.lit(when_true))
                          .otherwise(F.lit(when_false)))
+
+
+# Which type wins when columns of different types meet by position.
+PRECEDENCE = ["timestamp", "timestamp_ntz", "date", "double", "float", "decimal", "bigint", "int", "smallint", "tinyint", "boolean", "string", "binary"]
+
+
+def union_by_position(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """UNION ALL: columns meet by position and take the names of the first input.
+
+    Where types differ, the one of higher precedence wins and the other is cast to it (a
+    text that is no such value fails, as in SQL); decimals keep all digits of both."""
+    for df in others:
+        if len(df.columns) != len(first.columns):
+            raise ValueError(f"{len(df.columns)} columns against {len(first.columns)}")
+
+    def common(types: list[DataType]) -> DataType:
+        if all(isinstance(t, DecimalType) for t in types):
+            return reduce(wider_type, types)
+        return min(types, key=lambda t: PRECEDENCE.index(t.typeName() if isinstance(t, DecimalType) else t.simpleString()) if t != NullType() else len(PRECEDENCE))
+
+    inputs = [first, *others]
+    types = [common([df.schema.fields[i].dataType for df in inputs]) for i in range(len(first.columns))]
+    shaped = [df.toDF(*[f"c{i}" for i in range(len(types))]).select(
+        *[F.col(f"c{i}").cast(t).alias(name) for i, (t, name) in enumerate(zip(types, first.columns))]) for df in inputs]
+    return reduce(DataFrame.union, shaped)

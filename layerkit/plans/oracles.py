@@ -445,6 +445,63 @@ PIPELINES = {
         FROM events""",
 }
 
+_RECORDS = """
+    SELECT p_partkey AS Id, p_size * 1000.0 AS Budget, p_name, (['en', 'fr', 'de', 'es'])[p_partkey % 4 + 1] AS lang FROM part"""
+_GENRE_KEYS = f"""
+    SELECT row_number() OVER (ORDER BY late, Genre_Name, Genre_Id) AS Genre_Key, Genre_Name, Genre_Id FROM (
+        SELECT w AS Genre_Name, CAST(ascii(w) * 1000 + ascii(substr(w, 2, 1)) AS INTEGER) AS Genre_Id, min(CASE WHEN Budget < 25000 THEN 0 ELSE 1 END) AS late
+        FROM (SELECT Budget, unnest(string_split(p_name, ' ')) AS w FROM ({_RECORDS})) GROUP BY ALL)"""
+
+EXCHANGE = {
+    "b01_batch_writer": "SELECT c_custkey, c_name, c_mktsegment, CAST(c_nationkey AS INTEGER) AS c_nationkey FROM customer",
+    "b02_lookup_writer": "SELECT * EXCLUDE (n_regionkey) FROM nation",
+    "a05_read_by_path": "SELECT s_suppkey, s_name, s_acctbal, NULL::INTEGER AS s_rating FROM supplier",
+    "a07_new_records": f"""
+        SELECT Id, true AS stamped, true AS same_day
+        FROM (SELECT Id, unnest(CASE WHEN Id % 10 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM ({_RECORDS}) WHERE NOT coalesce(Budget < 25000, false))""",
+    "a04_row_limit": f"SELECT Id FROM ({_BRONZE_ROWS})",
+    "b15_views": RETAIL["q18_pivot_years"],
+    "l04_preview": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+        ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 20""",
+    "c03_duplicate_names": 'SELECT p_partkey AS "Key", p_name AS "Name", p_size AS "Size" FROM part',
+    "c20_strict_split": f"SELECT Id, RunTime, CASE WHEN RunTime >= 0 THEN 'clean' ELSE 'quarantine' END AS branch FROM ({_BRONZE_ROWS}) WHERE RunTime IS NOT NULL",
+    "d13_repair_by_lookup": """
+        SELECT event_id, user_id, CAST(c_nationkey AS VARCHAR) AS device_id FROM events JOIN customer ON user_id = c_custkey""",
+    "d11_ignore_spaces": """
+        SELECT p_partkey, ' ' || substr(p_type, 1, 2) || ' ' || substr(p_type, 3) AS label, p_type, count(*) OVER (PARTITION BY p_type) AS n_items FROM part""",
+    "e11_distinct_by_key": """
+        SELECT l_partkey, l_suppkey, l_returnflag FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey, l_returnflag) = 1""",
+    "l06_union_by_position": """
+        SELECT p_partkey, unnest([p_size, p_size + 1])::INTEGER AS package_id, CAST(CAST(p_retailprice AS DECIMAL(10,1)) AS DOUBLE) AS price
+        FROM part WHERE p_size % 2 = 0
+        UNION ALL SELECT p_partkey, CAST(p_size AS INTEGER), CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) FROM part WHERE p_size % 2 <> 0""",
+    "l01_q07_ordered": f"SELECT row_number() OVER (ORDER BY n_name NULLS FIRST) AS row_no, * FROM ({RETAIL['q07_avg_days']})",
+    "l01_q08_ordered": f"SELECT row_number() OVER (ORDER BY n_name NULLS FIRST, month NULLS FIRST) AS row_no, * FROM ({RETAIL['q08_by_month']})",
+    "l01_q19_ordered": f"SELECT row_number() OVER (ORDER BY year) AS row_no, * FROM ({RETAIL['q19_pivot_groups']})",
+    "f25_json_document": f"SELECT row_number() OVER (ORDER BY o_orderkey) AS row_no, o_orderkey, o_custkey, total FROM ({RETAIL['q20_tvf_apply']})",
+    "f26_xml_document": """
+        SELECT row_no, CASE WHEN row_no = 1 THEN '<Years>' ELSE '' END || xml || CASE WHEN row_no = max(row_no) OVER () THEN '</Years>' ELSE '' END AS value
+        FROM (SELECT row_number() OVER (ORDER BY year) AS row_no, '<StockItems Year="' || year || '">' || """ + " || ".join(
+        f"coalesce('<{t.lower()}>' || {t.lower()} || '</{t.lower()}>', '')" for t in _TYPES) + f""" || '</StockItems>' AS xml FROM ({_PIVOT_GROUPS}))""",
+    "b05_schema_drift": """
+        SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' OR o_orderdate >= TIMESTAMP '1999-01-01' THEN o_orderstatus END AS o_orderstatus,
+               CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1999-01-01' THEN CAST(CAST(o_totalprice AS DECIMAL(18,1)) AS DOUBLE)
+                    ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) END AS o_totalprice,
+               CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) ELSE o_orderdate END AS o_orderdate,
+               CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1999-01-01' THEN o_orderpriority END AS o_orderpriority,
+               CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' THEN o_custkey END AS o_custkey
+        FROM orders""",
+    "m_genre_keys": _GENRE_KEYS,
+    "m_language_keys": f"""
+        SELECT row_number() OVER (ORDER BY late, Language_Code) AS Language_Key, Language_Code
+        FROM (SELECT lang AS Language_Code, min(CASE WHEN Budget < 25000 THEN 0 ELSE 1 END) AS late FROM ({_RECORDS}) GROUP BY 1)""",
+    "m_junction_keys": f"""
+        SELECT DISTINCT Id AS Movie_Id, Genre_Key FROM (SELECT Id, unnest(string_split(p_name, ' ')) AS w FROM ({_RECORDS}))
+        JOIN ({_GENRE_KEYS}) ON w = Genre_Name""",
+}
+
 STREAMING = {
     "s_new_only": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "s_drip_feed": "SELECT event_id, event_type, value FROM events",
@@ -453,6 +510,6 @@ STREAMING = {
 
 def all_sql() -> dict[str, str]:
     out = {}
-    for group in (RETAIL, INCREMENTAL, MEDALLION, WAREHOUSE, MISC, PIPELINES, STREAMING):
+    for group in (RETAIL, INCREMENTAL, MEDALLION, WAREHOUSE, MISC, PIPELINES, EXCHANGE, STREAMING):
         out.update(group)
     return out

@@ -6,9 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..streaming import file_stream
-from . import incremental, medallion, misc, pipelines, purchase_orders, retail, warehouse
+from . import exchange, incremental, medallion, misc, pipelines, purchase_orders, retail, warehouse
 
-MODULES = (retail, incremental, purchase_orders, medallion, warehouse, misc, pipelines, file_stream)
+MODULES = (retail, incremental, purchase_orders, medallion, warehouse, misc, pipelines, exchange, file_stream)
 
 NAMES = (
     "q01_or_join", "q02_join_residual", "q03_lapsed_customers", "q04_count_by_name",
@@ -26,6 +26,10 @@ NAMES = (
     "w_pipeline", "w_customer_dim", "w_employee_dim", "w_stockitem_dim", "w_order_fact", "w_sales",
     "m_split_chunks", "c_clean_text", "k_surrogate_key", "x_union_by_name", "x_pk_check",
     "g07_config_loop", "g03_upsert_compacted", "g08_ods_to_parquet", "g05_retention_delete", "g14_gdpr_delete", "a13_activity_parts",
+    "b01_batch_writer", "b02_lookup_writer", "a04_row_limit", "a05_read_by_path", "a07_new_records", "b05_schema_drift", "b15_views",
+    "c03_duplicate_names", "c20_strict_split", "d11_ignore_spaces", "d13_repair_by_lookup", "e11_distinct_by_key",
+    "l01_q07_ordered", "l01_q08_ordered", "l01_q19_ordered", "l04_preview", "l06_union_by_position",
+    "f25_json_document", "f26_xml_document", "m_genre_keys", "m_language_keys", "m_junction_keys",
     "s_new_only", "s_drip_feed",
 )
 

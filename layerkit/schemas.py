@@ -3,8 +3,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DateType, DoubleType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+from pyspark.sql.types import (ArrayType, ByteType, DataType, DateType, DecimalType, DoubleType, FloatType,
+                               IntegerType, LongType, NullType, ShortType, StringType, StructField, StructType,
+                               TimestampNTZType, TimestampType)
 
 
 def parse_ddl(spark, schema: StructType | str) -> StructType:
@@ -46,6 +47,50 @@ def assert_schema(df: DataFrame, schema: StructType, check_nullable: bool = Fals
         raise AssertionError(f"schema mismatch:\n got {got}\n exp {exp}")
 
 
+# ---------------------------------------------------------------- schemas that drift
+
+_INTEGERS = [ByteType, ShortType, IntegerType, LongType]
+
+
+def wider_type(a: DataType, b: DataType) -> DataType:
+    """The type that holds the values of both, for columns whose type drifted:
+    integers and decimals widen, integers and floats meet in DOUBLE, dates in timestamps,
+    structs and arrays field by field; anything else, and text, in STRING."""
+    if a == b or isinstance(b, NullType):
+        return a
+    if isinstance(a, NullType):
+        return b
+    ints = [type(t) in _INTEGERS for t in (a, b)]
+    if all(ints):
+        return max(a, b, key=lambda t: _INTEGERS.index(type(t)))
+    numbers = [i or isinstance(t, (FloatType, DoubleType, DecimalType)) for i, t in zip(ints, (a, b))]
+    if all(numbers):
+        if any(isinstance(t, (FloatType, DoubleType)) for t in (a, b)):
+            return DoubleType()
+        whole = [t if isinstance(t, DecimalType) else DecimalType([3, 5, 10, 20][_INTEGERS.index(type(t))], 0) for t in (a, b)]
+        scale = max(t.scale for t in whole)
+        digits = max(t.precision - t.scale for t in whole) + scale
+        return DecimalType(digits, scale) if digits <= 38 else DoubleType()
+    times = (DateType, TimestampNTZType, TimestampType)
+    if isinstance(a, times) and isinstance(b, times):
+        return max(a, b, key=lambda t: times.index(type(t)))
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(wider_type(a.elementType, b.elementType))
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        return merged_schema(a, b)
+    return StringType()
+
+
+def merged_schema(old: StructType, new: StructType) -> StructType:
+    """Columns of both by name (case does not matter), old ones first, types widened."""
+    found = {f.name.lower(): f for f in new.fields}
+    out = []
+    for f in old.fields:
+        other = found.pop(f.name.lower(), None)
+        out.append(StructField(f.name, f.dataType if other is None else wider_type(f.dataType, other.dataType), True))
+    return StructType(out + [StructField(f.name, f.dataType, True) for f in found.values()])
+
+
 GENRE = StructType([StructField("id", IntegerType()), StructField("name", StringType())])
 
 # The movie record fields, names and types as the raw documents declare them.

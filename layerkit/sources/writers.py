@@ -1,9 +1,14 @@
 """Sinks: partitioned batch writers, table registration, JSON/Parquet files."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import conform, merged_schema
+from .folders import children
+
 
 def batch_writer(df: DataFrame, partition_column: str | None, exclude_columns=(),
                  mode: str = "append", fmt: str = "parquet",
@@ -43,13 +48,39 @@ def write_batch(df: DataFrame, path_or_table: str, partition_by: str | None = No
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: str | None = None) -> None:
-    """Snappy parquet sink; columns may drift between runs (readers merge schemas)."""
+    """Snappy parquet sink of one schema; ``write_run`` is the one whose columns may drift."""
     writer = df.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
 
 
+RUN = "run="  # folder of one run below the sink
+
+
+def write_run(df: DataFrame, path: str, run: str) -> None:
+    """Sink whose columns and types may drift from run to run: each run writes its own
+    folder (a repeated run replaces it) in whatever schema it has."""
+    write_parquet(df, f"{path.rstrip('/')}/{RUN}{run}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs as one table, in the merged schema (``schemas.merged_schema``): a column
+    that a run does not have is null there, a drifted type is widened.
+
+    Schemas come from the files' footers, in the order of the runs; runs that agree are
+    read by one scan, so the plan has as many branches as there are different schemas."""
+    kinds: dict[str, tuple] = {}
+    for folder in children(spark, path):
+        if folder.rsplit("/", 1)[1].startswith(RUN):
+            schema = spark.read.parquet(folder).schema
+            kinds.setdefault(schema.json(), (schema, []))[1].append(folder)
+    if not kinds:
+        raise FileNotFoundError(f"no runs below {path}")
+    whole = reduce(merged_schema, [schema for schema, _ in kinds.values()])
+    return reduce(DataFrame.unionByName, [conform(spark.read.schema(schema).parquet(*paths), whole) for schema, paths in kinds.values()])
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite",
                partition_by: str | None = None) -> None:
     writer = df.write.mode(mode)
