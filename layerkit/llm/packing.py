@@ -13,7 +13,8 @@
    slots number at most three for each pattern used, whatever the corpus size.
 
 Defined results: a null text is empty and becomes the end id alone; rows that repeat
-are packed separately; a null key is kept; ties are ordered by a hash of key and piece;
+are packed separately; a null key is kept; a very long text is encoded as a whole and cut
+into as many pieces as it needs; ties are ordered by a hash of key and piece;
 an empty table gives an empty result; only the named columns are read, so extra columns
 cannot clash.
 """
@@ -43,13 +44,17 @@ class Encoder:
     The file is read by ``tokenizers``; the merges run in ``tiktoken``, which gives the
     same ids several times faster: a token's id is its merge rank in such vocabularies.
     ``ids`` gives what the file's tokenizer gives by default: the string of an added token
-    is that token. A call takes such strings as ordinary text.
+    is that token. A call takes such strings as ordinary text. A text that ``tiktoken``
+    refuses (about a million blanks on end are too deep for its pattern) is encoded by
+    ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
+        tokenizer = self.library = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
         special = {t["content"]: t["id"] for t in json.loads(tokenizer.to_str())["added_tokens"]}
         vocabulary = tokenizer.get_vocab(with_added_tokens=False)
         # fixed values: printable bytes stand for themselves, the others for 256, 257, ...
@@ -62,7 +67,10 @@ class Encoder:
         return np.array(self.encoding.encode_ordinary(text), "<u4")
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.encoding.encode(text, allowed_special="all"), "<u4")
+        try:
+            return np.array(self.encoding.encode(text, allowed_special="all"), "<u4")
+        except ValueError:
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 @lru_cache(maxsize=2)

@@ -33,3 +33,22 @@ def test_rows_that_share_an_id_are_told_apart_by_their_text(spark):
     a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
     docs = spark.createDataFrame([(1, a), (1, b), (1, a), (2, b + " x"), (3, a)], "doc_id long, text string")
     assert sorted(map(tuple, jaccard.keep_one(docs).collect())) == [(1, a), (1, b)]
+
+
+def test_packing_takes_a_text_of_a_million_blanks(spark):
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from layerkit.llm import packing, queries
+    texts = [" " * 1_500_000 + "x", "\n" * 1_200_000, "<|endoftext|>" + " " * 1_300_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.query(docs, queries.tokenizer_path()).collect()
+    library = Tokenizer.from_file(queries.tokenizer_path())
+    for key, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        pieces = sorted((r for r in rows if r["doc_id"] == key), key=lambda r: r["piece"])
+        assert sum(r["length"] for r in pieces) == len(ids) and all(r["length"] <= 2048 for r in pieces)
+        for r in pieces:
+            assert r["ids_crc32"] == zlib.crc32(ids[r["start"]:r["start"] + r["length"]].tobytes())
