@@ -25,12 +25,26 @@ def json_value(col, path: str) -> Column:
     return F.when(text.startswith("{") | text.startswith("["), nested).otherwise(text)
 
 
-def array_or_scalar(col, path: str, elem_type: str = "int") -> Column:
+def read_paths(df: DataFrame, col: str, paths: dict[str, tuple[str, str] | Column], keep: list[str] = ()) -> DataFrame:
+    """Typed fields of a JSON column that is parsed once for each row.
+
+    The text becomes a VARIANT in a projection of its own (Catalyst does not fold a parse
+    into several readers), and every field is read from that: ``paths`` maps a name to
+    (path, type), or to an expression on the column ``__doc``. A VARIANT column is taken as
+    it is. A value that is no such type is null, as is any field of a malformed document."""
+    variant = df.schema[col].dataType.simpleString() == "variant"
+    doc = df.withColumn("__doc", F.col(col) if variant else F.try_parse_json(F.col(col)))
+    fields = [(F.try_variant_get("__doc", *spec) if isinstance(spec, tuple) else spec).alias(name) for name, spec in paths.items()]
+    return doc.select(*keep, *fields)
+
+
+def array_or_scalar(col, path: str, elem_type: str = "int", parsed: bool = False) -> Column:
     """Field that is either ``[x, ...]`` or a single scalar, always as an array.
 
     Null when the field is missing or null, so a following ``explode`` drops it.
+    ``parsed``: the column is a VARIANT already.
     """
-    v = F.try_parse_json(_col(col))
+    v = _col(col) if parsed else F.try_parse_json(_col(col))
     as_array = F.try_variant_get(v, path, f"array<{elem_type}>")
     scalar = F.try_variant_get(v, path, elem_type)
     return F.coalesce(as_array, F.when(scalar.isNotNull(), F.array(scalar)))

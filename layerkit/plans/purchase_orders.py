@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.json import array_or_scalar
+from ..functions.json import array_or_scalar, read_paths
 from ..operators.keys import continue_key
 from ..sources.tables import load
 
@@ -41,18 +41,16 @@ def purchase_order_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def shred_purchase_orders(docs: DataFrame) -> DataFrame:
     """OPENJSON(doc, '$.PurchaseOrders') WITH (...) plus the scalar-or-array package
-    field expanded to one row per package id (UNION ALL of both shapes)."""
-    po = docs.select(F.explode(F.from_json("doc", "PurchaseOrders ARRAY<STRING>")["PurchaseOrders"]).alias("po"))
-    field = lambda name: F.get_json_object("po", f"$.{name}")
-    typed = po.select(
-        field("StockItemName").alias("StockItemName"),
-        F.expr("try_cast(get_json_object(po, '$.Supplier') AS INT)").alias("SupplierID"),
-        F.expr("try_cast(get_json_object(po, '$.UnitPackageId') AS INT)").alias("UnitPackageID"),
-        array_or_scalar("po", "$.OuterPackageId", "int").alias("packages"),
-        field("Brand").alias("Brand"),
-        F.expr("try_cast(get_json_object(po, '$.UnitPrice') AS DECIMAL(18,2))").alias("UnitPrice"),
-        F.expr("try_cast(get_json_object(po, '$.OrderDate') AS DATE)").alias("OrderDate"),
-        F.expr("try_cast(get_json_object(po, '$.SupplierReference') AS BIGINT)").alias("SupplierReference"))
+    field expanded to one row per package id (UNION ALL of both shapes). A document is
+    parsed once; its orders and their fields are read from the parsed value."""
+    orders = read_paths(docs, "doc", {"orders": ("$.PurchaseOrders", "array<variant>")})
+    # outer, then filtered: a plain explode would test the array's size in a second parse
+    each = orders.select(F.explode_outer("orders").alias("po")).where("po IS NOT NULL")
+    typed = read_paths(each, "po", {
+        "StockItemName": ("$.StockItemName", "string"), "SupplierID": ("$.Supplier", "int"),
+        "UnitPackageID": ("$.UnitPackageId", "int"), "packages": array_or_scalar("__doc", "$.OuterPackageId", "int", parsed=True),
+        "Brand": ("$.Brand", "string"), "UnitPrice": ("$.UnitPrice", "decimal(18,2)"), "OrderDate": ("$.OrderDate", "date"),
+        "SupplierReference": ("$.SupplierReference", "bigint")})
     return typed.select("*", F.explode("packages").alias("OuterPackageID")).drop("packages")
 
 

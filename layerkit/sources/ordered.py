@@ -50,7 +50,7 @@ def write_json_array(df: DataFrame, order_by: list[str | Column], path: str, row
 def write_xml_document(df: DataFrame, order_by: list[str | Column], path: str, row: Column, row_tag: str, root: str) -> None:
     """``FOR XML PATH, ROOT``: one root element with an element for each row, in order. A
     row is one line unless its values hold line breaks, which stay."""
-    text = F.regexp_replace(F.to_xml(row, {"rowTag": row_tag, "indent": ""}), r">\n(?=<)", ">")
+    text = F.regexp_replace(F.to_xml(row, {"rowTag": row_tag, "indent": ""}), r"(?<=>)\n(?=<|$)", "")
     _write_document(df, order_by, path, text, f"<{root}>", "", f"</{root}>")
 
 

@@ -87,3 +87,10 @@ def test_bucketed_tables_join_without_exchange(spark):
         assert l.join(o, l.l_orderkey == o.o_orderkey).count() == expected
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_purchase_orders_are_parsed_once(spark):
+    from layerkit.plans.purchase_orders import purchase_order_documents, shred_purchase_orders
+    docs = purchase_order_documents(spark, SF_SMALL).checkpoint()
+    plan = shred_purchase_orders(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1 and "get_json_object" not in plan and "from_json" not in plan
