@@ -1,7 +1,8 @@
 """Helpers that several operators of this subpackage share."""
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,20 @@ SPACES = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, giving freed memory back to the system at its end: Python
+    workers live on between stages, and what their allocators keep counts for the executor."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:  # only some C libraries have it
+                trim(0)
+    return whole
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name, dots and back-ticks included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_row, bounded_batches, mix64, quoted, stored, text_blocks
+from .common import as_row, bounded_batches, mix64, quoted, stored, text_blocks, tidy
 from .components import components
 from .packed import SCHEMA, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, most_frequent, top_bits
 from .words import shingle_sets
@@ -117,7 +117,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                  pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), KEYS).cast(pa.list_(pa.int64())),
                  pa.array([row.tobytes() for row in np.packbits(parity, axis=1)], pa.binary())],
                 names=["id", "n", "d1", "d2", "keys", "parity"])
-    return docs.mapInArrow(run, "id long, n long, d1 long, d2 long, keys array<long>, parity binary")
+    return docs.mapInArrow(tidy(run), "id long, n long, d1 long, d2 long, keys array<long>, parity binary")
 
 
 # ---- exact verification ------------------------------------------------------------
@@ -134,7 +134,7 @@ def possible(pairs: DataFrame, groups: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
     side = lambda name, k: groups.select(F.col("id").alias(name), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"p{k}"))
-    return pairs.join(side("a", 1), "a").join(side("b", 2), "b").select("a", "b", "n1", "n2", "p1", "p2").mapInArrow(near, "a long, b long")
+    return pairs.join(side("a", 1), "a").join(side("b", 2), "b").select("a", "b", "n1", "n2", "p1", "p2").mapInArrow(tidy(near), "a long, b long")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -159,9 +159,9 @@ def verified(docs: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
 
-    table = docs.mapInArrow(sets, "id long, set binary")
+    table = docs.mapInArrow(tidy(sets), "id long, set binary")
     left, right = table.select(F.col("id").alias("a"), F.col("set").alias("x")), table.select(F.col("id").alias("b"), F.col("set").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long").distinct()
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(tidy(check), "a long, b long").distinct()
 
 
 def leaders(groups: DataFrame) -> DataFrame:
@@ -209,7 +209,7 @@ def frequent(docs: DataFrame, groups_map, buckets: int) -> Order:
                 yield from pack.add(np.concatenate(heads))
         yield from pack.out()
 
-    hashes, counts, _ = most_frequent(docs.mapInArrow(emit, SCHEMA), FREQUENT, HOT)
+    hashes, counts, _ = most_frequent(docs.mapInArrow(tidy(emit), SCHEMA), FREQUENT, HOT)
     return Order(hashes, counts)
 
 
@@ -263,7 +263,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                 yield from pack.add(np.concatenate(heads))
         yield from pack.out()
 
-    bits, *_ = map_and_top(docs.mapInArrow(all_prefixes, SCHEMA), lambda n, low, high: n > 1, LIST, buckets, "jaccard-shared")
+    bits, *_ = map_and_top(docs.mapInArrow(tidy(all_prefixes), SCHEMA), lambda n, low, high: n > 1, LIST, buckets, "jaccard-shared")
     shared = sc.broadcast(bits)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +279,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
 
     standing_rows = groups.select("id", "n", "parity").join(labels.select(F.col("node").alias("id"), "component"), "id", "left") \
         .select("id", F.col("n").alias("size"), "parity", F.coalesce("component", "id").alias("component"))
-    heads = stored(docs.mapInArrow(prefixes, "id long, n long, hash binary, at binary").where(F.octet_length("hash") > 0)
+    heads = stored(docs.mapInArrow(tidy(prefixes), "id long, n long, hash binary, at binary").where(F.octet_length("hash") > 0)
                    .join(standing_rows, "id").where("n = size").select("id", "n", "component", "hash", "at", "parity"), spark, "jaccard-prefixes")
 
     def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,7 +290,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                 yield from pack.add(h, np.full(len(h), tag, np.int64))
         yield from pack.out()
 
-    across = sc.broadcast(map_and_top(heads.select("component", "hash").mapInArrow(tagged, SCHEMA), lambda n, low, high: low < high, LIST, buckets,
+    across = sc.broadcast(map_and_top(heads.select("component", "hash").mapInArrow(tidy(tagged), SCHEMA), lambda n, low, high: low < high, LIST, buckets,
                                       "jaccard-across")[:3])
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,7 +356,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
         for _, blobs in each_bucket(batches):
             yield from found([b[0] for b in blobs])
 
-    return bucketed(heads.mapInArrow(postings, "bucket int, rows binary")).mapInArrow(pairs, "a long, b long").distinct()
+    return bucketed(heads.mapInArrow(tidy(postings), "bucket int, rows binary")).mapInArrow(tidy(pairs), "a long, b long").distinct()
 
 
 def join(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, tidy
 
 SCHEMA = "bucket int, hash binary, tag binary, count binary"
 #: Bits of a map of hashes; it has this size for any corpus.
@@ -113,7 +113,7 @@ def most_frequent(packed: DataFrame, least: int, top: int = TOP) -> tuple[np.nda
             many = total >= least
             yield pa.RecordBatch.from_arrays([pa.array(hashes[many].view(np.int64)), pa.array(total[many]), pa.array(low[many])], names=["hash", "count", "low"])
 
-    found = (bucketed(packed).mapInArrow(count, "hash long, count long, low long")
+    found = (bucketed(packed).mapInArrow(tidy(count), "hash long, count long, low long")
              .orderBy(F.col("count").desc(), "hash").limit(top).toPandas())
     hashes = found["hash"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
@@ -140,7 +140,7 @@ def map_and_top(packed: DataFrame, keep: Callable, least: int, buckets: int, tag
                 names=["bucket", "bits", "hashes", "counts", "lows"])
 
     spark = packed.sparkSession
-    counted = stored(bucketed(packed).mapInArrow(count, "bucket int, bits binary, hashes array<long>, counts array<long>, lows array<long>"), spark, tag)
+    counted = stored(bucketed(packed).mapInArrow(tidy(count), "bucket int, bits binary, hashes array<long>, counts array<long>, lows array<long>"), spark, tag)
     bits = np.zeros((buckets, width // 8), np.uint8)
     for r in counted.select("bucket", "bits").toLocalIterator():  # MAP_BITS bits in all
         bits[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
