@@ -313,16 +313,6 @@ MEDALLION = {
 }
 
 WAREHOUSE = {
-    "w_pipeline": """
-        SELECT 'customer_dim' AS sink, count(*) AS n_rows FROM customer c
-        JOIN (SELECT s_nationkey, min(s_suppkey) AS k FROM supplier GROUP BY 1) ct ON c.c_nationkey = ct.s_nationkey
-        JOIN (SELECT c_nationkey, c_mktsegment, min(c_custkey) AS b FROM customer GROUP BY 1, 2) h
-          ON h.c_nationkey = c.c_nationkey AND h.c_mktsegment = c.c_mktsegment
-        JOIN customer b ON b.c_custkey = h.b
-        UNION ALL SELECT 'employee_dim', count(*) FROM supplier WHERE s_acctbal >= 0
-        UNION ALL SELECT 'stockitem_dim', count(*) FROM part
-        UNION ALL SELECT 'order_fact', count(*) FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-        UNION ALL SELECT 'sales', count(*) FROM orders""",
     "w_customer_dim": """
         WITH contact AS (
             SELECT s.s_nationkey, s.s_name FROM supplier s
@@ -359,6 +349,11 @@ WAREHOUSE = {
         FROM orders""",
 }
 
+WAREHOUSE["w_pipeline"] = " UNION ALL BY NAME ".join(
+    f"(SELECT '{sink}' AS sink, * FROM ({WAREHOUSE['w_' + name]}))" for sink, name in (
+        ("customer_dim", "customer_dim"), ("employee_dim", "employee_dim"), ("stockitem_dim", "stockitem_dim"),
+        ("order_fact", "order_fact"), ("sales", "sales")))
+
 _PEOPLE = r"""
     SELECT
       CASE WHEN c_custkey % 4 = 0 THEN '  ' WHEN c_custkey % 4 = 1 THEN chr(9) ELSE '' END AS pad,
@@ -385,11 +380,10 @@ def _cap(c):
 
 MISC = {
     "m_split_chunks": """
-        WITH n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders),
+        WITH n AS (SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders),
         per AS (SELECT count(*) // 8 AS k FROM orders)
-        SELECT CAST(CASE WHEN k > 0 THEN least(pos // k, 7) ELSE 7 END AS INTEGER) AS chunk, count(*) AS n_rows,
-               min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
-        FROM n, per GROUP BY 1""",
+        SELECT o_orderkey, o_custkey, o_orderdate, CAST(CASE WHEN k > 0 THEN least(pos // k, 7) ELSE 7 END AS INTEGER) AS chunk
+        FROM n, per""",
     "c_clean_text": f"""
         SELECT DISTINCT {_cap(_strip('FirstName'))} AS FirstName, {_cap(_strip('LastName'))} AS LastName,
                replace({_strip('Phone')}, '-', '') AS Phone,

@@ -158,7 +158,7 @@ def ods_to_integration(spark: SparkSession, ods_root: str, out_root: str) -> dic
 
 
 def w_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    """ODS copies (typed) -> integration layer; rows per written sink."""
+    """ODS copies (typed) -> integration layer; every row of the five written sinks."""
     from ..session import new_run_dir
     from ..sources.files import layer_path
     from ..sources.writers import write_parquet
@@ -166,10 +166,8 @@ def w_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     root = new_run_dir(spark, "warehouse")
     for t, ddl in ODS_TABLES.items():
         write_parquet(conform(load(spark, sf, t), ddl), layer_path(root, "ODS", t))
-    paths = ods_to_integration(spark, root, root)
     out = None
-    for name, path in paths.items():
-        c = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")) \
-                 .select(F.lit(name).alias("sink"), "n_rows")
-        out = c if out is None else out.unionByName(c)
+    for name, path in ods_to_integration(spark, root, root).items():
+        rows = spark.read.parquet(path).select(F.lit(name).alias("sink"), "*")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     return out
