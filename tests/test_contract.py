@@ -29,3 +29,11 @@ def test_surrogate_keys_repeat_across_runs(spark):
     b = {tuple(r[1:]): r[0] for r in add_surrogate_key(df.distinct().repartition(3), order, "sk",
                                                        num_partitions=7).collect()}
     assert a == b and sorted(a.values()) == list(range(1, len(a) + 1))
+
+
+def test_a_missing_optional_library_leaves_the_other_queries():
+    import subprocess
+    import sys
+    code = ("import sys; sys.modules['numpy'] = sys.modules['zstandard'] = sys.modules['corpus_pipeline'] = None; import __spark_entry__ as E; "
+            "from layerkit.plans.registry import NAMES; assert set(E.queries()) == set(NAMES) == set(E.oracle_sql())")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=__file__.rsplit("/tests/", 1)[0])
