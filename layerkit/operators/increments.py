@@ -66,10 +66,18 @@ def _same(keys: list[str], other: list[str]) -> Column:
     return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, other)])
 
 
+def _together(rows: DataFrame, keys: list[str], files_per_grain: int | None = None) -> DataFrame:
+    if files_per_grain is None:
+        return rows.hint("rebalance", "_grain")
+    return rows.repartition("_grain", F.pmod(F.xxhash64(*keys), F.lit(files_per_grain)))
+
+
 def load_increment(spark: SparkSession, table: str, rows: DataFrame, key, time_col: str, grain: str = "day",
-                   files_per_grain: int = 1) -> int:
+                   files_per_grain: int | None = None) -> int:
     """Insert or replace ``rows`` by ``key``; the first load creates the table. Returns the
-    load's number. ``files_per_grain`` spreads a grain over that many tasks (by key)."""
+    load's number. Rows of a grain are brought together and adaptive execution splits what
+    exceeds its advisory size, so a hot grain is written by many tasks; ``files_per_grain``
+    spreads each over a fixed number instead (by key)."""
     keys = _key_list(key)
     if not spark.catalog.tableExists(table):
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
@@ -82,8 +90,7 @@ def load_increment(spark: SparkSession, table: str, rows: DataFrame, key, time_c
            .withColumn("_grain", F.coalesce(F.date_format(time_col, GRAINS[grain]), F.lit("none")))
            .withColumn("_kind", F.lit("delta" if loaded else "base"))
            .withColumn("_load", F.lit(number).cast("long")))
-    salt = F.pmod(F.xxhash64(*keys), F.lit(files_per_grain))
-    add_partitions(new.repartition("_grain", salt), table, TAGS)
+    add_partitions(_together(new, keys, files_per_grain), table, TAGS)
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LOADED}'='{number}', '{COMPACTED}'='{max(compacted, 1)}')")
     return number
 
@@ -128,7 +135,7 @@ def compact(spark: SparkSession, table: str, key) -> list[str]:
     number = loaded + 1
     images = (_merged(base.where(F.col("_grain").isin(grains)), delta, keys)
               .withColumn("_kind", F.lit("base")).withColumn("_load", F.lit(number).cast("long")))
-    made = {_unescaped(p["_grain"]) for p in add_partitions(images, table, TAGS)}
+    made = {_unescaped(p["_grain"]) for p in add_partitions(_together(images, keys), table, TAGS)}
     for g in grains:  # a grain that lost all its rows gets an empty image
         if g not in made:
             spark.sql(f"ALTER TABLE {table} ADD PARTITION (_grain='{g}', _kind='base', _load={number})")
