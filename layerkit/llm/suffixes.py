@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, mix64, quoted, stored, text_blocks
+from .common import bounded_batches, mix64, quoted, stored, text_blocks, tidy
 from .jaccard import BITS, id_map
 from .packed import SCHEMA, TOP, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
 from .winnow import grams, window_minima
@@ -282,7 +282,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 yield from pack.add(p.hash)
         yield from pack.out()
 
-    bits, often, *_ = map_and_top(docs.mapInArrow(held, SCHEMA), lambda n, low, high: n > 1, OFTEN, buckets, "suffix-minimizers")
+    bits, often, *_ = map_and_top(docs.mapInArrow(tidy(held), SCHEMA), lambda n, low, high: n > 1, OFTEN, buckets, "suffix-minimizers")
     shared = sc.broadcast((bits, often))
 
     def units_of(p: Part, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -301,7 +301,7 @@ def spans(docs: DataFrame) -> DataFrame:
                     yield from pack.add(h, p.docs[p.row[run]])
             yield from pack.out()
 
-        bits, hashes, _, low = map_and_top(docs.mapInArrow(units, SCHEMA), lambda n, low, high: n > 1, OFTEN_UNITS, buckets, "suffix-units")
+        bits, hashes, _, low = map_and_top(docs.mapInArrow(tidy(units), SCHEMA), lambda n, low, high: n > 1, OFTEN_UNITS, buckets, "suffix-units")
         table = (bits, hashes, low)
     settled = sc.broadcast(table)
 
@@ -388,7 +388,7 @@ def spans(docs: DataFrame) -> DataFrame:
         if any(len(f) for f in found):
             yield out()
 
-    return stored(bucketed(docs.mapInArrow(dealt, "bucket int, head binary, body binary")).mapInArrow(sorted_, "bucket int, spans binary"), spark, "suffix-spans")
+    return stored(bucketed(docs.mapInArrow(tidy(dealt), "bucket int, head binary, body binary")).mapInArrow(tidy(sorted_), "bucket int, spans binary"), spark, "suffix-spans")
 
 
 def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,7 +410,7 @@ def removed(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> Data
     frame = slim(docs, text, key)
     copies = copied(frame)
     marks = spans(with_later(frame, copies).where("not later").select("id", "mark", "text"))
-    touched = sc.broadcast(id_map(marks.select("spans").mapInArrow(_ids, "id long")))
+    touched = sc.broadcast(id_map(marks.select("spans").mapInArrow(tidy(_ids), "id long")))
 
     @F.pandas_udf("boolean")
     def may_change(ids: pd.Series) -> pd.Series:
@@ -464,7 +464,7 @@ def removed(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> Data
                                                   pa.array(kept, pa.binary())], names=["row", "id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     changed = (both.repartition("bucket").sortWithinPartitions("bucket", F.col("spans").isNull())
-               .mapInArrow(cut, whole.schema))
+               .mapInArrow(tidy(cut), whole.schema))
     return whole.unionByName(changed)
 
 
