@@ -218,7 +218,7 @@ def update_status(spark: SparkSession, table: str, updates: list[tuple[DataFrame
     scope = bronze.filter(F.col("Status").isin(*from_status))
     touched = scope.join(src.select("record_key"), "record_key", "left_semi") \
                    .select("p_Ingestdate").distinct()
-    part = bronze.join(touched, "p_Ingestdate", "left_semi")
+    part = bronze.join(F.broadcast(touched), "p_Ingestdate", "left_semi")  # one row for each day; a day is not one task's
     merged = merge_update(part, src, "record_key", {"Status": "Status"})
     apply_merge(spark, table, BRONZE_PARTITIONS, merged,
                 affected=part.select(*BRONZE_PARTITIONS))
@@ -294,7 +294,7 @@ class MedallionRun:
         _append(fixed.select("record_key", *SILVER_COLUMNS, "p_ReleaseYear"), self.silver, "p_ReleaseYear")
         # only the ingest dates with repaired rows are written anew, beside the old files
         held = self.spark.table(self.quarantine)
-        scope = held.join(fixed.select(QUARANTINE_PARTITION).distinct(), QUARANTINE_PARTITION, "left_semi")
+        scope = held.join(F.broadcast(fixed.select(QUARANTINE_PARTITION).distinct()), QUARANTINE_PARTITION, "left_semi")
         left = scope.join(fixed.select("record_key"), "record_key", "left_anti").select(*held.columns)
         apply_merge(self.spark, self.quarantine, QUARANTINE_PARTITION, left, affected=scope)
         # the status comes last: a repair that failed before it is simply repeated

@@ -6,6 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+# Fixed value: bytes that no JSON text holds (bare control characters, in UTF-8 and UTF-16).
+NO_JSON = "\x01\x00\x00\x01"
+
+
 def layer_path(root: str, layer: str, table: str) -> str:
     """Parameterised dataset location: ``<root>/<layer>/<table>``."""
     return f"{root.rstrip('/')}/{layer.strip('/')}/{table.strip('/')}"
@@ -16,12 +20,15 @@ def read_json_array(spark: SparkSession, path: str, field: str = "movie",
                     row_limit: int | None = None) -> DataFrame:
     """Read multi-line JSON documents ``{field: [...]}`` and return one row per element.
 
-    Each file holds one document; with ``element_type='STRING'`` every element comes
+    Each file holds one document in UTF-8; with ``element_type='STRING'`` every element comes
     back as its raw JSON text (the bronze record). The schema is declared, never
     inferred, so no extra pass over the files is made. ``row_limit`` is a sampling
     switch for interactive work and is off by default.
+
+    A file is read as one line that ends at ``NO_JSON``. The ``multiline`` option reads the
+    same documents, but opens and reads its file again for the raw text of every element.
     """
-    docs = (spark.read.option("multiline", True)
+    docs = (spark.read.option("lineSep", NO_JSON)
             .schema(f"{field} ARRAY<{element_type}>").json(path))
     rows = docs.select(F.explode(F.col(field)).alias(alias))
     return rows.limit(row_limit) if row_limit is not None else rows

@@ -97,6 +97,28 @@ def test_multiline_json_documents(spark):
     assert read_json_array(spark, path, row_limit=1).count() == 1
 
 
+def test_documents_are_read_once_whatever_they_hold(spark):
+    path, few = new_run_dir(spark, "t_json"), '{"movie": [{"Id" : 1,\n "x": 1e5}, {"Id": 2, "x": "é\\u00e9"}, null]}\n'
+    many = '{"movie": [' + ",".join('{"Id": %d, "t": "%s"}' % (i, "t" * 40) for i in range(3000)) + "]}"
+    spark.createDataFrame([(few,)], "value STRING").coalesce(1).write.text(f"{path}/few")
+    spark.createDataFrame([(many,)], "value STRING").coalesce(1).write.text(f"{path}/many")
+    got = [r.Movies for r in read_json_array(spark, f"{path}/few").collect()]
+    assert got == ['{"Id" : 1,\n "x": 1e5}', '{"Id": 2, "x": "é\\u00e9"}', None]
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    before = bytes_read()
+    assert read_json_array(spark, f"{path}/many").agg(F.count("Movies"), F.max("Movies")).first()[0] == 3000
+    assert bytes_read() - before < 5 * len(many)
+    # a document that is larger than a split is still one document
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        ids = read_json_array(spark, f"{path}/many").select(F.get_json_object("Movies", "$.Id").cast("int").alias("i")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r.i for r in ids) == list(range(3000))
+
+
 def test_sql_table_function_matches_apply(spark):
     load(spark, SF_SMALL, "lineitem").createOrReplaceTempView("lineitem")
     load(spark, SF_SMALL, "orders").createOrReplaceTempView("orders")

@@ -70,3 +70,25 @@ def test_salted_join_matches_plain_join(spark):
         plain = sorted(tuple(r) for r in df.join(dim, ["k"], how).collect())
         salted = sorted(tuple(r) for r in salted_join(df, dim, ["k"], how, salt=8).collect())
         assert salted == plain
+
+
+def test_status_update_keeps_a_day_spread_over_tasks(spark, monkeypatch):
+    from layerkit.plans import medallion as med
+    from layerkit.session import new_database
+    bronze = med.create_bronze(spark, new_database(spark, "t_days"))
+    rows = spark.range(200).select(F.concat(F.lit("m"), "id").alias("Movies"))
+    med.stamp_ingest(rows).select(*spark.table(bronze).columns).write.insertInto(bronze)
+    seen, apply_merge = [], med.apply_merge
+
+    def watched(spark, table, columns, content, affected):
+        seen.append(content._jdf.queryExecution().executedPlan().toString())
+        apply_merge(spark, table, columns, content, affected=affected)
+    monkeypatch.setattr(med, "apply_merge", watched)
+    keys = spark.table(bronze).where("Movies < 'm2'").select("record_key")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        med.update_status(spark, bronze, [(keys, med.LOADED)])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(seen) == 1 and "SortMergeJoin [p_Ingestdate" not in seen[0] and "BroadcastHashJoin [p_Ingestdate" in seen[0]
+    assert dict(spark.table(bronze).groupBy("Status").count().collect()) == {"Loaded": 112, "New": 88}
