@@ -92,3 +92,12 @@ def test_status_update_keeps_a_day_spread_over_tasks(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(seen) == 1 and "SortMergeJoin [p_Ingestdate" not in seen[0] and "BroadcastHashJoin [p_Ingestdate" in seen[0]
     assert dict(spark.table(bronze).groupBy("Status").count().collect()) == {"Loaded": 112, "New": 88}
+
+
+def test_or_join_of_few_files_makes_many_pairs_in_many_tasks(spark):
+    left = spark.range(6000).select(F.col("id").alias("a"), (F.col("id") % 1).alias("k")).coalesce(1)
+    right = spark.range(3000).select(F.col("id").alias("b"), (F.col("id") % 1).alias("rk")).coalesce(1)
+    made = or_join(left, right, [("a", "b"), ("k", "rk")], "left", heavy=True)
+    tasks = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 6000 * 3000
+    assert max(tasks) < 0.6 * sum(tasks)
