@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import quoted
+from .common import quoted, tidy
 from .runs import runs, stretches
 
 K = 20
@@ -214,7 +214,7 @@ def _answer(docs: DataFrame, block: Block, k: int, shard: int, stretch: int) ->
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["row", "n"])
 
     found = np.zeros(len(words) + 2, np.int64)
-    for r in docs.mapInArrow(count, "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).collect():
+    for r in docs.mapInArrow(tidy(count), "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).collect():
         found[r["row"]] = r["n"]
     n_docs, n_terms = int(found[-2]), int(found[-1])
     if not n_terms:
@@ -256,7 +256,7 @@ def _answer(docs: DataFrame, block: Block, k: int, shard: int, stretch: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(item, pa.int64()), pa.array(names, kind), pa.array(scores, pa.int64())],
                                              names=["item", "doc_id", "score"])
 
-    answers = docs.mapInArrow(best, f"item long, doc_id {key_type}, score long")
+    answers = docs.mapInArrow(tidy(best), f"item long, doc_id {key_type}, score long")
     names = spark.createDataFrame(pa.table({"at": pa.array(range(len(block.ids)), pa.int64()), "item_id": block.ids}))
     return answers.join(F.broadcast(names), F.col("item") == F.col("at")).select("item", "item_id", "doc_id", "score")
 
