@@ -131,3 +131,12 @@ def test_heavy_key_join_spreads_its_heavy_key_without_broadcasting_a_side(spark)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_only_heavy_keys_are_listed(spark, monkeypatch):
+    listed, broadcast = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: listed.append(df) or broadcast(df))
+    left = spark.range(4000).select(F.when(F.col("id") < 100, F.lit(7)).otherwise(F.col("id") % 400).alias("k"), F.col("id").alias("n"))
+    right = spark.range(400).select(F.col("id").alias("rk"))
+    assert skew_join(left, right, [("k", "rk")], share=0.02).count() == 4000
+    assert {tuple(r) for df in listed for r in df.select("__h0").collect()} == {(7,)}
