@@ -12,7 +12,9 @@ shingles last, so that passages which many documents share do not fill the prefi
    large cluster of near copies is never expanded into pairs.
 3. The prefix join proper: shingle counts fix the order; prefix elements that only one
    group, or only one component, holds are left out; the others form posting lists,
-   whose pairs pass the size, position and parity filters (all exact). The longest lists beyond ``LIST``
+   whose pairs pass the size, position and parity filters (all exact). A posting names the
+   elements before it, so that a pair comes out of the first list it shares, not of all of
+   them. The longest lists beyond ``LIST``
    members are dealt over a triangle of blocks; any other list holds less than a fixed
    small share of all postings.
 4. Candidate pairs whose parity maps differ too much are dropped (an exact bound), the
@@ -217,12 +219,27 @@ def frequent(docs: DataFrame, groups_map, buckets: int) -> Order:
 
 #: Pairs looked at, and found pairs held, at a time: a bound on a task's memory.
 PAIRS_HELD = 1 << 17
+#: Postings that a task gathers before it lets them out.
+POSTINGS_HELD = 100_000
+#: Elements before its own that a posting names, so that a pair comes out of its first common list only.
+BEFORE = 4
 
-POSTING = np.dtype([("cell", "<u8"), ("hash", "<u8"), ("id", "<i8"), ("component", "<i8"), ("n", "<i4"), ("at", "<i4"), ("block", "<i4"), ("low", "<i4"), ("high", "<i4"), ("parity", "<u8", (FOLDED // 64,))])
+POSTING = np.dtype([("cell", "<u8"), ("hash", "<u8"), ("id", "<i8"), ("component", "<i8"), ("n", "<i4"), ("at", "<i4"), ("block", "<i4"), ("low", "<i4"), ("high", "<i4"), ("parity", "<u8", (FOLDED // 64,)), ("before", "<u8", (BEFORE,))])
+
+
+def named_before(h: np.ndarray) -> np.ndarray:
+    """For each of a set's posted elements, in order, the ``BEFORE`` posted ones before it (0: none)."""
+    out = np.zeros((len(h), BEFORE), np.uint64)
+    for k in range(min(BEFORE, len(h))):
+        out[k + 1:, k] = h[:len(h) - k - 1]
+    return out
 
 
 def list_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
-    """Candidate pairs (a, b), a > b, of one posting list (one block pair of it)."""
+    """Candidate pairs (a, b), a > b, of one posting list (one block pair of it).
+
+    Two sets that share an element named before this one meet in its list, too. All
+    filters let at least as much pass there, so this list leaves the pair to it."""
     rows = np.sort(rows, order=["n", "id"])
     n = rows["n"].astype(np.int64)
     # the largest partner that what is left behind the smaller set's place allows
@@ -240,6 +257,11 @@ def list_pairs(rows: np.ndarray) -> Iterator[np.ndarray]:
         if low != high:  # pairs inside one block belong to its own cell
             ok &= rows["block"][left] != rows["block"][right]
         left, right = left[ok], right[ok]
+        for i in range(BEFORE):
+            for j in range(BEFORE):
+                x, y = rows["before"][left, i], rows["before"][right, j]
+                ok = (x != y) | (x == 0)
+                left, right = left[ok], right[ok]
         differ = np.zeros(len(left), np.int64)
         for k in range(rows["parity"].shape[1]):
             differ += np.bitwise_count(rows["parity"][left, k] ^ rows["parity"][right, k])
@@ -313,6 +335,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                 h, at = h[keep], at[keep]
                 row = np.zeros(len(h), POSTING)
                 row["hash"], row["id"], row["component"], row["n"], row["at"], row["cell"] = h, id_, component, n, at, h >> shift
+                row["before"] = named_before(h)
                 row["parity"] = np.bitwise_xor.reduce(np.frombuffer(parity, np.uint64).reshape(-1, FOLDED // 64), 0)
                 is_long, place = look_up(long, h)
                 rows.append(row[~is_long])
@@ -326,7 +349,7 @@ def candidates(docs: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFra
                     spread["cell"] = mixed >> shift
                     rows.append(spread)
                 held += len(h)
-                if held > 1 << 17:
+                if held > POSTINGS_HELD:
                     yield out(rows)
                     rows, held = [], 0
         if held:

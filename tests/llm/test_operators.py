@@ -318,3 +318,30 @@ def test_empty_tables(spark, docs):
                 packing.query(none, queries.tokenizer_path()), jaccard.query(none), quality.query(none, labels), graph.query(vectors),
                 warc.read(warc.write(pages))):
         assert out.count() == 0
+
+
+def test_jaccard_pair_leaves_its_first_shared_list_only():
+    rng = np.random.default_rng(5)
+    base = np.sort(rng.integers(1, 1 << 63, 400, dtype=np.uint64))
+    sets = [np.sort(np.where(rng.random(400) < 0.05, rng.integers(1, 1 << 63, 400, dtype=np.uint64), base)) for _ in range(30)]
+    sets += [base[:len(base) - k] for k in range(10)]
+    heads = [s[:jaccard.prefix_size(len(s))] for s in sets]
+    rows = []
+    for i, (s, h) in enumerate(zip(sets, heads)):
+        row = np.zeros(len(h), jaccard.POSTING)
+        row["hash"], row["id"], row["component"], row["n"], row["at"] = h, i, i, len(s), np.arange(len(h))
+        row["before"] = jaccard.named_before(h)
+        rows.append(row)
+    rows = np.concatenate(rows)
+
+    def found(rows):
+        lists = [rows[rows["hash"] == h] for h in np.unique(rows["hash"])]
+        return [tuple(p) for one in lists if len(one) > 1 for some in jaccard.list_pairs(one) for p in some.T]
+    made = found(rows)
+    linked = {(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))}
+    assert linked and linked <= set(made)
+    unnamed = rows.copy()
+    unnamed["before"] = 0
+    every = found(unnamed)
+    assert set(every) == set(made)
+    assert len(made) < 1.1 * len(set(made)) and len(every) > 10 * len(made)
