@@ -1,6 +1,7 @@
 """Helpers that several operators of this subpackage share."""
 from __future__ import annotations
 
+import contextlib
 import ctypes
 from collections.abc import Callable, Iterator
 
@@ -40,11 +41,26 @@ def as_row(df: DataFrame, name: str = "row") -> Column:
     return F.struct(*[quoted(c).alias(c) for c in df.columns]).alias(name)
 
 
+@contextlib.contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes within go when each has ended; otherwise they stay until
+    the driver's JVM happens to collect its garbage, and the steps of a job add up on disk."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, spark: SparkSession, tag: str) -> DataFrame:
     """Write ``df`` to a fresh folder below the shared checkpoint folder and read it
-    back: cuts the lineage, survives lost executors, and is computed once."""
+    back: cuts the lineage, survives lost executors, is computed once, and leaves no
+    shuffle files behind."""
     path = new_run_dir(spark, tag)
-    df.write.parquet(path)
+    with released(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from .common import stored, tidy
 
 SCHEMA = "bucket int, hash binary, tag binary, count binary"
-#: Bits of a map of hashes; it has this size for any corpus.
-MAP_BITS = 1 << 27
+#: Bits of a map of hashes, and the most that one may have.
+MAP_BITS, MOST_BITS = 1 << 27, 1 << 29
 #: Rows of a list of the most frequent hashes; any other hash holds less than 1 / TOP of all.
 TOP = 1 << 18
 
@@ -22,6 +22,11 @@ def bucket_count(spark) -> int:
     return max(1024, 1 << (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
+def map_bits(hashes: int) -> int:
+    """Bits of a map for so many hashes: a bit for each, from ``MAP_BITS`` to ``MOST_BITS``."""
+    return min(max(MAP_BITS, 1 << max(0, hashes - 1).bit_length()), MOST_BITS)
+
+
 def bucket_shift(buckets: int) -> np.uint64:
     return np.uint64(64 - buckets.bit_length() + 1)
 
@@ -120,10 +125,11 @@ def most_frequent(packed: DataFrame, least: int, top: int = TOP) -> tuple[np.nda
     return hashes[order], found["count"].to_numpy(np.int64)[order], found["low"].to_numpy(np.int64)[order]
 
 
-def map_and_top(packed: DataFrame, keep: Callable, least: int, buckets: int, tag: str, top: int = TOP) -> tuple[np.ndarray, ...]:
-    """Bit map (by leading hash bits) of the hashes that ``keep`` (count, low, high)
-    passes, and of those the most frequent: (map, hashes sorted, counts, smallest tags)."""
-    width = MAP_BITS // buckets
+def map_and_top(packed: DataFrame, keep: Callable, least: int, buckets: int, tag: str, top: int = TOP, size: int | None = None) -> tuple[np.ndarray, ...]:
+    """Bit map (by leading hash bits, ``size`` of them or ``MAP_BITS``) of the hashes that ``keep``
+    (count, low, high) passes, and of those the most frequent: (map, hashes sorted, counts, smallest tags)."""
+    size = size or MAP_BITS
+    width = size // buckets
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in each_bucket(batches):
@@ -131,7 +137,7 @@ def map_and_top(packed: DataFrame, keep: Callable, least: int, buckets: int, tag
             good = keep(total, low, high)
             hashes, total, low = hashes[good], total[good], low[good]
             bits = np.zeros(width, bool)
-            bits[top_bits(hashes) - bucket * width] = True
+            bits[top_bits(hashes, size) - bucket * width] = True
             many = total >= least
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
@@ -142,7 +148,7 @@ def map_and_top(packed: DataFrame, keep: Callable, least: int, buckets: int, tag
     spark = packed.sparkSession
     counted = stored(bucketed(packed).mapInArrow(tidy(count), "bucket int, bits binary, hashes array<long>, counts array<long>, lows array<long>"), spark, tag)
     bits = np.zeros((buckets, width // 8), np.uint8)
-    for r in counted.select("bucket", "bits").toLocalIterator():  # MAP_BITS bits in all
+    for r in counted.select("bucket", "bits").toLocalIterator():  # ``size`` bits in all
         bits[r["bucket"]] = np.frombuffer(r["bits"], np.uint8)
     often = (counted.select(F.explode(F.arrays_zip("hashes", "counts", "lows")).alias("x")).select("x.*")
              .orderBy(F.col("counts").desc(), "hashes").limit(top).toPandas())
@@ -151,8 +157,9 @@ def map_and_top(packed: DataFrame, keep: Callable, least: int, buckets: int, tag
     return bits.ravel(), hashes[order], often["counts"].to_numpy(np.int64)[order], often["lows"].to_numpy(np.int64)[order]
 
 
-def top_bits(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - (MAP_BITS.bit_length() - 1))).astype(np.int64)
+def top_bits(hashes: np.ndarray, size: int = MAP_BITS) -> np.ndarray:
+    """Place of each hash in a map of ``size`` bits."""
+    return (hashes >> np.uint64(64 - (size.bit_length() - 1))).astype(np.int64)
 
 
 def in_map(bits: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -5,9 +5,10 @@ marked, and the bytes covered by marked strings are removed. The suffixes are de
 buckets and one bucket is sorted at a time:
 
 * The bucket of a suffix is the hash of its minimizer, the smallest (of equal ones the
-  rightmost) of the hashed ``K``-byte grams among its first WIDTH bytes. Equal strings
-  have equal minimizers at equal places, and the suffixes of a run that share one travel
-  as a single stretch of bytes.
+  rightmost) of the hashed ``K``-byte grams among its first WIDTH bytes; that hash is mixed
+  once more, as the smallest ones would crowd into a small part of the buckets and of the bit
+  map. Equal strings have equal minimizers at equal places, and the suffixes of a run that
+  share one travel as a single stretch of bytes.
 * In a bucket the suffixes at a difference cover of the places modulo 7 are ranked first
   (prefix doubling in steps of 7, to 42 bytes). All suffixes are then sorted by their
   first 8 bytes, the cover rank that stands at most 3 bytes further on, and the last 8
@@ -19,7 +20,7 @@ no further part: whatever its strings would mark, those of the smaller id mark a
 This holds for the ``packed.TOP`` largest groups of copies; others go the general way.
 
 Only minimizers that occur twice can matter: a counting pass over all documents
-leaves a bit map of fixed size, and other suffixes stay where they are. The most
+leaves a bit map of bounded size, and other suffixes stay where they are. The most
 frequent minimizers (at most ``packed.TOP``, ``OFTEN`` runs or more, in one text or in many) would make
 hot buckets; their suffixes are counted and, where they occur twice, bucketed one by one
 by the hash of all their bytes; the most frequent of those are settled by a table of
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, mix64, quoted, stored, text_blocks, tidy
 from .jaccard import BITS, id_map
-from .packed import SCHEMA, TOP, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, top_bits
+from .packed import SCHEMA, TOP, Packed, bucket_count, bucket_shift, bucketed, each_bucket, in_map, look_up, map_and_top, map_bits, top_bits
 from .winnow import grams, window_minima
 
 WIDTH, K = 50, 24
@@ -54,6 +55,8 @@ W = WIDTH - K + 1
 OFTEN, OFTEN_UNITS = 8192, 64
 #: Bytes of a bucket that are sorted together, about; a bucket is cut between its keys.
 BLOCK = 1 << 19
+#: Stretches compressed together, at 1024 buckets; more for more buckets, as small blobs compress badly.
+FLUSH = 51_200
 #: Bytes looked at together; a longer text is cut into stretches that overlap by WIDTH - 1.
 STRETCH = 1 << 19
 #: Buckets of documents come from the id modulo this prime.
@@ -88,7 +91,7 @@ def minimizers(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[
     last[:-1] &= new[1:] | stop[1:]
     first = np.flatnonzero(new)
     at = (_LOW - (least[first] & _LOW)).astype(np.int64)
-    return first, np.flatnonzero(last) - first + 1, at, hashed[at]
+    return first, np.flatnonzero(last) - first + 1, at, mix64(hashed[at])
 
 
 class Part:
@@ -269,11 +272,14 @@ def rows_of(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(HEAD.itemsize, -1).T).ravel().view(HEAD)
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """(bucket, spans): packed SPAN rows, bucketed by document; ``docs`` is ``slim``."""
+def spans(docs: DataFrame, size: int) -> DataFrame:
+    """(bucket, spans): packed SPAN rows, bucketed by document; ``docs`` is ``slim``, with
+    about ``size`` bytes of text."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     buckets = bucket_count(spark)
     shift = bucket_shift(buckets)
+    places = map_bits(2 * size // (W + 1))  # one run in (W + 1) / 2 bytes, about
+    together = min(max(FLUSH, FLUSH // 1024 * buckets), 4 * FLUSH)
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = Packed(buckets)
@@ -282,7 +288,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 yield from pack.add(p.hash)
         yield from pack.out()
 
-    bits, often, *_ = map_and_top(docs.mapInArrow(tidy(held), SCHEMA), lambda n, low, high: n > 1, OFTEN, buckets, "suffix-minimizers")
+    bits, often, *_ = map_and_top(docs.mapInArrow(tidy(held), SCHEMA), lambda n, low, high: n > 1, OFTEN, buckets, "suffix-minimizers", size=places)
     shared = sc.broadcast((bits, often))
 
     def units_of(p: Part, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -313,15 +319,15 @@ def spans(docs: DataFrame) -> DataFrame:
             key, head, body = (np.concatenate(c) for c in zip(*waiting))
             order = np.argsort(key)
             begin = np.cumsum(head["size"].astype(np.int64)) - head["size"]
-            head, begin = head[order], begin[order]
-            n = head["size"].astype(np.int64)
-            after = np.cumsum(n) - n
-            body = body[np.repeat((begin - after).astype(np.int32), n) + np.arange(int(n.sum()), dtype=np.int32)]
-            ids, heads, cuts = blobs(key[order] >> shift, head)
-            ends = np.append(after, len(body))
+            ids, first = np.unique(key[order] >> shift, return_index=True)
             small = zstandard.ZstdCompressor(level=3).compress
-            yield pa.RecordBatch.from_arrays([ids, pa.array([small(columns(np.frombuffer(h, HEAD))) for h in heads], pa.binary()),
-                                              pa.array([small(body[ends[a]:ends[b]].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())],
+            heads, bodies = [], []
+            for rows in np.split(order, first[1:]):
+                n = head["size"][rows].astype(np.int64)
+                after = np.cumsum(n) - n
+                heads.append(small(columns(head[rows])))
+                bodies.append(small(body[np.repeat(begin[rows] - after, n) + np.arange(int(n.sum()))].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(heads, pa.binary()), pa.array(bodies, pa.binary())],
                                              names=["bucket", "head", "body"])
 
         def stretch(p: Part, key, run, place, size_, lead):
@@ -338,7 +344,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 continue
             bits, often = shared.value
             hot = look_up(often, p.hash)[0]
-            cold = np.flatnonzero(in_map(bits, top_bits(p.hash)) & ~hot)
+            cold = np.flatnonzero(in_map(bits, top_bits(p.hash, places)) & ~hot)
             stretch(p, p.hash[cold], cold, p.first[cold], p.many[cold] + WIDTH - 1, p.at[cold] - p.first[cold])
             hot = np.flatnonzero(hot)
             if len(hot):
@@ -359,7 +365,7 @@ def spans(docs: DataFrame) -> DataFrame:
                 new = np.flatnonzero(~known & in_map(twice, top_bits(h)))
                 # a lone string is its own bucket key; the hash of its minimizer keeps keys apart
                 stretch(p, mix64(h[new] ^ p.hash[run[new]]), run[new], place[new], np.full(len(new), WIDTH), p.at[run[new]] - place[new])
-            if size > 25_000:
+            if size > together:
                 yield from out()
                 waiting, size = [], 0
         if size:
@@ -409,7 +415,8 @@ def removed(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> Data
     bounded_batches(spark)
     frame = slim(docs, text, key)
     copies = copied(frame)
-    marks = spans(with_later(frame, copies).where("not later").select("id", "mark", "text"))
+    length = frame.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    marks = spans(with_later(frame, copies).where("not later").select("id", "mark", "text"), length)
     touched = sc.broadcast(id_map(marks.select("spans").mapInArrow(tidy(_ids), "id long")))
 
     @F.pandas_udf("boolean")

@@ -2,6 +2,7 @@
 empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -87,6 +88,34 @@ def test_suffixes_match_brute_force(docs, often, monkeypatch):
     assert clean.columns == docs.columns and clean.count() == docs.count()
 
 
+def test_minimizer_hashes_fill_all_buckets_alike():
+    rng = np.random.default_rng(5)
+    body = rng.integers(97, 123, 200_000, dtype=np.uint8)
+    hashed = suffixes.minimizers(body, np.array([0]), np.array([len(body)]))[3]
+    held = np.bincount((hashed >> np.uint64(60)).astype(np.int64), minlength=16)
+    assert held.max() < 1.2 * held.mean()  # the smallest hashes of 27 lie in the first of 16 parts, mostly
+
+
+def test_a_map_of_more_hashes_has_more_bits():
+    from layerkit.llm import packed
+    assert [packed.map_bits(n) for n in (0, 10**8, 1 << 28, (1 << 28) + 1, 10**12)] == [1 << 27, 1 << 27, 1 << 28, 1 << 29, 1 << 29]
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    kept = lambda: {f.getName() for f in spark._jvm.java.util.ArrayList(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles())) if f.getName().startswith("shuffle_")}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = kept(), spark.conf.get(name)
+    out = stored(spark.range(20_000).repartition(7, "id").groupBy(F.col("id") % 9).count(), spark, "test-released")
+    assert out.count() == 9
+    for _ in range(50):
+        if not (left := {f for f in kept() - before if f.endswith(".data")}):
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1  # that of the count, of one partition
+    assert spark.conf.get(name) == setting
+
+
 def test_chat_masks_are_the_speakers_own_words(spark):
     turns = spark.createDataFrame([(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 2, None, "x y"), (1, 2, None, "x y"), (None, 0, "ann", "")],
                                   "conv_id long, turn long, role string, text string")
