@@ -133,6 +133,17 @@ def test_heavy_key_join_spreads_its_heavy_key_without_broadcasting_a_side(spark)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("n, m", [(2000, 2000), (4000, 50), (50, 4000)])
+def test_heavy_key_join_repeats_few_rows_of_either_side(spark, monkeypatch, n, m):
+    moved, repartition = [], type(spark.range(0)).repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda df, *a: moved.append(df) or repartition(df, *a))
+    left = spark.range(n).select(F.lit(7).alias("k"), F.col("id").alias("n")).union(spark.createDataFrame([(1, 1), (None, 2)], "k int, n long"))
+    right = spark.range(m).select(F.lit(7).alias("rk"), F.col("id").alias("m")).union(spark.createDataFrame([(1, 1), (None, 2)], "rk int, m long"))
+    out = skew_join(left, right, [("k", "rk")], spread=2, pairs=n * m // 400)
+    assert out.groupBy("k", "n", "m").count().where("count > 1").isEmpty() and out.count() == n * m + 1
+    assert len(moved) == 2 and sum(df.count() for df in moved) < 2.2 * (400 * n * m) ** 0.5 + n + m  # one-sided: 400 * m
+
+
 def test_only_heavy_keys_are_listed(spark, monkeypatch):
     listed, broadcast = [], F.broadcast
     monkeypatch.setattr(F, "broadcast", lambda df: listed.append(df) or broadcast(df))
